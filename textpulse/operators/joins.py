@@ -36,11 +36,13 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``rows`` to a ``table`` that has one row per key; keys are not null.
 
-    The table is broadcast only when its measured size is within the session's
-    broadcast limit. Otherwise both sides shuffle, with hot keys split: see
-    ``salted_join``. ``spread_by`` names columns of ``rows`` that tell apart the rows
-    of one key.
+    The table is stored first, so that it is worked out once and its size is known.
+    It is broadcast only when that size is within the session's broadcast limit.
+    Otherwise both sides shuffle, with hot keys split: see ``salted_join``.
+    ``spread_by`` names columns of ``rows`` that tell apart the rows of one key.
     """
+    ready_checkpoints(rows.sparkSession)
+    table = table.checkpoint()
     limit = broadcast_limit(rows.sparkSession) if max_bytes is None else max_bytes
     if limit > 0 and measured_bytes(table) <= limit:
         return rows.join(F.broadcast(table), list(on), how)

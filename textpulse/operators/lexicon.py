@@ -102,26 +102,28 @@ def first_frames(
     return frame_keys(frames, exact).join(entries, "frame_rank").select("word", "frame")
 
 
-def word_table(tags: DataFrame, senses: DataFrame, frames: DataFrame, exact: bool = False):
+def word_table(
+    tags: DataFrame, senses: DataFrame, frames: DataFrame, exact: bool = False
+) -> DataFrame:
     """(word, tag, sense, frame) for every word that any lexicon knows.
 
-    A word without a tag is tagged as a common noun. All joins here are between
-    lexicon-sized tables with one row per word.
+    A word without a tag is tagged as a common noun. The lexicons are stacked and
+    grouped by word, one shuffle in all; a word has at most one tag, one frame and one
+    sense per part of speech.
     """
-    sense_index = first_senses(senses)
-    frame_index = first_frames(frames, exact)
-    words = (
-        tags.select("word")
-        .union(sense_index.select("word"))
-        .union(frame_index.select("word"))
-        .distinct()
-    )
-    tagged = words.join(tags, "word", "left").withColumn(
-        "tag", F.coalesce("tag", F.lit(DEFAULT_TAG))
+    stacked = (
+        tags.select("word", "tag")
+        .unionByName(
+            first_senses(senses).select("word", F.struct("pos", "sense").alias("of_pos")),
+            allowMissingColumns=True,
+        )
+        .unionByName(first_frames(frames, exact), allowMissingColumns=True)
     )
-    with_pos = tagged.withColumn("pos", F.coalesce(lexicon_pos(F.col("tag")), F.lit(ANY_POS)))
-    return (
-        with_pos.join(sense_index, ["word", "pos"], "left")
-        .join(frame_index, "word", "left")
-        .select("word", "tag", "sense", "frame")
+    per_word = stacked.groupBy("word").agg(
+        F.coalesce(F.max("tag"), F.lit(DEFAULT_TAG)).alias("tag"),
+        F.collect_list("of_pos").alias("senses"),
+        F.max("frame").alias("frame"),
     )
+    with_pos = per_word.withColumn("pos", F.coalesce(lexicon_pos(F.col("tag")), F.lit(ANY_POS)))
+    fitting = F.filter("senses", lambda s: s["pos"] == F.col("pos"))
+    return with_pos.select("word", "tag", F.get(fitting, F.lit(0))["sense"].alias("sense"), "frame")

@@ -13,6 +13,7 @@ from textpulse.operators.lexicon import first_frames, word_table
 from textpulse.schemas import DEFAULT_TAG, SUMMARY_COLUMNS
 
 TOP_FRAMES = 5
+PLACES = 2**31
 
 
 def word_tokens(texts: DataFrame, key: Sequence[str], text: str) -> DataFrame:
@@ -108,13 +109,14 @@ def _to_map(column: str):
 def text_frames(
     texts: DataFrame,
     frames: DataFrame,
-    key: Sequence[str],
+    key: str,
     text: str,
     label: str,
     exact: bool = False,
 ) -> DataFrame:
     """(label, key, place, frame_name): each distinct surface word that has a frame.
 
+    The key is an integer that also orders the texts.
     Repeats inside a text are removed in the row itself, in first-seen order, so no
     shuffle is needed for them and a hot word counts at most once per text.
     """
@@ -123,13 +125,13 @@ def text_frames(
     )
     lexical = F.filter(F.array_distinct(surface_tokens(F.col(text))), is_lexical_word)
     words = texts.select(
-        F.col(label).alias("label"), *key, F.posexplode(lexical).alias("place", "word")
+        F.col(label).alias("label"), key, F.posexplode(lexical).alias("place", "word")
     ).withColumn("_w", F.lower("word"))
-    found = lookup_join(words, index, on=["_w"], spread_by=[*key, "place"], how="inner")
-    return found.select("label", *key, "place", "frame_name")
+    found = lookup_join(words, index, on=["_w"], spread_by=[key, "place"], how="inner")
+    return found.select("label", key, "place", "frame_name")
 
 
-def frame_summary(found: DataFrame, key: Sequence[str], top: int = TOP_FRAMES) -> DataFrame:
+def frame_summary(found: DataFrame, key: str, top: int = TOP_FRAMES) -> DataFrame:
     """The most common frames of positive and of all other texts.
 
     Only the label ``positive`` counts as positive. Equal counts keep the order in
@@ -149,9 +151,14 @@ def frame_summary(found: DataFrame, key: Sequence[str], top: int = TOP_FRAMES) -
     return rows.orderBy(F.col(SUMMARY_COLUMNS[2]).desc(), "rank")
 
 
-def frame_counts(found: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Texts-with-word counts and first sighting per polarity and frame."""
+def frame_counts(found: DataFrame, key: str) -> DataFrame:
+    """Words per polarity and frame, once per text, and where the frame was first met.
+
+    Text key and place are packed in one number, which keeps this a hash aggregate; a
+    struct would make it sort every matched word first.
+    """
     polarity = F.when(F.col("label") == "positive", "positive").otherwise("negative")
+    seen = F.col(key).cast("decimal(20,0)") * F.lit(PLACES).cast("decimal(11,0)")
     return found.groupBy(polarity.alias("polarity"), "frame_name").agg(
-        F.count("*").alias("n"), F.min(F.struct(*key, "place")).alias("first_seen")
+        F.count("*").alias("n"), F.min(seen + F.col("place")).alias("first_seen")
     )

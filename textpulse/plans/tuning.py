@@ -2,8 +2,9 @@
 
 ``pyspark.ml.tuning.CrossValidator`` refits a whole pipeline for every setting. Here
 the feature stages are fitted once per fold and shared by all settings, tokens and
-label indices are made once for all folds, and each score is one grouped count. Fold
-membership is an md5 bucket of the key, so it does not depend on partitioning.
+label indices are made once for all folds, and each score is one grouped count. Each
+fold's features are a stored table, read by all settings. Fold membership is an md5
+bucket of the key, so it does not depend on partitioning.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import DataFrame
@@ -27,6 +27,7 @@ from textpulse.plans.models import (
     vocabulary_stages,
     words_stage,
 )
+from textpulse.session import ready_checkpoints
 
 
 @dataclass(frozen=True)
@@ -53,31 +54,28 @@ def tune_naive_bayes(
     folds: int = FOLDS,
 ) -> Tuned:
     """Naive Bayes with the smoothing that has the best mean accuracy (first on ties)."""
+    spark = train.sparkSession
+    ready_checkpoints(spark)
     tokens = words_stage(text)
     labels = label_stage(sentiment, "skip")
     features = Pipeline(stages=vocabulary_stages(size))
-    rows = tokens.transform(
-        train.select(F.col(text), F.col(sentiment), fold_of(key, folds).alias("fold"))
-    )
-    label_model = labels.fit(rows)
-    rows = label_model.transform(rows).select("words", "label", "fold")
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = tokens.transform(train.withColumn("fold", fold_of(key, folds)))
+    label_model = labels.fit(train)
+    rows = label_model.transform(rows).select("words", "label", "fold").checkpoint()
     sums = dict.fromkeys(grid, 0.0)
     for fold in range(folds):
-        inside = rows.filter(F.col("fold") != fold)
-        feature_model = features.fit(inside)
-        prepared = feature_model.transform(inside).select("features", "label")
-        prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-        held_out = feature_model.transform(rows.filter(F.col("fold") == fold))
+        feature_model = features.fit(rows.filter(F.col("fold") != fold))
+        prepared = feature_model.transform(rows).select("features", "label", "fold")
+        prepared = prepared.checkpoint()
+        inside = prepared.filter(F.col("fold") != fold)
+        held_out = prepared.filter(F.col("fold") == fold)
         for smoothing in grid:
-            model = NaiveBayes(smoothing=smoothing).fit(prepared)
+            model = NaiveBayes(smoothing=smoothing).fit(inside)
             report = classification_report(model.transform(held_out))
             sums[smoothing] += report.first()["accuracy"]
-        prepared.unpersist()
     accuracy = {smoothing: total / folds for smoothing, total in sums.items()}
     best = max(grid, key=lambda smoothing: accuracy[smoothing])
     feature_model = features.fit(rows)
     classifier = NaiveBayes(smoothing=best).fit(feature_model.transform(rows))
-    rows.unpersist()
     model = PipelineModel([tokens, *feature_model.stages, label_model, classifier])
     return Tuned(model, best, accuracy)

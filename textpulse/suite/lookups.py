@@ -276,13 +276,13 @@ def rated_frames(spark, sf):
         "label", F.when(F.col("quality") == 1, "positive").otherwise("neutral")
     )
     return semantics.text_frames(
-        named, inputs.frames(spark, sf), ["doc_id"], text="text", label="label"
+        named, inputs.frames(spark, sf), "doc_id", text="text", label="label"
     )
 
 
 @query("frame_summary", SUMMARY_ROWS_SQL)
 def frame_summary(spark, sf):
-    return semantics.frame_summary(rated_frames(spark, sf), ["doc_id"])
+    return semantics.frame_summary(rated_frames(spark, sf), "doc_id")
 
 
 @query(
@@ -290,8 +290,9 @@ def frame_summary(spark, sf):
     f"{SUMMARY_SQL} SELECT polarity, frame_name, n, first_seen[1] AS first_doc FROM ranked",
 )
 def frame_counts(spark, sf):
-    counts = semantics.frame_counts(rated_frames(spark, sf), ["doc_id"])
-    return counts.select("polarity", "frame_name", "n", F.col("first_seen.doc_id").alias("first_doc"))
+    counts = semantics.frame_counts(rated_frames(spark, sf), "doc_id")
+    first_doc = F.floor(F.col("first_seen") / semantics.PLACES).cast("bigint")
+    return counts.select("polarity", "frame_name", "n", first_doc.alias("first_doc"))
 
 
 @query(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from textpulse.operators.clean import stable_split
 from textpulse.operators.metrics import classification_report
 from textpulse.plans import models, scoring, tuning
+from textpulse.plans.training import fit_classifier, spread_rows
 from textpulse.schemas import SCORED_COLUMNS
 from textpulse.session import new_folder
 from textpulse.sources.readers import read_table
@@ -70,14 +71,15 @@ NB_SQL = naive_bayes_sql()
 
 def split_tweets(spark, sf):
     """(train, test) texts, by a bucket of the key."""
-    return stable_split(tweets(spark, sf).dropna(subset=["tweet"]), "id")
+    rows = tweets(spark, sf).select("id", "sentiment", "tweet").dropna(subset=["tweet"])
+    train, test = stable_split(rows, "id")
+    return spread_rows(train, "id"), test
 
 
 def held_out(spark, sf, pipeline):
     """Fit on the training rows; label, class and name of every test row."""
     train, test = split_tweets(spark, sf)
-    model = pipeline.fit(train.select("tweet", "sentiment"))
-    scored = scoring.score(model, test.select("id", "tweet", "sentiment"), labelled=True)
+    scored = scoring.score(fit_classifier(pipeline, train), test, labelled=True)
     return scored.select("id", "label", "prediction", "sentiment_prediction")
 
 
@@ -196,7 +198,7 @@ def fitted_naive_bayes(spark, sf):
     """Train, save, and load again: what a scoring job starts from."""
     train, _ = split_tweets(spark, sf)
     path = new_folder(spark, "model")
-    save_model(models.nb_vocabulary().fit(train.select("tweet", "sentiment")), path)
+    save_model(fit_classifier(models.nb_vocabulary(), train), path)
     return load_model(path)
 
 

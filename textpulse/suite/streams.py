@@ -6,6 +6,7 @@ from pyspark.sql.types import LongType
 
 from textpulse.operators.clean import clean_tweets
 from textpulse.plans import models
+from textpulse.plans.training import fit_classifier
 from textpulse.schemas import SCORED_COLUMNS, tweet_schema
 from textpulse.session import new_folder
 from textpulse.sources.messages import decode_messages
@@ -53,7 +54,7 @@ def stream_score(spark, sf):
     """All texts as messages, scored in micro-batches by a model of cleaned texts."""
     schema = tweet_schema(LongType())
     train, _ = split_tweets(spark, sf)
-    model = models.nb_vocabulary().fit(clean_tweets(train).select("tweet", "sentiment"))
+    model = fit_classifier(models.nb_vocabulary(), clean_tweets(train))
     folder = messages_folder(spark, tweets(spark, sf))
     stream = replay.replay_stream(spark, folder, FILES_PER_TRIGGER)
     scored = scoring.score_messages(stream, model, schema)
