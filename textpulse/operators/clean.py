@@ -52,16 +52,20 @@ def drop_repeated_text(df: DataFrame, text: str, order_by: str) -> DataFrame:
     )
 
 
-def stable_split(
-    df: DataFrame, key: Column | str, train_tenths: int = 8
-) -> tuple[DataFrame, DataFrame]:
-    """(train, test) by an md5 bucket of the key.
+def split_part(key: str, train_tenths: int = 8) -> Column:
+    """``train`` or ``test`` by an md5 bucket of the key.
 
     Unlike ``randomSplit`` the answer does not change with the number of partitions,
-    the row order or a recomputed task, and it is a plain filter: no sort, no shuffle.
+    the row order or a recomputed task, and it is a plain expression: no sort.
     """
-    bucket = md5_bucket(F.col(key) if isinstance(key, str) else key, 10)
-    return df.filter(bucket < train_tenths), df.filter(bucket >= train_tenths)
+    in_train = md5_bucket(F.col(key), 10) < train_tenths
+    return F.when(in_train, F.lit("train")).otherwise(F.lit("test"))
+
+
+def stable_split(df: DataFrame, key: str, train_tenths: int = 8) -> tuple[DataFrame, DataFrame]:
+    """(train, test) by ``split_part``."""
+    part = split_part(key, train_tenths)
+    return df.filter(part == "train"), df.filter(part == "test")
 
 
 def random_split(

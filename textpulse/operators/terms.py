@@ -37,13 +37,30 @@ def term_counts(df: DataFrame, words: Column) -> DataFrame:
 
 
 def vocabulary(df: DataFrame, words: Column, size: int) -> DataFrame:
-    """The ``size`` most frequent terms and their rank; ties in term order."""
-    top = term_counts(df, words).orderBy(F.col("n").desc(), F.col("term")).limit(size)
+    """The ``size`` most frequent terms and their rank; ties in term order.
+
+    Terms below the count that the last kept term must have are filtered where they
+    are, so the final sort sees little more than ``size`` rows.
+    """
+    counts = term_counts(df, words)
+    frequent = counts.filter(F.col("n") >= _least_count(counts, size))
+    top = frequent.orderBy(F.col("n").desc(), F.col("term")).limit(size)
     # At most ``size`` rows are ranked.
     rank = F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("term"))) - 1
     return top.withColumn("index", rank)
 
 
+def _least_count(counts: DataFrame, size: int) -> Column:
+    """The smallest count with fewer than ``size`` terms above it, as a subquery.
+
+    The running sum is over one row per distinct count.
+    """
+    histogram = counts.groupBy("n").agg(F.count("*").alias("terms"))
+    above = F.sum("terms").over(Window.orderBy(F.col("n").desc())) - F.col("terms")
+    kept = histogram.withColumn("above", above).filter(F.col("above") < size)
+    return kept.agg(F.min("n")).scalar()
+
+
 def document_frequency(df: DataFrame, words: Column) -> DataFrame:
     """Rows that hold the term. Repeats inside a row go first, so no distinct is needed."""
     return (

@@ -9,21 +9,6 @@ from pyspark.sql import DataFrame
 from textpulse.session import ready_checkpoints
 
 
-def spread_rows(rows: DataFrame, key: str) -> DataFrame:
-    """Rows over at least as many partitions as the cluster runs tasks at once.
-
-    Training reads its rows once per stage. A few large files would leave most of the
-    cluster idle each time, so such rows are spread by key and stored once. A scan
-    that has enough partitions already is left alone: no shuffle and no copy. Call it
-    on a scan with filters, not after a join or a grouping.
-    """
-    wanted = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= wanted:
-        return rows
-    ready_checkpoints(rows.sparkSession)
-    return rows.repartition(wanted, key).checkpoint()
-
-
 def fit_classifier(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
     """Fit the feature stages, store the features, then fit the last stage on them.
 

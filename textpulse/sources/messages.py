@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from textpulse.schemas import tweet_schema
 
@@ -37,7 +37,7 @@ def split_corrupt(
     """(decoded rows, messages that could not be read whole, as text)."""
     wanted = schema or tweet_schema()
     text = F.col(value).cast("string")
-    with_corrupt = StructType(wanted.fields).add(_CORRUPT, "string")
+    with_corrupt = StructType([*wanted.fields, StructField(_CORRUPT, StringType(), True)])
     parsed = df.select(
         text.alias("_text"),
         F.from_json(text, with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT}).alias("_v"),

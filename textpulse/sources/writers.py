@@ -28,8 +28,8 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errori
 
 
 def write_summary(summary: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """The frame summary under its fixed header."""
-    write_csv(summary.toDF(*SUMMARY_COLUMNS), path, header=True, mode=mode)
+    """The frame summary under its fixed header: a few ranked rows, so one file."""
+    write_csv(summary.toDF(*SUMMARY_COLUMNS).coalesce(1), path, header=True, mode=mode)
 
 
 def scored_log(scored: DataFrame, sentiment: str = "sentiment") -> DataFrame:

@@ -9,7 +9,7 @@ from textpulse.functions import lower_words
 from textpulse.operators import terms
 from textpulse.plans.models import HASH_BUCKETS, SELECTED_FEATURES, VOCABULARY_LR
 from textpulse.sources.readers import read_table
-from textpulse.suite.inputs import WORDS_SQL
+from textpulse.suite.inputs import WORDS_SQL, documents
 from textpulse.suite.registry import query
 
 DOC_WORDS_SQL = f"""
@@ -42,7 +42,7 @@ def label_index(spark, sf):
     FROM pairs GROUP BY word ORDER BY n DESC, term LIMIT {VOCABULARY_LR}""",
 )
 def vocabulary(spark, sf):
-    return terms.vocabulary(read_table(spark, sf, "documents"), words(), VOCABULARY_LR)
+    return terms.vocabulary(documents(spark, sf, "text"), words(), VOCABULARY_LR)
 
 
 @query(
@@ -53,7 +53,7 @@ def vocabulary(spark, sf):
     FROM pairs, n GROUP BY word""",
 )
 def idf_weights(spark, sf):
-    weights = terms.idf_weights(read_table(spark, sf, "documents"), words(), min_doc_freq=5)
+    weights = terms.idf_weights(documents(spark, sf, "text"), words(), min_doc_freq=5)
     return weights.withColumn("idf", F.round("idf", 6))
 
 
@@ -76,7 +76,7 @@ CHI_SQL = f"""WITH {DOC_WORDS_SQL},
 @query("chi_square", CHI_SQL)
 def chi_square(spark, sf):
     """The statistic of every term, from presence in the text against its language."""
-    scores = terms.chi_square_terms(read_table(spark, sf, "documents"), words(), "lang")
+    scores = terms.chi_square_terms(documents(spark, sf, "text", "lang"), words(), "lang")
     return scores.withColumn("chi_square", F.round("chi_square", 6))
 
 
@@ -88,9 +88,57 @@ def chi_square_top(spark, sf):
     return terms.top_terms(chi_square(spark, sf), "chi_square", SELECTED_FEATURES)
 
 
-@query("hashed_tf")
+# 32-bit murmur3 with seed 42 over the UTF-8 bytes of each distinct word.
+MURMUR_SQL = """
+spelled AS (
+  SELECT word, hex(encode(word)) AS h, strlen(word) AS len FROM (SELECT DISTINCT word FROM pairs)),
+chunked AS (
+  SELECT word, len, list_transform(range(0, len // 4), lambda i:
+      ('0x' || h[8*i + 7:8*i + 8] || h[8*i + 5:8*i + 6] || h[8*i + 3:8*i + 4] || h[8*i + 1:8*i + 2])::UBIGINT)
+      AS blocks,
+    coalesce(list_sum(list_transform(range(0, len % 4), lambda i:
+      ('0x' || h[8*(len // 4) + 2*i + 1:8*(len // 4) + 2*i + 2])::UBIGINT * (256 ** i)::UBIGINT)), 0)::UBIGINT AS tail
+  FROM spelled),
+scrambled AS (
+  SELECT word, len, list_transform(list_append(blocks, tail), lambda k: scramble(k)) AS ks FROM chunked),
+mixed AS (
+  SELECT word, xor(xor(
+    list_reduce(ks[1:len // 4], lambda h, k: (rotate(xor(h, k), 13) * 5 + 3864292196) % 4294967296, 42::UBIGINT),
+    ks[len // 4 + 1]), len::UBIGINT) AS h
+  FROM scrambled),
+step1 AS (SELECT word, (xor(h, h // 65536) * 2246822507) % 4294967296 AS h FROM mixed),
+step2 AS (SELECT word, (xor(h, h // 8192) * 3266489909) % 4294967296 AS h FROM step1),
+buckets AS (SELECT word, xor(h, h // 65536) % {buckets} AS bucket FROM step2)"""
+ROTATE_SQL = "(({x} * {left}) % 4294967296 + {x} // {right})"
+
+
+def murmur_sql(buckets: int) -> str:
+    """The CTEs above with their two helper expressions written out."""
+    product = "((k * 3432918353) % 4294967296)"
+    scrambled = ROTATE_SQL.format(x=product, left=2**15, right=2**17)
+    mixed = ROTATE_SQL.format(x="xor(h, k)", left=2**13, right=2**19)
+    text = MURMUR_SQL.format(buckets=buckets)
+    text = text.replace("scramble(k)", f"({scrambled} * 461845907) % 4294967296")
+    return text.replace("rotate(xor(h, k), 13)", mixed)
+
+
+@query(
+    "hashed_tf",
+    f"""WITH {DOC_WORDS_SQL}, {murmur_sql(HASH_BUCKETS)},
+    filled AS (SELECT doc_id, bucket, sum(tf)::BIGINT AS n
+               FROM pairs JOIN buckets USING (word) GROUP BY ALL)
+    SELECT d.doc_id, coalesce(string_agg(bucket::VARCHAR, ',' ORDER BY bucket), '') AS buckets,
+      coalesce(string_agg(n || '.0', ',' ORDER BY bucket), '') AS counts
+    FROM documents d LEFT JOIN filled USING (doc_id) GROUP BY d.doc_id""",
+)
 def hashed_tf(spark, sf):
-    """Hash-bucket counts per document, as the text of a sparse vector."""
-    documents = read_table(spark, sf, "documents").select("doc_id", words().alias("words"))
+    """Hash-bucket counts per document: the two lists of each sparse vector."""
+    rows = documents(spark, sf, "text").select("doc_id", words().alias("words"))
     hashing = HashingTF(inputCol="words", outputCol="TF", numFeatures=HASH_BUCKETS)
-    return hashing.transform(documents).select("doc_id", F.col("TF").cast("string").alias("tf"))
+    vector = hashing.transform(rows).select("doc_id", F.col("TF").cast("string").alias("tf"))
+    lists = r"\[(.*?)\],\[(.*?)\]"
+    return vector.select(
+        "doc_id",
+        F.regexp_extract("tf", lists, 1).alias("buckets"),
+        F.regexp_extract("tf", lists, 2).alias("counts"),
+    )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from textpulse.functions import is_lexical_word, md5_bucket, surface_tokens
 from textpulse.operators.lexicon import most_frequent_tag
+from textpulse.operators.partitions import spread_rows
 from textpulse.sources.readers import read_table
 
 TOKEN_SQL = r"regexp_extract_all({0}, '[\p{{L}}\p{{N}}]+|[^\s\p{{L}}\p{{N}}]')"
@@ -29,6 +30,11 @@ def tokens_sql(column: str) -> str:
     return TOKEN_SQL.format(column)
 
 
+def documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Columns of ``documents``, over enough partitions for heavy work on the texts."""
+    return spread_rows(read_table(spark, sf, "documents").select("doc_id", *columns), "doc_id")
+
+
 def tweets(spark: SparkSession, sf: str) -> DataFrame:
     """``documents`` as labelled texts: whole texts, language as the class."""
     return read_table(spark, sf, "documents").select(
@@ -39,15 +45,17 @@ def tweets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def documents_with_labels(spark: SparkSession, sf: str) -> DataFrame:
+def documents_with_labels(spark: SparkSession, sf: str, waves: int = 0) -> DataFrame:
     """Every document, with nulls where it has no label."""
-    documents = read_table(spark, sf, "documents")
-    return documents.join(read_table(spark, sf, "labels"), "doc_id", "left")
+    rows = read_table(spark, sf, "documents")
+    if waves:
+        rows = spread_rows(rows, "doc_id", waves)
+    return rows.join(read_table(spark, sf, "labels"), "doc_id", "left")
 
 
-def rated_tweets(spark: SparkSession, sf: str) -> DataFrame:
+def rated_tweets(spark: SparkSession, sf: str, waves: int = 0) -> DataFrame:
     """Labelled texts whose class is the rating as text; null for unrated ones."""
-    return documents_with_labels(spark, sf).select(
+    return documents_with_labels(spark, sf, waves).select(
         F.col("doc_id").alias("id"),
         F.col("source").alias("game"),
         F.col("quality").cast("string").alias("sentiment"),

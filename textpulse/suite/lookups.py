@@ -271,7 +271,7 @@ SUMMARY_ROWS_SQL = f"""{SUMMARY_SQL}
 
 def rated_frames(spark, sf):
     labels = read_table(spark, sf, "labels").select("doc_id", "quality")
-    rated = read_table(spark, sf, "documents").select("doc_id", "text").join(labels, "doc_id")
+    rated = inputs.documents(spark, sf, "text").join(labels, "doc_id")
     named = rated.withColumn(
         "label", F.when(F.col("quality") == 1, "positive").otherwise("neutral")
     )

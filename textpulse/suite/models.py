@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from textpulse.operators.clean import stable_split
 from textpulse.operators.metrics import classification_report
+from textpulse.operators.partitions import spread_rows
 from textpulse.plans import models, scoring, tuning
-from textpulse.plans.training import fit_classifier, spread_rows
+from textpulse.plans.training import fit_classifier
 from textpulse.schemas import SCORED_COLUMNS
 from textpulse.session import new_folder
 from textpulse.sources.readers import read_table
@@ -73,7 +74,7 @@ def split_tweets(spark, sf):
     """(train, test) texts, by a bucket of the key."""
     rows = tweets(spark, sf).select("id", "sentiment", "tweet").dropna(subset=["tweet"])
     train, test = stable_split(rows, "id")
-    return spread_rows(train, "id"), test
+    return spread_rows(train, "id", store=True), test
 
 
 def held_out(spark, sf, pipeline):
@@ -210,6 +211,7 @@ def fitted_naive_bayes(spark, sf):
 def score_unlabelled(spark, sf):
     """Every text scored without its label, named by the fitted label order."""
     rows = tweets(spark, sf).drop("sentiment").dropna(subset=["tweet"])
+    rows = spread_rows(rows, "id")
     scored = scoring.score(fitted_naive_bayes(spark, sf), rows)
     return scored.select(*SCORED_COLUMNS)
 
@@ -225,7 +227,8 @@ def score_labelled(spark, sf):
     """Scoring with the label stage: texts without a rating have a null label and drop."""
     rated = read_table(spark, sf, "labels").select(F.col("doc_id").alias("id"), "quality")
     known = F.when(F.col("quality").isNotNull(), F.col("sentiment"))
-    rows = tweets(spark, sf).join(rated, "id", "left").withColumn("sentiment", known)
+    rows = spread_rows(tweets(spark, sf), "id").join(rated, "id", "left")
+    rows = rows.withColumn("sentiment", known)
     scored = scoring.score(
         fitted_naive_bayes(spark, sf),
         rows.dropna(subset=["tweet"]),
@@ -244,6 +247,7 @@ def score_labelled(spark, sf):
 def score_request(spark, sf):
     """The on-demand path over many texts: no label stage, three names and a fallback."""
     rows = tweets(spark, sf).select("id", "tweet").dropna(subset=["tweet"])
+    rows = spread_rows(rows, "id")
     scored = scoring.score(
         fitted_naive_bayes(spark, sf), rows, names=scoring.REQUEST, output="sentiment"
     )

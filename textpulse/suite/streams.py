@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import LongType
 
 from textpulse.operators.clean import clean_tweets
+from textpulse.operators.partitions import spread_rows
 from textpulse.plans import models
 from textpulse.plans.training import fit_classifier
 from textpulse.schemas import SCORED_COLUMNS, tweet_schema
@@ -15,9 +16,6 @@ from textpulse.suite.inputs import CLEAN_SQL, RATED_SQL, rated_tweets, tweets
 from textpulse.suite.models import CLEANED_NB_SQL, split_tweets
 from textpulse.suite.registry import query
 
-FILES_PER_TRIGGER = 4
-
-
 def drained(spark, stream, schema):
     """Everything a stream has to give, through the repeatable sink."""
     out, checkpoint = new_folder(spark, "scored"), new_folder(spark, "stream-checkpoint")
@@ -25,10 +23,11 @@ def drained(spark, stream, schema):
     return scoring.read_scored(spark, out, schema)
 
 
-def messages_folder(spark, rows):
+def replayed(spark, rows):
+    """The rows as a message stream that gives every task slot one file per batch."""
     folder = new_folder(spark, "messages")
-    replay.write_replay(rows, folder, files=8)
-    return folder
+    replay.write_replay(rows, folder)
+    return replay.replay_stream(spark, folder, spark.sparkContext.defaultParallelism)
 
 
 @query(
@@ -39,8 +38,7 @@ def messages_folder(spark, rows):
 def stream_clean(spark, sf):
     """Messages decoded and cleaned in micro-batches; incomplete ones drop."""
     schema = tweet_schema(LongType())
-    folder = messages_folder(spark, rated_tweets(spark, sf))
-    stream = replay.replay_stream(spark, folder, FILES_PER_TRIGGER)
+    stream = replayed(spark, rated_tweets(spark, sf, waves=2))
     cleaned = clean_tweets(decode_messages(stream, schema))
     return drained(spark, cleaned, schema).select(*schema.names)
 
@@ -55,7 +53,6 @@ def stream_score(spark, sf):
     schema = tweet_schema(LongType())
     train, _ = split_tweets(spark, sf)
     model = fit_classifier(models.nb_vocabulary(), clean_tweets(train))
-    folder = messages_folder(spark, tweets(spark, sf))
-    stream = replay.replay_stream(spark, folder, FILES_PER_TRIGGER)
+    stream = replayed(spark, spread_rows(tweets(spark, sf), "id", waves=2))
     scored = scoring.score_messages(stream, model, schema)
     return drained(spark, scored, scored.schema).select(*SCORED_COLUMNS)

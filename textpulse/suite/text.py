@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from textpulse.functions import clean_text, lower_words, ngrams, word_count
 from textpulse.operators import clean
+from textpulse.operators.partitions import spread_rows
 from textpulse.sources.readers import read_table
 from textpulse.suite.inputs import (
     CLEAN_SQL,
     RATED_SQL,
     WORDS_SQL,
     bucket_sql,
+    documents,
     documents_with_labels,
     rated_tweets,
     tweets,
@@ -21,8 +23,8 @@ from textpulse.suite.registry import query
 
 @query("clean_text", f"SELECT doc_id, {CLEAN_SQL} AS tweet FROM documents WHERE text IS NOT NULL")
 def clean_text_query(spark, sf):
-    documents = clean.drop_incomplete(read_table(spark, sf, "documents"), ["text"])
-    return documents.select("doc_id", clean_text(F.col("text")).alias("tweet"))
+    rows = clean.drop_incomplete(documents(spark, sf, "text"), ["text"])
+    return rows.select("doc_id", clean_text(F.col("text")).alias("tweet"))
 
 
 @query(
@@ -31,8 +33,8 @@ def clean_text_query(spark, sf):
     FROM documents WHERE text IS NOT NULL""",
 )
 def clean_text_unicode(spark, sf):
-    documents = clean.drop_incomplete(read_table(spark, sf, "documents"), ["text"])
-    return documents.select("doc_id", clean_text(F.col("text"), unicode=True).alias("tweet"))
+    rows = clean.drop_incomplete(documents(spark, sf, "text"), ["text"])
+    return rows.select("doc_id", clean_text(F.col("text"), unicode=True).alias("tweet"))
 
 
 @query(
@@ -42,7 +44,7 @@ def clean_text_unicode(spark, sf):
     WHERE id IS NOT NULL AND game IS NOT NULL AND sentiment IS NOT NULL AND text IS NOT NULL""",
 )
 def preprocess(spark, sf):
-    return clean.clean_tweets(rated_tweets(spark, sf))
+    return clean.clean_tweets(rated_tweets(spark, sf, waves=1))
 
 
 @query(
@@ -61,8 +63,8 @@ def drop_incomplete(spark, sf):
     "SELECT doc_id, len(string_split(text, ' ')) AS word_count FROM documents",
 )
 def word_counts(spark, sf):
-    documents = read_table(spark, sf, "documents")
-    return documents.select("doc_id", word_count(F.col("text")).alias("word_count"))
+    rows = read_table(spark, sf, "documents")
+    return rows.select("doc_id", word_count(F.col("text")).alias("word_count"))
 
 
 @query(
@@ -70,8 +72,8 @@ def word_counts(spark, sf):
     "SELECT doc_id, lang, text FROM documents WHERE len(string_split(text, ' ')) >= 2",
 )
 def min_words(spark, sf):
-    documents = read_table(spark, sf, "documents").select("doc_id", "lang", "text")
-    return clean.keep_min_words(documents, "text", at_least=2)
+    rows = read_table(spark, sf, "documents").select("doc_id", "lang", "text")
+    return clean.keep_min_words(rows, "text", at_least=2)
 
 
 @query(
@@ -106,13 +108,10 @@ def dedup_text(spark, sf):
 )
 def training_rows(spark, sf):
     """Clean, drop repeats and short texts, and only then split."""
-    rows = tweets(spark, sf).select("id", "sentiment", "tweet")
+    rows = spread_rows(tweets(spark, sf).select("id", "sentiment", "tweet"), "id")
     rows = clean.clean_tweets(rows, required=["tweet"])
     rows = clean.drop_repeated_text(rows, "tweet", "id")
-    train, test = clean.stable_split(clean.keep_min_words(rows), "id")
-    return train.withColumn("part", F.lit("train")).unionByName(
-        test.withColumn("part", F.lit("test"))
-    )
+    return clean.keep_min_words(rows).withColumn("part", clean.split_part("id"))
 
 
 @query(
@@ -122,10 +121,7 @@ def training_rows(spark, sf):
 )
 def hash_split(spark, sf):
     ids = read_table(spark, sf, "documents").select("doc_id")
-    train, test = clean.stable_split(ids, "doc_id")
-    return train.withColumn("part", F.lit("train")).unionByName(
-        test.withColumn("part", F.lit("test"))
-    )
+    return ids.withColumn("part", clean.split_part("doc_id"))
 
 
 @query(
@@ -156,7 +152,7 @@ def reject_empty(spark, sf):
 def tokens(spark, sf):
     words = lower_words(F.col("text"))
     return (
-        read_table(spark, sf, "documents")
+        documents(spark, sf, "text")
         .select("doc_id", words.alias("w"))
         .select("doc_id", F.size("w").alias("n_words"), F.array_join("w", "|").alias("words"))
     )
@@ -181,9 +177,7 @@ def tokens(spark, sf):
     FROM (SELECT doc_id, unnest([1, 2, 3]) AS n FROM words) LEFT JOIN joined USING (doc_id, n)""",
 )
 def ngrams_query(spark, sf):
-    words = read_table(spark, sf, "documents").select(
-        "doc_id", lower_words(F.col("text")).alias("w")
-    )
+    words = documents(spark, sf, "text").select("doc_id", lower_words(F.col("text")).alias("w"))
     runs = F.array(
         *[F.struct(F.lit(n).alias("n"), ngrams(F.col("w"), n).alias("g")) for n in (1, 2, 3)]
     )
