@@ -55,7 +55,7 @@ def test_stored_features_give_the_model_of_the_plain_pipeline(rows, build, setti
 
 def test_forest_learns(rows):
     """Its samples depend on row order, so no two fits need be equal."""
-    pipeline = models.forest_hashed(buckets=256, trees=10, depth=5)
+    pipeline = models.forest_hashed(buckets=32, trees=20, depth=6)
     scored = scoring.score(fit_classifier(pipeline, rows), rows, labelled=True)
     right = scored.filter("sentiment = sentiment_prediction").count()
     assert scored.count() == 120 and right > 70
