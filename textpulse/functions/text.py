@@ -39,13 +39,9 @@ def lower_words(text: Column) -> Column:
     Leading and inner empty words are kept and trailing ones dropped; an empty text
     has one empty word and a text of white space only has none.
     """
-    lowered = F.lower(text)
-    trimmed = F.rtrim(lowered, F.lit(WHITE_SPACE))
-    return (
-        F.when(lowered == "", F.array(F.lit("")))
-        .when(trimmed == "", F.array().cast("array<string>"))
-        .otherwise(F.split(trimmed, r"\s"))
-    )
+    words = F.split(F.rtrim(F.lower(text), F.lit(WHITE_SPACE)), r"\s")
+    none = F.array().cast("array<string>")
+    return F.when(text.rlike(r"^\s++$"), none).otherwise(words)
 
 
 def ngrams(words: Column, n: int) -> Column:

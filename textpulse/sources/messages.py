@@ -28,7 +28,9 @@ def decode_messages(
     gives a null, and keys that the schema does not name are ignored.
     """
     parsed = F.from_json(F.col(value).cast("string"), schema or tweet_schema())
-    return df.select(parsed.alias("_v")).select("_v.*")
+    # ``inline`` flattens the struct; unlike ``v.*`` it keeps later filters from
+    # parsing every message a second time.
+    return df.select(F.inline(F.array(parsed)))
 
 
 def split_corrupt(
@@ -38,13 +40,11 @@ def split_corrupt(
     wanted = schema or tweet_schema()
     text = F.col(value).cast("string")
     with_corrupt = StructType([*wanted.fields, StructField(_CORRUPT, StringType(), True)])
-    parsed = df.select(
-        text.alias("_text"),
-        F.from_json(text, with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT}).alias("_v"),
-    )
-    bad = F.col("_text").isNull() | F.col(f"_v.{_CORRUPT}").isNotNull()
-    good = parsed.filter(~bad).select(*[F.col(f"_v.{f.name}") for f in wanted.fields])
-    return good, parsed.filter(bad).select(F.col("_text").alias(value))
+    parsed = F.from_json(text, with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT})
+    rows = df.select(text.alias("_text"), F.inline(F.array(parsed)))
+    bad = F.col("_text").isNull() | F.col(_CORRUPT).isNotNull()
+    good = rows.filter(~bad).select(*wanted.names)
+    return good, rows.filter(bad).select(F.col("_text").alias(value))
 
 
 def kafka_options(

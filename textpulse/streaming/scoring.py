@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from textpulse.operators.clean import clean_tweets
+from textpulse.operators.clean import clean_tweets, drop_incomplete
 from textpulse.plans.scoring import FITTED, score
 from textpulse.schemas import SCORED_COLUMNS
 from textpulse.sources.messages import decode_messages
@@ -28,7 +28,7 @@ def score_messages(
 ) -> DataFrame:
     """Decode, clean, score and name. Takes a table or a stream alike; keeps no state."""
     rows = decode_messages(messages, schema)
-    rows = clean_tweets(rows) if clean else rows.dropna()
+    rows = clean_tweets(rows) if clean else drop_incomplete(rows)
     return score(model, rows, labelled, names).select(*SCORED_COLUMNS)
 
 

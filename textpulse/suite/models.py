@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textpulse.operators.clean import stable_split
+from textpulse.operators.clean import drop_incomplete, stable_split
 from textpulse.operators.metrics import classification_report
 from textpulse.operators.partitions import spread_rows
 from textpulse.plans import models, scoring, tuning
@@ -72,7 +72,7 @@ NB_SQL = naive_bayes_sql()
 
 def split_tweets(spark, sf):
     """(train, test) texts, by a bucket of the key."""
-    rows = tweets(spark, sf).select("id", "sentiment", "tweet").dropna(subset=["tweet"])
+    rows = drop_incomplete(tweets(spark, sf).select("id", "sentiment", "tweet"), ["tweet"])
     train, test = stable_split(rows, "id")
     return spread_rows(train, "id", store=True), test
 
@@ -210,7 +210,7 @@ def fitted_naive_bayes(spark, sf):
 )
 def score_unlabelled(spark, sf):
     """Every text scored without its label, named by the fitted label order."""
-    rows = tweets(spark, sf).drop("sentiment").dropna(subset=["tweet"])
+    rows = drop_incomplete(tweets(spark, sf).drop("sentiment"), ["tweet"])
     rows = spread_rows(rows, "id")
     scored = scoring.score(fitted_naive_bayes(spark, sf), rows)
     return scored.select(*SCORED_COLUMNS)
@@ -231,7 +231,7 @@ def score_labelled(spark, sf):
     rows = rows.withColumn("sentiment", known)
     scored = scoring.score(
         fitted_naive_bayes(spark, sf),
-        rows.dropna(subset=["tweet"]),
+        drop_incomplete(rows, ["tweet"]),
         labelled=True,
         names=scoring.STREAM,
     )
@@ -246,7 +246,7 @@ def score_labelled(spark, sf):
 )
 def score_request(spark, sf):
     """The on-demand path over many texts: no label stage, three names and a fallback."""
-    rows = tweets(spark, sf).select("id", "tweet").dropna(subset=["tweet"])
+    rows = drop_incomplete(tweets(spark, sf).select("id", "tweet"), ["tweet"])
     rows = spread_rows(rows, "id")
     scored = scoring.score(
         fitted_naive_bayes(spark, sf), rows, names=scoring.REQUEST, output="sentiment"

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from textpulse.functions import request_sentiment
+from textpulse.operators.clean import drop_incomplete
 from textpulse.schemas import tweet_schema
 from textpulse.session import new_folder
 from textpulse.sources import messages, readers, writers
@@ -76,7 +77,7 @@ def parse_messages(spark, sf):
 def replay_json(spark, sf):
     """Rows to messages and back; a null field makes the message incomplete."""
     sent = messages.encode_messages(rated_tweets(spark, sf))
-    return messages.decode_messages(sent, tweet_schema(LongType())).dropna()
+    return drop_incomplete(messages.decode_messages(sent, tweet_schema(LongType())))
 
 
 @query(
