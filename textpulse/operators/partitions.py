@@ -8,18 +8,18 @@ from textpulse.session import ready_checkpoints
 
 
 def spread_rows(rows: DataFrame, key: str, waves: int = 1, store: bool = False) -> DataFrame:
-    """Rows over ``waves`` partitions per task slot, if a scan gives less than half of that.
+    """Rows over at least ``waves`` partitions per task slot of the cluster.
 
     A few large files, or files of one row group, would leave most of the cluster idle
     during heavy work on text; such rows are spread by their (unique) key. A scan that
-    keeps half of the slots busy is returned as it is, so no more than that many
-    partitions are ever shuffled. ``store=True`` also writes spread rows once, for work
-    that reads them many times.
+    has enough partitions is returned as it is, without a shuffle, so what is ever
+    shuffled is less than one wave of scan tasks. ``store=True`` also writes spread
+    rows once, for work that reads them many times.
 
     Call it on a scan with filters, not after a join or a grouping.
     """
     wanted = waves * rows.sparkSession.sparkContext.defaultParallelism
-    if 2 * rows.rdd.getNumPartitions() >= wanted:
+    if rows.rdd.getNumPartitions() >= wanted:
         return rows
     spread = rows.repartition(wanted, key)
     if not store:

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import NaiveBayes
+from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from textpulse.session import ready_checkpoints
 
+BYTES_PER_ENTRY = 12  # one index and one weight of a sparse vector
+ITERATED_BYTES = 256 << 20
+
 
 def fit_classifier(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
     """Fit the feature stages, store the features, then fit the last stage on them.
@@ -19,8 +25,23 @@ def fit_classifier(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
     """
     *stages, classifier = pipeline.getStages()
     features = Pipeline(stages=stages).fit(rows)
-    prepared = features.transform(rows).select("features", "label")
-    if not isinstance(classifier, NaiveBayes):
-        ready_checkpoints(rows.sparkSession)
-        prepared = prepared.checkpoint()
-    return PipelineModel([*features.stages, classifier.fit(prepared)])
+    prepared = features.transform(rows)
+    if isinstance(classifier, NaiveBayes):
+        fitted = classifier.fit(prepared.select("features", "label"))
+        return PipelineModel([*features.stages, fitted])
+    ready_checkpoints(rows.sparkSession)
+    entries = F.size(stages[0].getOutputCol()).alias("entries")
+    stored = prepared.select("features", "label", entries).checkpoint()
+    if isinstance(classifier, LogisticRegression):
+        stored = _pack(stored)
+    return PipelineModel([*features.stages, classifier.fit(stored.select("features", "label"))])
+
+
+def _pack(stored: DataFrame) -> DataFrame:
+    """Fewer partitions where they are small, without a shuffle.
+
+    Every partition sends a gradient as large as the model in every iteration, so a
+    partition should hold much more data than that.
+    """
+    entries = stored.agg(F.sum("entries")).first()[0] or 0
+    return stored.coalesce(max(1, ceil(entries * BYTES_PER_ENTRY / ITERATED_BYTES)))
