@@ -50,9 +50,10 @@ def analyze_texts(
     Texts without content to analyse are left out; the ``carry`` columns (a label, for
     one) pass through.
 
-    The texts are partitioned by key first, so only raw text crosses the network:
-    tokens, lookups, both groupings and the join back to the text all stay within that
-    partitioning. A text's own tokens are the largest group.
+    The texts are partitioned by key first, so only raw text crosses the network (for
+    the tokens, and again for the row itself): tokens, lookups, both groupings and the
+    join back to the text all stay within that partitioning. A text's own tokens are
+    the largest group.
     """
     key = list(key)
     spread = texts.filter(F.col(text).isNotNull()).select(*key, text, *carry)
