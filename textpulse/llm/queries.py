@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textpulse.llm import bpe, licenses, sharding, urls
+from textpulse.llm import bpe, licenses, lines, sharding, urls
 from textpulse.llm.common import table
 
 SHARDS = 16
@@ -44,11 +44,22 @@ def op9_url_rules(spark, folder):
     return urls.judge(table(spark, folder, "pages"))
 
 
+def op10_line_dedup(spark, folder):
+    """Line links and removals of every document."""
+    made = lines.dedup_lines(table(spark, folder, "documents"))
+    return made.select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_links").alias("n_links"),
+        F.col("_line_classes").alias("line_classes"), F.col("_n_removed").alias("n_removed"),
+        F.sha2(F.col("text"), 256).alias("text_sha256"),
+    )
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_reshard": op2_reshard,
     "op7_licenses": op7_licenses,
     "op9_url_rules": op9_url_rules,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 SQL = {
