@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textpulse.llm import bpe, licenses, lines, sharding, urls
+from textpulse.llm import bpe, licenses, lines, quality, sharding, urls
 from textpulse.llm.common import table
 
 SHARDS = 16
@@ -31,6 +31,11 @@ def op2_reshard(spark, folder):
     )
 
 
+def op4_quality(spark, folder):
+    """Base counts, base rules and divergence verdict of every document."""
+    return quality.judge(table(spark, folder, "documents"))
+
+
 def op7_licenses(spark, folder):
     """License detections of every document."""
     found = licenses.scan(table(spark, folder, "documents"))
@@ -57,6 +62,7 @@ def op10_line_dedup(spark, folder):
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_reshard": op2_reshard,
+    "op4_quality": op4_quality,
     "op7_licenses": op7_licenses,
     "op9_url_rules": op9_url_rules,
     "op10_line_dedup": op10_line_dedup,
