@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+import textpulse
 from textpulse.session import new_folder
 
 #: Rows handed to a Python step at a time; bounds what a worker holds beside one Arrow batch.
@@ -45,6 +48,7 @@ def map_columns(df: DataFrame, schema: str, start: Callable[[], Callable[..., li
     The step gets one Python list per input column and returns one list per output column;
     the output may have any number of rows.
     """
+    ready_workers(df.sparkSession)
     arrow_schema = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
@@ -59,6 +63,18 @@ def map_columns(df: DataFrame, schema: str, start: Callable[[], Callable[..., li
     return df.mapInArrow(run, schema)
 
 
+def ready_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver found it.
+
+    A cluster has the package installed or sent along by ``--py-files``; this adds the path
+    for workers that share the driver's files, whatever folder the program was started in.
+    """
+    root = str(Path(textpulse.__file__).resolve().parent.parent)
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def row_key(id_column: str = "doc_id", text_column: str = "text") -> Column:
     """A 64-bit key of id and text; rows equal in both are one row for every operator."""
     return F.xxhash64(

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textpulse.llm.common import map_columns, store
+from textpulse.llm.common import map_columns, ready_workers, store
 
 #: What stands between words: exactly what ``bytes.split`` splits on.
 GAPS = " \t\n\x0b\x0c\r"
@@ -131,6 +131,7 @@ def references(docs: DataFrame, lang: str = "lang", text: str = "text") -> dict[
                     yield flush()
         yield flush()
 
+    ready_workers(docs.sparkSession)
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
     counted = store(
         rows.mapInArrow(run, "lang string, key string, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")),
@@ -198,6 +199,8 @@ class Nearest:
         self.own = self.shares[:, :-1] > 0
         self.shares[:, -1] = 1 - self.shares[:, :-1].sum(1)
         self.known: dict[bytes, int] = {}
+        # A longer word, up to four marks at its edges included, is none of the common ones.
+        self.longest = max((len(w.encode()) for w in self.places), default=0) + 4
 
     def place(self, word: bytes) -> int:
         if len(self.known) > FLUSH_WORDS:
@@ -211,7 +214,8 @@ class Nearest:
             return None, 1.0, 1.0
         counts = np.zeros(len(self.places))
         known = self.known.get
-        for word, n in Counter(words).items():
+        longest = self.longest
+        for word, n in Counter([w for w in words if len(w) <= longest]).items():
             at = known(word)
             if at is None:
                 at = self.place(word)
