@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 import textpulse
 from textpulse.session import new_folder
@@ -63,6 +63,34 @@ def map_columns(df: DataFrame, schema: str, start: Callable[[], Callable[..., li
     return df.mapInArrow(run, schema)
 
 
+def append_columns(df: DataFrame, inputs: list[str], added: str, start: Callable[[], Callable[..., list]]) -> DataFrame:
+    """``df`` with the columns of the DDL ``added``, made by ``start()`` once per task.
+
+    The step gets a Python list per input column and returns one per added column, of the
+    same length; other columns pass through as Arrow data, whatever their names.
+    """
+    ready_workers(df.sparkSession)
+    extra = StructType.fromDDL(added)
+    arrow_extra = to_arrow_schema(extra)
+    at = [df.columns.index(c) for c in inputs]
+    count = len(df.columns)
+    schema = StructType([*df.schema.fields, *extra.fields])
+    # Arrow goes by position; plain names keep clashing ones apart on the way.
+    names = [f"c{k}" for k in range(count + len(extra))]
+    sent = StructType([StructField(n, f.dataType, True) for n, f in zip(names, schema.fields)])
+
+    def run(batches):
+        step = start()
+        for batch in batches:
+            for first in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(first, SLICE_ROWS)
+                made = step(*(part.column(i).to_pylist() for i in at))
+                arrays = [pa.array(values, field.type) for values, field in zip(made, arrow_extra)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *arrays], names=names)
+
+    return df.mapInArrow(run, sent).toDF(*[f.name for f in schema.fields])
+
+
 def ready_workers(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver found it.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textpulse.llm import bpe, licenses, lines, quality, sharding, urls
+from textpulse.llm import bpe, licenses, lines, quality, sharding, toxicity, urls
 from textpulse.llm.common import table
 
 SHARDS = 16
@@ -31,6 +31,16 @@ def op2_reshard(spark, folder):
     )
 
 
+def op3_toxicity(spark, folder):
+    """Toxicity of every document, learnt from labelled rows that are not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id", toxicity.held_out().alias("held_out"), F.col("_score").alias("score"),
+        (F.col("_score") >= 0.5).cast("int").alias("predicted"), F.col("_evidence").alias("evidence"),
+    )
+
+
 def op4_quality(spark, folder):
     """Base counts, base rules and divergence verdict of every document."""
     return quality.judge(table(spark, folder, "documents"))
@@ -62,6 +72,7 @@ def op10_line_dedup(spark, folder):
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_reshard": op2_reshard,
+    "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
     "op7_licenses": op7_licenses,
     "op9_url_rules": op9_url_rules,
