@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 from pathlib import Path
 
@@ -22,6 +23,19 @@ SLICE_ROWS = 512
 BROADCAST_BYTES = 16 << 20
 
 
+#: ASCII that is no letter, digit or underscore becomes a space.
+_SPACED = bytes(b if b > 127 or chr(b).isalnum() or b == 95 else 32 for b in range(256))
+_OTHER_MARKS = re.compile(r"[^\x00-\x7f\w]+")
+
+
+def lower_words(text: str | None) -> list[str]:
+    """Runs of letters, digits and underscores (``\\w``) of the lower-case text."""
+    low = (text or "").lower()
+    if not low.isascii():
+        low = _OTHER_MARKS.sub(" ", low)
+    return low.encode("utf-8", "surrogatepass").translate(_SPACED).decode("utf-8", "surrogatepass").split()
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

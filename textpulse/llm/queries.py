@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textpulse.llm import bpe, licenses, lines, quality, sharding, toxicity, urls
+from textpulse.llm import bpe, decontaminate, licenses, lines, quality, sharding, toxicity, urls
 from textpulse.llm.common import table
 
 SHARDS = 16
@@ -46,6 +46,13 @@ def op4_quality(spark, folder):
     return quality.judge(table(spark, folder, "documents"))
 
 
+def op5_decontaminate(spark, folder):
+    """Benchmark passages in the documents, one row each; clean documents have none."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, table(spark, folder, "benchmark"))
+    return found.select("doc_id", F.inline("_leaks"))
+
+
 def op7_licenses(spark, folder):
     """License detections of every document."""
     found = licenses.scan(table(spark, folder, "documents"))
@@ -74,6 +81,7 @@ QUERIES = {
     "op2_reshard": op2_reshard,
     "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
+    "op5_decontaminate": op5_decontaminate,
     "op7_licenses": op7_licenses,
     "op9_url_rules": op9_url_rules,
     "op10_line_dedup": op10_line_dedup,

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 from collections import Counter
 
 import numpy as np
@@ -19,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textpulse.llm.common import append_columns, map_columns, ready_workers, row_key, store
+from textpulse.llm.common import append_columns, lower_words, map_columns, ready_workers, row_key, store
 
 #: Labelled rows used at most: those with the smallest hashes of their id.
 MAX_LABELLED = 16_384
@@ -36,12 +35,10 @@ STARTS = (4, 5, 6)
 
 #: All unmarked words of a text are one more term, of this idf: it tells dense from stray marks.
 REST_IDF = 0.05
-WORD = re.compile(r"\w+")
-
 
 def terms(text: str | None) -> Counter:
     """Words of the lower-case text, and ``start-`` terms of those that are longer."""
-    counts = Counter(WORD.findall((text or "").lower()))
+    counts = Counter(lower_words(text))
     for word, n in list(counts.items()):
         for k in STARTS:
             if len(word) > k:
@@ -51,7 +48,7 @@ def terms(text: str | None) -> Counter:
 
 def sketch(text: str | None) -> int:
     """The least hash of the 5-word runs: near copies mostly share it."""
-    words = WORD.findall((text or "").lower())
+    words = lower_words(text)
     runs = {" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
     return min(int.from_bytes(hashlib.blake2b(r.encode(), digest_size=7).digest()) for r in runs)
 
@@ -127,7 +124,7 @@ class Model:
         found: dict[str, int] = {}
         places, starts = self.places, self.starts
         rest = 0
-        for word, n in Counter(WORD.findall((text or "").lower())).items():
+        for word, n in Counter(lower_words(text)).items():
             marked = word in places
             if marked:
                 found[word] = found.get(word, 0) + n
