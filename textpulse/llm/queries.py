@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textpulse.llm import bpe, decontaminate, licenses, lines, quality, sharding, toxicity, urls
+from textpulse.llm import bpe, decontaminate, jaccard, licenses, lines, quality, sharding, toxicity, urls
 from textpulse.llm.common import table
 
 SHARDS = 16
@@ -53,6 +53,11 @@ def op5_decontaminate(spark, folder):
     return found.select("doc_id", F.inline("_leaks"))
 
 
+def op6_jaccard(spark, folder):
+    """Near-duplicate class and number of links of every document."""
+    return jaccard.join(table(spark, folder, "documents"))
+
+
 def op7_licenses(spark, folder):
     """License detections of every document."""
     found = licenses.scan(table(spark, folder, "documents"))
@@ -82,6 +87,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
     "op5_decontaminate": op5_decontaminate,
+    "op6_jaccard": op6_jaccard,
     "op7_licenses": op7_licenses,
     "op9_url_rules": op9_url_rules,
     "op10_line_dedup": op10_line_dedup,
