@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textpulse.llm import bpe, decontaminate, jaccard, licenses, lines, quality, sharding, toxicity, urls
+from textpulse.llm import bpe, decontaminate, html_tree, jaccard, licenses, lines, quality, sharding, toxicity, urls
 from textpulse.llm.common import table
 
 SHARDS = 16
@@ -66,6 +66,14 @@ def op7_licenses(spark, folder):
     )
 
 
+def op8_html(spark, folder):
+    """Main text of every page."""
+    made = html_tree.extract(table(spark, folder, "pages"))
+    return made.select(
+        "page_id", "url", F.col("_text").alias("text"), F.char_length("_text").cast("long").alias("n_chars")
+    )
+
+
 def op9_url_rules(spark, folder):
     """Every page URL judged by host rules, then pattern rules."""
     return urls.judge(table(spark, folder, "pages"))
@@ -89,6 +97,7 @@ QUERIES = {
     "op5_decontaminate": op5_decontaminate,
     "op6_jaccard": op6_jaccard,
     "op7_licenses": op7_licenses,
+    "op8_html": op8_html,
     "op9_url_rules": op9_url_rules,
     "op10_line_dedup": op10_line_dedup,
 }
