@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from textpulse.operators import clean
@@ -68,3 +69,17 @@ def test_rows_are_spread_only_when_too_few_partitions(spark):
     many = spark.range(100, numPartitions=50)
     assert spread_rows(many, "id") is many
     assert spread_rows(few, "id", store=True).count() == 100
+
+
+def test_unknown_columns_are_an_error(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, tweet string")
+    with pytest.raises(ValueError, match="typo"):
+        clean.drop_incomplete(df, ["tweet", "typo"])
+    assert clean.drop_incomplete(df, []).count() == 1
+
+
+def test_repeated_texts_are_found_by_a_hash_aggregate(spark):
+    df = spark.createDataFrame([(2, "a"), (1, "a"), (None, None), (3, None), (None, "z")], "id int, tweet string")
+    kept = clean.drop_repeated_text(df, "tweet", "id")
+    assert {tuple(r) for r in kept.collect()} == {(1, "a"), (3, None), (None, "z")}
+    assert "SortAggregate" not in kept._jdf.queryExecution().executedPlan().toString()

@@ -8,7 +8,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from textpulse.plans import models, scoring, tuning
-from textpulse.plans.training import fit_classifier
+from textpulse.plans.training import bounded_share, fit_classifier
 from textpulse.session import new_folder
 from textpulse.sources.writers import load_model, save_model
 
@@ -131,3 +131,18 @@ def test_scoring_adds_no_shuffle(bayes, rows, spark):
 def test_fold_numbers_cover_every_fold(spark):
     folds = spark.range(300).select(tuning.fold_of("id", 3).alias("f")).groupBy("f").agg(F.count("*").alias("n"))
     assert sorted(r["f"] for r in folds.collect()) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_ties_at_the_vocabulary_cap_go_by_term(spark, partitions):
+    data = [(1, "x", "d c b a"), (2, "y", "a b c d"), (3, "x", "e a")]
+    rows = spark.createDataFrame(data, "id long, sentiment string, tweet string").repartition(partitions)
+    model = fit_classifier(models.nb_vocabulary(size=3), rows)
+    assert model.stages[1].vocabulary == ["a", "b", "c"]
+
+
+def test_bounded_share_is_stable(spark):
+    ids = spark.range(5000)
+    some = [{r["id"] for r in bounded_share(ids.repartition(n), "id", 500).collect()} for n in (1, 7)]
+    assert some[0] == some[1] and 400 < len(some[0]) < 600
+    assert bounded_share(ids, "id", 5000).count() == 5000

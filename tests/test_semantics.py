@@ -168,3 +168,13 @@ def test_unknown_words_are_nouns(spark):
     tokens = semantics.word_tokens(df, ["id"], "tweet")
     got = semantics.tag_tokens(tokens, tags(spark), ["id"]).orderBy(F.col("position")).collect()
     assert [(r["word"], r["tag"]) for r in got] == [("Blorp", "NN"), ("run", "VBD")]
+
+
+def test_adjective_satellites_are_adjectives(spark):
+    senses = spark.createDataFrame(
+        [("swift", "s", 1, "quick", ["swift"], ["up.a.01"], ["down.a.01"])],
+        "lemma string, pos string, rank int, definition string, synonyms array<string>, hypernyms array<string>, hyponyms array<string>",
+    )
+    from textpulse.operators.lexicon import first_senses
+
+    assert {r["pos"] for r in first_senses(senses).collect()} == {"a", "*"}

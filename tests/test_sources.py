@@ -166,3 +166,9 @@ def test_a_cluster_without_the_setting_is_an_error():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Session)
+
+
+def test_log_of_a_labelled_frame(spark):
+    scored = spark.createDataFrame([("a", "x", 1.0, "y")], "tweet string, sentiment string, prediction double, sentiment_prediction string")
+    row = writers.scored_log(scored, "sentiment_prediction").first()
+    assert (row["tweet"], row["prediction"], row["sentiment"]) == ("a", 1.0, "y") and row["timestamp"] is not None

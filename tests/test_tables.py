@@ -66,3 +66,9 @@ def test_report_equals_the_evaluator(spark, classes):
         expected = MulticlassClassificationEvaluator(metricName=theirs).evaluate(df)
         assert math.isclose(report[ours], expected, rel_tol=1e-12), ours
     assert report["n_rows"] == df.count()
+
+
+def test_confusion_keeps_every_class(spark):
+    counts = metrics.outcome_counts(spark.createDataFrame([(0.0, 2.0), (1.0, 1.0)], "label double, prediction double"))
+    rows = metrics.confusion_matrix(counts, [0, 1]).orderBy("label").collect()
+    assert [tuple(r) for r in rows] == [(0.0, 0, 0, 1), (1.0, 0, 1, 0), (2.0, 0, 0, 0)]

@@ -78,3 +78,11 @@ def test_chi_square_equals_the_test_on_presence(spark):
 def test_a_term_of_every_row_has_no_relevance(spark):
     df = spark.createDataFrame([("x", ["a"]), ("y", ["a"])], "s string, w array<string>")
     assert terms.chi_square_terms(df, F.col("w"), "s").first()["chi_square"] == 0.0
+
+
+def test_top_terms_filters_before_it_sorts(spark):
+    scores = spark.range(5000).select(F.concat(F.lit("t"), F.col("id")).alias("term"), (F.col("id") % 700).cast("double").alias("s"))
+    got = [tuple(r) for r in terms.top_terms(scores, "s", 20).collect()]
+    assert got == sorted(map(tuple, scores.collect()), key=lambda r: (-r[1], r[0]))[:20]
+    flat = scores.withColumn("s", F.lit(1.0))
+    assert [r["term"] for r in terms.top_terms(flat, "s", 3).collect()] == ["t0", "t1", "t10"]

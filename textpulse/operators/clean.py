@@ -19,14 +19,17 @@ def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     The same rows as ``dropna``, but as plain null tests: those reach the Parquet scan
     and turn an outer join below into an inner one.
     """
-    wanted = set(columns or df.columns)
+    wanted = set(df.columns if columns is None else columns)
+    unknown = sorted(wanted - set(df.columns))
+    if unknown:
+        raise ValueError(f"no such columns: {unknown}")
     tests = []
     for field in df.schema.fields:
         if field.name in wanted:
             tests.append(F.col(field.name).isNotNull())
             if isinstance(field.dataType, (FloatType, DoubleType)):
                 tests.append(~F.isnan(field.name))
-    return df.filter(reduce(and_, tests))
+    return df.filter(reduce(and_, tests)) if tests else df
 
 
 def clean_tweets(
@@ -56,18 +59,17 @@ def split_empty(df: DataFrame, text: str = "tweet") -> tuple[DataFrame, DataFram
 
 
 def drop_repeated_text(df: DataFrame, text: str, order_by: str) -> DataFrame:
-    """One row per distinct text, the one with the smallest ``order_by``.
+    """One row per distinct text, the one with the smallest ``order_by``, a unique key.
 
-    This is an aggregate, not a window: every map task first reduces its copies of a
-    text to one candidate, so a text that makes up a third of the rows reaches its
-    reducer as one row per map task.
+    Texts are equal when their SHA-256 digests are; null texts are one text. Only digests
+    and keys are grouped: a hash aggregate that reduces copies in the map tasks, so a text
+    that makes up a third of the rows reaches its reducer as one row per map task. The
+    keys that are kept then pick whole rows.
     """
-    rest = [c for c in df.columns if c not in (text, order_by)]
-    smallest = F.min(F.struct(F.col(order_by), *[F.col(c) for c in rest]))
-    kept = df.groupBy(text).agg(smallest.alias("_kept"))
-    return kept.select(
-        *[F.col(text) if c == text else F.col(f"_kept.{c}").alias(c) for c in df.columns]
-    )
+    rows = df.withColumn("_digest", F.coalesce(F.sha2(F.col(text), 256), F.lit("")))
+    kept = rows.groupBy("_digest").agg(F.min(order_by).alias("_least"))
+    same = (rows["_digest"] == kept["_digest"]) & rows[order_by].eqNullSafe(kept["_least"])
+    return rows.join(kept, same, "left_semi").select(*df.columns)
 
 
 def split_part(key: str, train_tenths: int = 8) -> Column:

@@ -16,6 +16,7 @@ from textpulse.functions.text import MIN_LEXICAL_LENGTH
 from textpulse.schemas import DEFAULT_TAG
 
 ANY_POS = "*"
+ADJECTIVE, SATELLITE = "a", "s"
 
 
 def most_frequent_tag(tagged: DataFrame, word: str = "word", tag: str = "tag") -> DataFrame:
@@ -33,7 +34,8 @@ def first_senses(senses: DataFrame) -> DataFrame:
 
     Each sense is also listed under the wildcard ``*``, which is what a word whose
     tag maps to no part of speech looks up. So "any part of speech" is an equality
-    too, not an extra join condition.
+    too, not an extra join condition. Adjective satellites, part of speech ``s``, are
+    adjectives: they are filed under ``a``.
     """
     entries = senses.withColumns(
         {
@@ -48,7 +50,7 @@ def first_senses(senses: DataFrame) -> DataFrame:
     )
     best = F.min(F.struct("rank", "own_pos", "sense")).alias("best")
     return (
-        entries.withColumn("own_pos", F.col("pos"))
+        entries.withColumn("own_pos", F.when(F.col("pos") == SATELLITE, ADJECTIVE).otherwise(F.col("pos")))
         .withColumn("pos", F.explode(F.array("own_pos", F.lit(ANY_POS))))
         .groupBy("word", "pos")
         .agg(best)

@@ -24,14 +24,21 @@ def outcome_counts(
 
 
 def confusion_matrix(counts: DataFrame, classes: Sequence[float]) -> DataFrame:
-    """True classes as rows, predicted classes as columns, zero where nothing fell."""
+    """True classes as rows, predicted classes as columns, zero where nothing fell.
+
+    Square over ``classes`` and every class that occurs as a label or a prediction; rows
+    without a label or a prediction have no cell.
+    """
+    seen = counts.select(F.explode(F.array("label", "prediction")).alias("c")).dropna().distinct()
+    # As many rows as there are classes.
+    every = sorted({float(c) for c in classes} | {r["c"] for r in seen.collect()})
     cells = [
-        F.coalesce(
-            F.sum(F.when(F.col("prediction") == float(c), F.col("n"))), F.lit(0)
-        ).alias(f"predicted_{c:g}")
-        for c in classes
+        F.coalesce(F.sum(F.when(F.col("prediction") == c, F.col("n"))), F.lit(0)).alias(f"predicted_{c:g}")
+        for c in every
     ]
-    return counts.groupBy("label").agg(*cells)
+    spark = counts.sparkSession
+    rows = spark.createDataFrame([(c,) for c in every], "label double")
+    return rows.join(counts, "label", "left").groupBy("label").agg(*cells)
 
 
 def class_totals(counts: DataFrame) -> DataFrame:

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from textpulse.operators.joins import lookup_join
 
+#: Steps in which ``top_terms`` counts scores before it sorts the best.
+STEPS = 4096
+
 
 def label_index(df: DataFrame, label: str) -> DataFrame:
     """Class index per label: most frequent first, ties in alphabetical order.
@@ -118,5 +121,19 @@ def chi_square_terms(df: DataFrame, words: Column, label: str) -> DataFrame:
 def top_terms(
     scores: DataFrame, score: str, size: int, ties: Sequence[str] = ("term",)
 ) -> DataFrame:
-    """The ``size`` best terms by score, ties in the order given."""
+    """The ``size`` best terms by score, ties in the order given.
+
+    Every task sorts its own terms and hands on ``size`` of them at most. Scores below the
+    one that the last kept term must have go first, as a filter, when scores are counted in
+    ``STEPS`` steps of their range, so little more than ``size`` rows meet in the last task.
+    """
+    bounds = scores.agg(F.min(score).alias("low"), F.max(score).alias("high"))
+    low, high = F.col("low"), F.col("high")
+    step = F.when(high > low, F.floor((F.col(score) - low) / (high - low) * STEPS)).otherwise(0)
+    stepped = scores.crossJoin(F.broadcast(bounds)).withColumn("_step", step).drop("low", "high")
+    counts = stepped.groupBy("_step").agg(F.count("*").alias("terms"))
+    # At most STEPS + 1 rows are ranked.
+    above = F.sum("terms").over(Window.orderBy(F.col("_step").desc())) - F.col("terms")
+    least = counts.withColumn("above", above).filter(F.col("above") < size).agg(F.min("_step")).scalar()
+    scores = stepped.filter(F.col("_step") >= least).drop("_step")
     return scores.orderBy(F.col(score).desc(), *ties).limit(size)

@@ -170,7 +170,7 @@ def forest_hashed(
     """Random forest on hashed tf-idf.
 
     The forest stores one bin number per bucket and row, also for absent words, so
-    memory grows with rows x buckets: choose ``buckets`` with that in mind.
+    memory grows with rows x buckets: bound the rows (``training.bounded_share``).
     """
     return Pipeline(
         stages=[

@@ -41,6 +41,9 @@ def score(
         return scored.withColumn(output, stream_sentiment(scored["prediction"]))
     if names == REQUEST:
         return scored.withColumn(output, request_sentiment(scored["prediction"]))
-    labels = list(_label_stages(model)[0].labels)
+    stages = _label_stages(model)
+    if not stages:
+        raise ValueError("the pipeline has no label stage to name its classes; pass names")
+    labels = list(stages[0].labels)
     decoder = IndexToString(inputCol="prediction", outputCol=output, labels=labels)
     return decoder.transform(scored)

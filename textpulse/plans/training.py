@@ -2,17 +2,53 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from math import ceil
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textpulse.session import ready_checkpoints
+from textpulse.functions import md5_bucket
+from textpulse.operators.terms import vocabulary
+from textpulse.session import new_folder
 
 BYTES_PER_ENTRY = 12  # one index and one weight of a sparse vector
-ITERATED_BYTES = 256 << 20
+BYTES_PER_GRADIENT = 8  # one class and feature
+GRADIENTS_PER_PARTITION = 32
+SHARE_STEPS = 1_000_000
+
+
+def fit_stages(stages: Sequence, rows: DataFrame) -> tuple[list, DataFrame]:
+    """(fitted stages, rows with their columns), in order.
+
+    A vocabulary holds its stage's number of terms by count, ties in term order, so two
+    fits of the same rows agree; the plain estimator leaves ties at the cap to chance.
+    """
+    fitted = []
+    for stage in stages:
+        if isinstance(stage, CountVectorizer):
+            words, size = stage.getInputCol(), stage.getVocabSize()
+            kept = vocabulary(rows, F.col(words), size).orderBy("index").select("term")
+            model = CountVectorizerModel.from_vocabulary(
+                [r["term"] for r in kept.collect()],  # ``size`` terms at most
+                inputCol=words, outputCol=stage.getOutputCol(), binary=stage.getBinary(),
+            )
+        else:
+            model = Pipeline(stages=[stage]).fit(rows).stages[0]
+        fitted.append(model)
+        rows = model.transform(rows)
+    return fitted, rows
+
+
+def bounded_share(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """About ``most`` rows at most: a stable md5 share of the keys, the same on any layout."""
+    n = rows.count()
+    share = SHARE_STEPS if n <= most else most * SHARE_STEPS // n
+    return rows.filter(md5_bucket(F.concat(F.col(key).cast("string"), F.lit("/fit")), SHARE_STEPS) < share)
 
 
 def fit_classifier(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
@@ -24,24 +60,31 @@ def fit_classifier(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
     reads its rows once, so it takes them as they come.
     """
     *stages, classifier = pipeline.getStages()
-    features = Pipeline(stages=stages).fit(rows)
-    prepared = features.transform(rows)
+    fitted, prepared = fit_stages(stages, rows)
     if isinstance(classifier, NaiveBayes):
-        fitted = classifier.fit(prepared.select("features", "label"))
-        return PipelineModel([*features.stages, fitted])
-    ready_checkpoints(rows.sparkSession)
-    entries = F.size(stages[0].getOutputCol()).alias("entries")
-    stored = prepared.select("features", "label", entries).checkpoint()
+        model = classifier.fit(prepared.select("features", "label"))
+        return PipelineModel([*fitted, model])
+    spark = rows.sparkSession
+    path = new_folder(spark, "features")
+    prepared.select("features", "label").write.parquet(path)
+    stored = spark.read.parquet(path)
     if isinstance(classifier, LogisticRegression):
         stored = _pack(stored)
-    return PipelineModel([*features.stages, classifier.fit(stored.select("features", "label"))])
+    return PipelineModel([*fitted, classifier.fit(stored)])
 
 
 def _pack(stored: DataFrame) -> DataFrame:
-    """Fewer partitions where they are small, without a shuffle.
+    """Partitions that hold ``GRADIENTS_PER_PARTITION`` times the bytes of a gradient.
 
-    Every partition sends a gradient as large as the model in every iteration, so a
-    partition should hold much more data than that.
+    Every partition sends a gradient of classes x features in every iteration, so it
+    should hold much more data than that. The number follows from the features alone, not
+    from the cluster; it decides the order of sums, so the last digits of the weights.
     """
-    entries = stored.agg(F.sum("entries")).first()[0] or 0
-    return stored.coalesce(max(1, ceil(entries * BYTES_PER_ENTRY / ITERATED_BYTES)))
+    first = stored.select(F.size(vector_to_array("features")).alias("width")).first()
+    if first is None:
+        return stored
+    sizes = stored.select(F.size(F.unwrap_udt("features")["values"]).alias("entries"), "label")
+    entries, top = sizes.agg(F.sum(F.greatest("entries", F.lit(0))), F.max("label")).first()
+    gradient = first["width"] * (int(top) + 1) * BYTES_PER_GRADIENT
+    wanted = max(1, ceil((entries or 0) * BYTES_PER_ENTRY / (GRADIENTS_PER_PARTITION * gradient)))
+    return stored.coalesce(wanted)

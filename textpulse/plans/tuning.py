@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ from textpulse.plans.models import (
     vocabulary_stages,
     words_stage,
 )
+from textpulse.plans.training import fit_stages
 from textpulse.session import ready_checkpoints
 
 
@@ -64,14 +65,14 @@ def tune_naive_bayes(
     ready_checkpoints(spark)
     tokens = words_stage(text)
     labels = label_stage(sentiment, "skip")
-    features = Pipeline(stages=vocabulary_stages(size))
+    features = vocabulary_stages(size)
     rows = tokens.transform(train.withColumn("fold", fold_of(key, folds)))
     label_model = labels.fit(train)
     rows = label_model.transform(rows).select("words", "label", "fold").checkpoint()
     sums = dict.fromkeys(grid, 0.0)
     for fold in range(folds):
-        feature_model = features.fit(rows.filter(F.col("fold") != fold))
-        prepared = feature_model.transform(rows).select("features", "label", "fold")
+        fitted, _ = fit_stages(features, rows.filter(F.col("fold") != fold))
+        prepared = PipelineModel(fitted).transform(rows).select("features", "label", "fold")
         prepared = prepared.checkpoint()
         inside = prepared.filter(F.col("fold") != fold)
         held_out = prepared.filter(F.col("fold") == fold)
@@ -85,7 +86,7 @@ def tune_naive_bayes(
             sums[smoothing] += accuracy
     accuracy = {smoothing: total / folds for smoothing, total in sums.items()}
     best = max(grid, key=lambda smoothing: accuracy[smoothing])
-    feature_model = features.fit(rows)
-    classifier = NaiveBayes(smoothing=best).fit(feature_model.transform(rows))
-    model = PipelineModel([tokens, *feature_model.stages, label_model, classifier])
+    fitted, prepared = fit_stages(features, rows)
+    classifier = NaiveBayes(smoothing=best).fit(prepared)
+    model = PipelineModel([tokens, *fitted, label_model, classifier])
     return Tuned(model, best, accuracy)

@@ -41,11 +41,11 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _LOCAL_DIRS.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="textpulse-")
-    )
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="textpulse-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

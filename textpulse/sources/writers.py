@@ -34,8 +34,8 @@ def write_summary(summary: DataFrame, path: str, mode: str = "errorifexists") ->
 
 def scored_log(scored: DataFrame, sentiment: str = "sentiment") -> DataFrame:
     """Log records: UTC time of scoring, text, class and name, for any number of rows."""
-    stamped = scored.withColumn("timestamp", F.current_timestamp())
-    return stamped.withColumnRenamed(sentiment, "sentiment").select(*LOG_COLUMNS)
+    made = {"timestamp": F.current_timestamp(), "sentiment": F.col(sentiment)}
+    return scored.select(*[made.get(c, F.col(c)).alias(c) for c in LOG_COLUMNS])
 
 
 def append_log(log: DataFrame, path: str) -> None:

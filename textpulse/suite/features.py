@@ -135,10 +135,9 @@ def hashed_tf(spark, sf):
     """Hash-bucket counts per document: the two lists of each sparse vector."""
     rows = documents(spark, sf, "text").select("doc_id", words().alias("words"))
     hashing = HashingTF(inputCol="words", outputCol="TF", numFeatures=HASH_BUCKETS)
-    vector = hashing.transform(rows).select("doc_id", F.col("TF").cast("string").alias("tf"))
-    lists = r"\[(.*?)\],\[(.*?)\]"
+    vector = hashing.transform(rows).select("doc_id", F.unwrap_udt("TF").alias("tf"))
     return vector.select(
         "doc_id",
-        F.regexp_extract("tf", lists, 1).alias("buckets"),
-        F.regexp_extract("tf", lists, 2).alias("counts"),
+        F.array_join("tf.indices", ",").alias("buckets"),
+        F.array_join("tf.values", ",").alias("counts"),
     )

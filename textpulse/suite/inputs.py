@@ -112,8 +112,8 @@ def senses(spark: SparkSession, sf: str) -> DataFrame:
     words = benchmark_words(spark, sf).withColumnRenamed("word", "lemma")
     lemma = F.col("lemma")
     pos = F.element_at(
-        F.array(*[F.lit(p) for p in ("n", "v", "a", "r")]),
-        (md5_bucket(lemma, 4) + 1).cast("int"),
+        F.array(*[F.lit(p) for p in ("n", "v", "a", "r", "s")]),
+        (md5_bucket(lemma, 5) + 1).cast("int"),
     )
     ranks = F.when(md5_bucket(lemma, 3) == 0, F.array(F.lit(1), F.lit(2))).otherwise(
         F.array(F.lit(1))
@@ -145,7 +145,7 @@ bench AS (
 
 SENSES_SQL = f"""{WORDS_CTE_SQL},
 senses AS (
-  SELECT lemma, ['n', 'v', 'a', 'r'][({bucket_sql('lemma', 4)} + 1)::INT] AS pos, rank,
+  SELECT lemma, ['n', 'v', 'a', 'r', 'a'][({bucket_sql('lemma', 5)} + 1)::INT] AS pos, rank,
          'sense ' || rank || ' of ' || lemma AS definition,
          [lemma, lemma || '_' || rank] AS synonyms,
          ['up_' || lemma || '.n.01'] AS hypernyms,

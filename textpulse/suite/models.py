@@ -1,19 +1,21 @@
 """Training, tuning and scoring queries over whole texts, with language as the class.
 
 Naive Bayes has a closed form, so its SQL recomputes the model from counts and must
-predict the same class for every row. The other classifiers are fitted iteratively or
-at random and have no SQL.
+predict the same class for every row. A fitted regression has to meet its rows per class;
+a forest has to beat the commonest class.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from textpulse.operators.clean import drop_incomplete, stable_split
 from textpulse.operators.metrics import classification_report
 from textpulse.operators.partitions import spread_rows
 from textpulse.plans import models, scoring, tuning
-from textpulse.plans.training import fit_classifier
+from textpulse.plans.training import bounded_share, fit_classifier
 from textpulse.schemas import SCORED_COLUMNS
 from textpulse.session import new_folder
 from textpulse.sources.readers import read_table
@@ -22,7 +24,8 @@ from textpulse.suite.inputs import CLEAN_SQL, WORDS_SQL, bucket_sql, tweets
 from textpulse.suite.registry import query
 from textpulse.suite.tables import report_sql, rounded_report
 
-FOREST_BUCKETS = 2**12
+#: Labelled rows the forest is fitted on: 262144 bins of 4 bytes each make 1 MB a row.
+FOREST_ROWS = 400
 
 
 def naive_bayes_sql(text: str = "lower(text)") -> str:
@@ -37,7 +40,7 @@ def naive_bayes_sql(text: str = "lower(text)") -> str:
     m AS (SELECT count(*)::DOUBLE AS m FROM src WHERE is_train),
     vocab AS (
       SELECT word, ln((any_value(m) + 1) / (count(*) + 1)) AS idf
-      FROM pairs, m WHERE is_train GROUP BY word),
+      FROM pairs, m WHERE is_train GROUP BY word ORDER BY sum(tf) DESC, word LIMIT {models.VOCABULARY_NB}),
     classes AS (
       SELECT lang AS name, count(*)::DOUBLE AS n,
              (row_number() OVER (ORDER BY count(*) DESC, lang) - 1)::DOUBLE AS idx
@@ -84,25 +87,65 @@ def held_out(spark, sf, pipeline):
     return scored.select("id", "label", "prediction", "sentiment_prediction")
 
 
-@query("train_lr_vocab")
+MOMENTS_SQL = f"""
+    SELECT lang AS label, count(*) AS n_rows, count(*)::DOUBLE AS fitted_rows
+    FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL
+      AND {bucket_sql("doc_id::VARCHAR", 10)} < 8 GROUP BY lang"""
+
+
+def fitted_moments(spark, sf, pipeline):
+    """Per class: training rows, and the sum of its fitted probability over them.
+
+    A multinomial regression with free intercepts is at its optimum only if the two agree.
+    """
+    train, _ = split_tweets(spark, sf)
+    model = fit_classifier(pipeline, train)
+    names = next(s.labels for s in model.stages if hasattr(s, "labels"))
+    scored = model.transform(train).select("sentiment", vector_to_array("probability").alias("p"))
+    sums = []
+    for k, name in enumerate(names):
+        sums.append(F.sum((F.col("sentiment") == name).cast("long")).alias(f"n{k}"))
+        sums.append(F.round(F.sum(F.col("p")[k]), 2).alias(f"p{k}"))
+    classes = [
+        F.struct(F.lit(name).alias("label"), F.col(f"n{k}").alias("n_rows"), F.col(f"p{k}").alias("fitted_rows"))
+        for k, name in enumerate(names)
+    ]
+    return scored.agg(*sums).select(F.inline(F.array(*classes)))
+
+
+@query("train_lr_vocab", MOMENTS_SQL)
 def train_lr_vocab(spark, sf):
-    return held_out(spark, sf, models.lr_vocabulary())
+    return fitted_moments(spark, sf, models.lr_vocabulary())
 
 
-@query("train_lr_ngrams")
+@query("train_lr_ngrams", MOMENTS_SQL)
 def train_lr_ngrams(spark, sf):
-    return held_out(spark, sf, models.lr_ngrams())
+    return fitted_moments(spark, sf, models.lr_ngrams())
 
 
-@query("train_lr_hashed")
+@query("train_lr_hashed", MOMENTS_SQL)
 def train_lr_hashed(spark, sf):
-    return held_out(spark, sf, models.lr_hashed())
+    return fitted_moments(spark, sf, models.lr_hashed())
 
 
-@query("train_rf")
+@query(
+    "train_rf",
+    f"""SELECT lang AS label, count(*) AS n_rows, true AS beats_majority FROM documents
+    WHERE text IS NOT NULL AND {bucket_sql("doc_id::VARCHAR", 10)} >= 8 GROUP BY lang""",
+)
 def train_rf(spark, sf):
-    """A forest holds a bin per bucket and row, so the buckets are fewer than the default."""
-    return held_out(spark, sf, models.forest_hashed(buckets=FOREST_BUCKETS))
+    """Held-out rows per class, and whether the forest names more of them rightly than the
+    commonest class would. All buckets; rows bounded by ``FOREST_ROWS``."""
+    train, test = split_tweets(spark, sf)
+    model = fit_classifier(models.forest_hashed(), bounded_share(train, "id", FOREST_ROWS))
+    scored = scoring.score(model, test)
+    per_class = scored.groupBy(F.col("sentiment").alias("label")).agg(
+        F.count("*").alias("n_rows"),
+        F.sum((F.col("sentiment") == F.col("sentiment_prediction")).cast("long")).alias("right"),
+    )
+    # One row per class.
+    right, most = F.sum("right").over(Window.partitionBy()), F.max("n_rows").over(Window.partitionBy())
+    return per_class.select("label", "n_rows", (right > most).alias("beats_majority"))
 
 
 @query(
@@ -142,7 +185,8 @@ CV_SQL = f"""
     m AS (SELECT fold, count(*)::DOUBLE AS m FROM src JOIN folds ON own <> fold GROUP BY fold),
     vocab AS (
       SELECT fold, word, ln((any_value(m) + 1) / (count(*) + 1)) AS idf
-      FROM pairs JOIN m ON own <> fold GROUP BY fold, word),
+      FROM pairs JOIN m ON own <> fold GROUP BY fold, word
+      QUALIFY row_number() OVER (PARTITION BY fold ORDER BY sum(tf) DESC, word) <= {models.VOCABULARY_NB}),
     sizes AS (SELECT fold, count(*) AS v FROM vocab GROUP BY fold),
     classes AS (
       SELECT fold, lang AS name, count(*)::DOUBLE AS n

@@ -105,8 +105,7 @@ def labelled_csv_round_trip(spark, sf):
     return readers.read_labelled_csv(spark, path)
 
 
-@query("scored_log")
-def scored_log(spark, sf):
+def written_log(spark, sf):
     """Conversation turns logged with the class of their turn number and the time."""
     path = new_folder(spark, "scored-log")
     scored = read_table(spark, sf, "conversations").select(
@@ -117,6 +116,19 @@ def scored_log(spark, sf):
     return spark.read.parquet(path)
 
 
+@query(
+    "scored_log",
+    """SELECT true AS has_time, text AS tweet, turn::DOUBLE AS prediction,
+      CASE turn WHEN 0 THEN 'negative' WHEN 1 THEN 'positive' WHEN 2 THEN 'neutral'
+      ELSE 'irrelevant' END AS sentiment FROM conversations""",
+)
+def scored_log(spark, sf):
+    """The log, its time reduced to whether it is there and is not in the future."""
+    has_time = F.col("timestamp") <= F.current_timestamp()
+    rows = written_log(spark, sf).withColumn("has_time", F.coalesce(has_time, F.lit(False)))
+    return rows.drop("timestamp")
+
+
 @query(
     "log_round_trip",
     """SELECT text AS tweet, turn::DOUBLE AS prediction,
@@ -125,4 +137,4 @@ def scored_log(spark, sf):
 )
 def log_round_trip(spark, sf):
     """The scored log without its time of writing."""
-    return scored_log(spark, sf).drop("timestamp")
+    return written_log(spark, sf).drop("timestamp")

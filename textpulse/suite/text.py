@@ -49,13 +49,13 @@ def preprocess(spark, sf):
 
 @query(
     "drop_incomplete",
-    """SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+    """SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
     FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
-    WHERE d.doc_id IS NOT NULL AND d.lang IS NOT NULL AND d.source IS NOT NULL
+    WHERE d.doc_id IS NOT NULL AND d.text IS NOT NULL AND d.lang IS NOT NULL AND d.source IS NOT NULL
       AND d.n_chars IS NOT NULL AND l.quality IS NOT NULL AND l.toxic IS NOT NULL""",
 )
 def drop_incomplete(spark, sf):
-    return clean.drop_incomplete(documents_with_labels(spark, sf).drop("text"))
+    return clean.drop_incomplete(documents_with_labels(spark, sf))
 
 
 @query(
