@@ -162,6 +162,33 @@ def test_toxicity_without_labels(spark, odd_docs):
     assert toxicity.score(odd_docs, toxicity.fit(odd_docs, nulls)).count() == 8
 
 
+def test_toxicity_keeps_rare_marks_and_unmarked_examples(spark):
+    pick = random.Random(5)
+    word = lambda: "".join(pick.choice("abcdefgh") for _ in range(4))
+    usual = [word() for _ in range(30)]
+    text = lambda extra: " ".join(extra + pick.sample(usual, 12))
+    ids = [k for k in range(700) if zlib.crc32(str(k).encode()) % 5]
+    # Of 200 toxic examples, three hold a mark of their own: 1.5%.
+    rows = [(k, text(["vile"] if j >= 3 else ["zorgish"]), 1) for j, k in enumerate(ids[:200])]
+    rows += [(k, text([]), 0) for k in ids[200:500]]
+    asked = [(1000, text(["zorgish"]), None), (1001, text([]), None), (1002, "unheard", None), (1003, "", None)]
+    docs = spark.createDataFrame(rows + asked, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs, docs.select("doc_id", "toxic"))
+    assert len(model.examples[0]) == 500
+    scored = {r["doc_id"]: r for r in toxicity.score(docs, model).collect() if r["doc_id"] >= 1000}
+    assert scored[1000]["_score"] >= 0.5 and scored[1000]["_evidence"][0]["label"] == 1
+    assert scored[1001]["_score"] < 0.5 and len(scored[1001]["_evidence"]) == 3
+    assert scored[1002]["_evidence"] == [] == scored[1003]["_evidence"]
+
+
+def test_toxicity_merges_equal_examples_only(spark):
+    # The first run of five words is shared, and the rest differs.
+    rows = [(k, "aa bb cc dd ee" + (f" own{k}" if k % 2 else ""), 1) for k in range(1, 40) if zlib.crc32(str(k).encode()) % 5]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs, docs.select("doc_id", "toxic"))
+    assert len(model.examples[0]) == len({t for _, t, _ in rows})
+
+
 # 4. Quality
 
 def test_quality_base_counts(spark, small):

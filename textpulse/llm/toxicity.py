@@ -1,16 +1,19 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine.
 
-Labelled examples are vectors over the terms that mark toxic texts: words, and the starts of
-longer words, which stand for their derived forms. A block-max inverted index finds the exact
-nearest examples of a text: a block of examples is scored only when the sum of its terms'
-largest weights can still beat the k-th best. Votes weighted by cosine, calibrated on the
-examples themselves with each one left out, give a score and its evidence.
+Every labelled example is a vector over all terms of the examples: words, and the starts of
+longer words, which stand for their derived forms. A term weighs the more the more its
+examples lean to toxic ones. Terms that many examples hold are a dense matrix, the others
+posting lists; block maxima of the scores leave few examples, whose cosines are worked out
+exactly. Votes weighted by cosine, calibrated on the examples themselves with each one left
+out, give a score and its evidence.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import pickle
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -23,9 +26,12 @@ from textpulse.llm.common import append_columns, lower_words, map_columns, ready
 #: Labelled rows used at most: those with the smallest hashes of their id.
 MAX_LABELLED = 16_384
 
-#: Terms kept at most, by support; a term needs this share of the toxic examples, and this
-#: share of its examples must be toxic.
-MAX_TERMS, LEAST_SUPPORT, LEAST_TOXIC = 4096, 0.02, 0.5
+#: A term that only toxic examples hold weighs 1 + LEAN times its idf; its share of toxic
+#: examples is steadied by so many more examples at the prior.
+LEAN, STEADY = 10.0, 5.0
+
+#: A term that this share of the examples holds is a row of the dense matrix.
+COMMON_SHARE = 0.1
 
 NEIGHBOURS = 15
 BLOCK = 64
@@ -33,8 +39,10 @@ SMOOTHING = 0.5
 BINS = 50
 STARTS = (4, 5, 6)
 
-#: All unmarked words of a text are one more term, of this idf: it tells dense from stray marks.
-REST_IDF = 0.05
+#: Texts that are scored at a time, and what rounding of the first, single-precision scores
+#: can be at most.
+TEXTS, SLACK = 64, 1e-4
+
 
 def terms(text: str | None) -> Counter:
     """Words of the lower-case text, and ``start-`` terms of those that are longer."""
@@ -46,114 +54,198 @@ def terms(text: str | None) -> Counter:
     return counts
 
 
-def sketch(text: str | None) -> int:
-    """The least hash of the 5-word runs: near copies mostly share it."""
-    words = lower_words(text)
-    runs = {" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
-    return min(int.from_bytes(hashlib.blake2b(r.encode(), digest_size=7).digest()) for r in runs)
+def content(text: str | None) -> int:
+    """A digest of the words and their order: texts equal in it are equal to the operator."""
+    return int.from_bytes(hashlib.blake2b(" ".join(lower_words(text)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), signed=True)
+
+
+Vector = tuple[np.ndarray, np.ndarray]
 
 
 class Index:
-    """Vectors of examples in blocks, with each term's largest weight per block."""
+    """Unit vectors of examples: posting lists, and a dense matrix of the common terms."""
 
     def __init__(self, vectors: list[dict[int, float]], labels: list[int], keys: list[int], n_terms: int):
+        edges = np.cumsum([0, *map(len, vectors)])
+        places = np.array([t for v in vectors for t in v], np.int64)
+        self._build(edges, places, np.array([w for v in vectors for w in v.values()], float), labels, keys, n_terms)
+
+    @classmethod
+    def of_arrays(cls, *parts) -> Index:
+        made = cls.__new__(cls)
+        made._build(*parts)
+        return made
+
+    def _build(self, edges, places, weights, labels, keys, n_terms) -> None:
         self.labels, self.keys = np.array(labels, float), keys
-        n = len(vectors)
-        self.blocks = -(-n // BLOCK)
-        self.most = np.zeros((n_terms, max(1, self.blocks)))
-        postings: list[list[tuple[int, float]]] = [[] for _ in range(n_terms)]
-        for row, vector in enumerate(vectors):
-            for term, weight in vector.items():
-                postings[term].append((row, weight))
-                self.most[term, row // BLOCK] = max(self.most[term, row // BLOCK], weight)
-        self.rows = [np.array([r for r, _ in p], np.int64) for p in postings]
-        self.weights = [np.array([w for _, w in p]) for p in postings]
-        edges = np.arange(self.blocks + 1) * BLOCK
-        self.edges = [np.searchsorted(r, edges) for r in self.rows]
+        self.edges, self.places, self.weights = edges, places, weights
+        self.at = {k: r for r, k in enumerate(keys)}
+        n = self.n = len(keys)
+        self.query = np.zeros(n_terms)
+        rows = np.repeat(np.arange(n, dtype=np.int32), np.diff(edges))
+        held = np.bincount(places, minlength=n_terms)
+        common = held >= max(1, COMMON_SHARE * n)
+        self.dense_at = np.where(common, np.cumsum(common) - 1, -1)
+        # Whole blocks, so that their maxima are one reduction.
+        self.width = -(-n // BLOCK) * BLOCK
+        self.dense = np.zeros((int(common.sum()), self.width), np.float32)
+        here = common[places]
+        self.dense[self.dense_at[places[here]], rows[here]] = weights[here]
+        order = np.flatnonzero(~here)
+        order = order[np.argsort(places[order], kind="stable")]
+        self.rows, self.row_weights = rows[order], weights[order].astype(np.float32)
+        self.sizes = np.where(common, 0, held)
+        self.begins = np.cumsum(self.sizes) - self.sizes
 
     def nearest(self, vector: dict[int, float], k: int, leave: int | None = None) -> list[tuple[float, int]]:
         """(cosine, row) of the k nearest examples with a cosine above 0, best first; ties by row.
 
         ``leave`` is the key of an example that does not count.
         """
-        if not vector or not self.blocks:
+        query = np.array(list(vector), np.int64), np.array(list(vector.values()), float)
+        return self.nearest_each([query], k, [leave])[0]
+
+    def nearest_each(self, queries: list[Vector], k: int, leaves: list[int | None]) -> list[list[tuple[float, int]]]:
+        """``nearest`` of several vectors, as arrays of terms and weights."""
+        made = []
+        for at in range(0, len(queries), TEXTS):
+            part = queries[at : at + TEXTS]
+            common = np.zeros((len(part), len(self.dense)), np.float32)
+            for q, (terms_, weights) in enumerate(part):
+                where = self.dense_at[terms_]
+                common[q, where[where >= 0]] = weights[where >= 0]
+            for scores, query, leave in zip(common @ self.dense, part, leaves[at : at + TEXTS]):
+                made.append(self._best(scores, *query, k, self.at.get(leave)))
+        return made
+
+    def _best(self, scores: np.ndarray, terms_: np.ndarray, weights: np.ndarray, k: int, leave: int | None):
+        if not len(terms_) or not self.n:
             return []
-        bounds = sum(q * self.most[t] for t, q in vector.items())
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or (len(best) == k and bounds[block] < best[-1][0] - 1e-12):
-                break
-            scores = np.zeros(BLOCK)
-            for t, q in vector.items():
-                a, b = self.edges[t][block], self.edges[t][block + 1]
-                scores[self.rows[t][a:b] - block * BLOCK] += q * self.weights[t][a:b]
-            for at in np.flatnonzero(scores > 0).tolist():
-                row = block * BLOCK + at
-                if self.keys[row] != leave:
-                    best.append((min(1.0, round(float(scores[at]), 12)), row))
-            best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
-        return best
+        sizes = self.sizes[terms_]
+        total = int(sizes.sum())
+        if total:
+            listed = np.repeat(self.begins[terms_] - (np.cumsum(sizes) - sizes), sizes) + np.arange(total)
+            found = self.row_weights[listed] * np.repeat(weights, sizes)
+            scores += np.bincount(self.rows[listed], found, self.width).astype(np.float32)
+        if leave is not None:
+            scores[leave] = 0
+        # The k-th best block maximum is at most the k-th best score.
+        tops = scores.reshape(-1, BLOCK).max(1)
+        if len(tops) >= k:
+            few = np.flatnonzero(scores >= np.partition(tops, -k)[-k])
+        else:
+            few = np.arange(self.n)
+        least = np.partition(scores[few], -k)[-k] if len(few) >= k else 0.0
+        few = np.flatnonzero((scores >= least - SLACK) & (scores > 0))
+        if not len(few):
+            return []
+        self.query[terms_] = weights
+        sizes = self.edges[few + 1] - self.edges[few]
+        begins = np.cumsum(sizes) - sizes
+        listed = np.repeat(self.edges[few] - begins, sizes) + np.arange(int(sizes.sum()))
+        exact = np.add.reduceat(self.query[self.places[listed]] * self.weights[listed], begins)
+        self.query[terms_] = 0
+        best = [(min(1.0, round(c, 12)), r) for c, r in zip(exact.tolist(), few.tolist())]
+        return sorted([x for x in best if x[0] > 0], key=lambda x: (-x[0], x[1]))[:k]
 
 
 class Model:
-    """Terms with idf, the index of examples, and the calibration of votes."""
-
-    def __init__(self, idf: dict[str, float], examples: list[tuple[int, int, dict[str, int]]], prior: float):
-        self.places = {t: i for i, t in enumerate(sorted(idf))}
-        self.idf = [idf[t] for t in sorted(idf)]
-        self.prior = prior
-        self.examples = examples
-        self.starts = {t[:-1]: i for t, i in self.places.items() if t.endswith("-")}
+    """Terms with their weights, the examples, and the calibration of votes.
+
+    ``examples`` has, row after row: key, label, number of terms; and of all rows together
+    the places of the terms and how often they occur. ``new_idf`` weighs words no example has.
+    """
+
+    def __init__(self, names: list[str], weights: np.ndarray, new_idf: float, examples: tuple, prior: float):
+        self.names, self.term_weights, self.new_idf, self.examples, self.prior = names, weights, new_idf, examples, prior
         # No neighbour, then the bins of the votes; set by `calibrate`.
         self.no_vote, self.steps = prior, np.linspace(0, 1, BINS + 1)
+        self._reset()
+
+    def _reset(self) -> None:
+        self._places: dict[str, int] = {}
         self._index: Index | None = None
+        self._words: dict[str, tuple[list[int], list[str]]] = {}
         self._known: dict = {}
+        self._shared = None
 
     def __getstate__(self):
-        return {**self.__dict__, "_index": None, "_known": {}}
-
-    def vector(self, counts: dict[str, int]) -> dict[int, float]:
-        """Unit TF-IDF vector of what ``counts`` found; the last place is the unmarked words."""
-        raw = {self.places.get(t, len(self.idf)): n * (self.idf[self.places[t]] if t else REST_IDF) for t, n in counts.items()}
-        length = math.sqrt(sum(w * w for w in raw.values()))
-        return {i: w / length for i, w in raw.items()}
-
-    def counts(self, text: str | None) -> dict[str, int]:
-        """Occurrences of the model's terms, as ``terms`` counts them, and under "" the words
-        that hold none; an empty dict without any of the terms."""
-        found: dict[str, int] = {}
-        places, starts = self.places, self.starts
-        rest = 0
+        # Every executor gets a copy: steps between sorted places compress well.
+        state = {k: v for k, v in self.__dict__.items() if k not in ("_places", "_index", "_words", "_known", "_shared")}
+        if self.examples:
+            *others, at, often = self.examples
+            state["examples"] = (*others, np.diff(at, prepend=at.dtype.type(0)), often)
+        return zlib.compress(pickle.dumps(state), 1)
+
+    def __setstate__(self, state):
+        self.__dict__.update(pickle.loads(zlib.decompress(state)))
+        if self.examples:
+            *others, steps, often = self.examples
+            self.examples = (*others, np.cumsum(steps, dtype=steps.dtype), often)
+        self._reset()
+
+    def share(self, spark):
+        """The model sent to all executors, once; the calibration goes with the tasks."""
+        if self._shared is None:
+            self._shared = spark.sparkContext.broadcast(self)
+        return self._shared
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
+        """Places and occurrences of the text's known terms; sum of squares of the others' occurrences."""
+        if not self._places:
+            self._places = {t: i for i, t in enumerate(self.names)}
+        at, sizes, often, new = [], [], [], Counter()
         for word, n in Counter(lower_words(text)).items():
-            marked = word in places
-            if marked:
-                found[word] = found.get(word, 0) + n
-            for k in STARTS:
-                if len(word) > k and word[:k] in starts:
-                    marked = True
-                    found[word[:k] + "-"] = found.get(word[:k] + "-", 0) + n
-            rest += 0 if marked else n
-        if found and rest:
-            found[""] = rest
-        return found
+            places, others = self._words.get(word) or self._word(word)
+            at += places
+            sizes.append(len(places))
+            often.append(n)
+            for term in others:
+                new[term] += n
+        if not at:
+            return np.array([], np.int64), np.array([]), 0
+        # Words of one start meet in it.
+        found, where = np.unique(np.array(at, np.int64), return_inverse=True)
+        return found, np.bincount(where, np.repeat(np.array(often, float), sizes)), sum(n * n for n in new.values())
+
+    def _word(self, word: str) -> tuple[list[int], list[str]]:
+        """Places of the terms that a word stands for, and those that have none."""
+        if len(self._words) > 200_000:
+            self._words.clear()
+        mine = terms(word)
+        made = [self._places[t] for t in mine if t in self._places], [t for t in mine if t not in self._places]
+        self._words[word] = made
+        return made
+
+    def vector(self, at: np.ndarray, often: np.ndarray, rest: int) -> Vector:
+        """Unit TF-IDF vector of what ``counts`` found; unknown terms add to its length."""
+        raw = often * self.term_weights[at]
+        length = math.sqrt(float(raw @ raw) + rest * self.new_idf**2)
+        return at, raw / length if len(at) else raw
 
     def index(self) -> Index:
         if self._index is None:
-            self._index = Index(
-                [self.vector(c) for _, _, c in self.examples], [y for _, y, _ in self.examples],
-                [k for k, _, _ in self.examples], len(self.idf) + 1,
-            )
+            keys, labels, sizes, at, often = self.examples
+            edges = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+            raw = often * self.term_weights[at]
+            rows = np.repeat(np.arange(len(keys)), sizes)
+            raw /= np.sqrt(np.bincount(rows, raw * raw, len(keys)))[rows]
+            self._index = Index.of_arrays(edges, at, raw, labels, keys, len(self.names))
         return self._index
 
-    def vote(self, counts: dict[str, int], leave: int | None = None) -> tuple[float, list[tuple[float, int]]]:
-        """(vote, neighbours); the vote is -1 without a neighbour."""
+    def votes(self, texts: list[str | None], leaves: list[int | None]) -> list[tuple[float, list[tuple[float, int]]]]:
+        """(vote, neighbours) of each text; the vote is -1 without a neighbour."""
         index = self.index()
-        near = index.nearest(self.vector(counts), NEIGHBOURS, leave)
-        if not near:
-            return -1.0, []
-        weights = np.array([c for c, _ in near])
-        labels = index.labels[[r for _, r in near]]
-        return float((weights @ labels + SMOOTHING * self.prior) / (weights.sum() + SMOOTHING)), near
+        made = []
+        for near in index.nearest_each([self.vector(*self.counts(t)) for t in texts], NEIGHBOURS, leaves):
+            if not near:
+                made.append((-1.0, []))
+                continue
+            weights = np.array([c for c, _ in near])
+            labels = index.labels[[r for _, r in near]]
+            vote = float((weights @ labels + SMOOTHING * self.prior) / (weights.sum() + SMOOTHING))
+            made.append((min(1.0, vote), near))
+        return made
 
     def calibrate(self, bins: dict[int, tuple[int, int]]) -> None:
         """``bins``: bin (-1: no neighbour) to (examples, toxic ones). Monotone by pooling neighbours."""
@@ -169,18 +261,16 @@ class Model:
                 pools[-1] = [pools[-1][0] + y2, pools[-1][1] + n2, pools[-1][2] + k2]
         self.steps = np.concatenate([[y / n] * k for y, n, k in pools])
 
-    def score(self, text: str | None) -> tuple[float, list[tuple[float, int]]]:
-        counts = self.counts(text)
-        if not counts:
-            return self.no_vote, []
-        key = tuple(sorted(counts.items()))
-        if key not in self._known:
-            if len(self._known) > 20_000:
-                self._known.clear()
-            vote, near = self.vote(counts)
+    def scores(self, texts: list[str | None]) -> list[tuple[float, list[tuple[float, int]]]]:
+        """(score, neighbours) of each text; texts of the same words are scored once."""
+        keys = [content(t) for t in texts]
+        if len(self._known) > 20_000:
+            self._known.clear()
+        new = {k: t for k, t in zip(keys, texts) if k not in self._known}
+        for k, (vote, near) in zip(new, self.votes(list(new.values()), [None] * len(new))):
             made = self.no_vote if vote < 0 else float(self.steps[round(vote * BINS)])
-            self._known[key] = min(1.0, max(0.0, made)), near
-        return self._known[key]
+            self._known[k] = min(1.0, max(0.0, made)), near[:3]
+        return [self._known[k] for k in keys]
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -191,9 +281,9 @@ def held_out(key: str = "doc_id") -> Column:
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """A model of at most ``MAX_LABELLED`` labelled rows that are not held out.
 
-    Rows of one label that share a sketch count as one example, so a group of near copies
-    has one vote. Null labels and ids without a text are passed over; an id with several
-    labels is toxic if one says so. Without toxic examples every score is the prior, 0.
+    Rows of one label that have the same words in the same order are one example, so a group
+    of copies has one vote. Null labels and ids without a text are passed over; an id with
+    several labels is toxic if one says so. Without toxic examples every score is the prior, 0.
     """
     spark = docs.sparkSession
     ready_workers(spark)
@@ -208,14 +298,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     # At most MAX_LABELLED rows of an id and a label.
     rows = docs.select(key, text, row_key(key, text).alias("_row")).join(F.broadcast(store(chosen, "toxic-labels")), key)
 
-    def sketches():
-        return lambda keys, labels, texts: (keys, labels, texts, [sketch(t) for t in texts])
+    def contents():
+        return lambda keys, labels, texts: (keys, labels, texts, [content(t) for t in texts])
 
     sample = map_columns(
-        rows.select("_row", "_label", F.coalesce(F.col(text), F.lit(""))), "row long, label int, text string, sketch long", sketches
+        rows.select("_row", "_label", F.coalesce(F.col(text), F.lit(""))), "row long, label int, text string, content long", contents
     )
     sample = store(
-        sample.groupBy("sketch", "label").agg(F.min_by(F.struct("row", "text"), "row").alias("s")).select("s.*", "label"),
+        sample.groupBy("content", "label").agg(F.min_by(F.struct("row", "text"), "row").alias("s")).select("s.*", "label"),
         "toxic-sample",
     )
 
@@ -241,35 +331,49 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     totals = sample.agg(F.count("*"), F.coalesce(F.sum((F.col("label") > 0).cast("int")), F.lit(0))).first()
     n, n_toxic = totals[0], totals[1]
-    least = max(2, math.ceil(LEAST_SUPPORT * n_toxic))
-    marks = (
+    # The terms of at most MAX_LABELLED texts.
+    found = (
         sample.select("text", "label").mapInArrow(count, "term string, toxic long, clean long")
         .groupBy("term")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .filter((F.col("toxic") >= least) & (F.col("toxic") >= LEAST_TOXIC * (F.col("toxic") + F.col("clean"))))
-        .orderBy(F.desc("toxic"), "term")
-        .limit(MAX_TERMS)
-        .collect()
+        .toArrow()
+        .sort_by("term")
     )
-    idf = {r["term"]: math.log((n + 1) / (r["toxic"] + r["clean"] + 1)) + 1 for r in marks}
-    model = Model(idf, [], n_toxic / n if n else 0.0)
-    shared = spark.sparkContext.broadcast(model)
+    prior = n_toxic / n if n else 0.0
+    toxic, clean = (found.column(c).to_numpy().astype(float) for c in ("toxic", "clean"))
+    idf = np.log((n + 1) / (toxic + clean + 1)) + 1
+    lean = ((toxic + STEADY * prior) / (toxic + clean + STEADY) - prior) / (1 - prior) if prior < 1 else np.zeros(len(idf))
+    weights = idf * (1 + LEAN * np.maximum(0.0, lean))
+    names, new_idf = found.column("term").to_pylist(), math.log(n + 1) + 1
+    shared = spark.sparkContext.broadcast(Model(names, weights, new_idf, (), prior))
 
     def vectors():
         found = shared.value.counts
-        return lambda rows, labels, texts: (rows, labels, [list(found(t).items()) for t in texts])
 
-    # At most MAX_LABELLED rows, of the few terms kept.
-    made = map_columns(sample.select("row", "label", "text"), "row long, label int, counts map<string,int>", vectors)
-    examples = sorted((r["row"], int(r["label"] > 0), r["counts"]) for r in made.filter("size(counts) > 0").collect()) if idf else []
-    model = Model(idf, examples, model.prior)
-    learnt = spark.sparkContext.broadcast(model)
+        def step(rows, labels, texts):
+            made = [found(t)[:2] for t in texts]
+            return rows, labels, [at.tolist() for at, _ in made], [often.astype(int).tolist() for _, often in made]
+
+        return step
+
+    # At most MAX_LABELLED rows; an example without a word is nobody's neighbour.
+    made = map_columns(sample.select("row", "label", "text"), "row long, label int, places array<int>, often array<int>", vectors)
+    made = made.filter("size(places) > 0").toArrow().sort_by([("row", "ascending"), ("label", "ascending")]).combine_chunks()
+    places, often = made.column("places").combine_chunks(), made.column("often").combine_chunks()
+    examples = (
+        made.column("row").to_pylist(), (made.column("label").to_numpy() > 0).astype(int).tolist(),
+        places.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64),
+        places.flatten().to_numpy(), often.flatten().to_numpy(),
+    )
+    shared.destroy()
+    model = Model(names, weights, new_idf, examples, prior)
+    learnt = model.share(spark)
 
     def left_out():
         m = learnt.value
 
         def step(rows, texts):
-            votes = [m.vote(m.counts(t), r)[0] for r, t in zip(rows, texts)]
+            votes = [vote for vote, _ in m.votes(texts, rows)]
             return [[-1 if v < 0 else round(v * BINS) for v in votes]]
 
         return step
@@ -282,22 +386,25 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All rows and columns, with _score (0 to 1) and _evidence (row key, cosine and label of
-    the nearest examples). Null and empty texts score as texts without any marked term.
+    the nearest examples). Texts without a word that an example has, null and empty ones
+    among them, have no neighbour.
     No shuffle: the model is bounded by ``MAX_LABELLED`` and broadcast.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, no_vote, steps = model.share(docs.sparkSession), model.no_vote, model.steps
 
     def start():
         m = shared.value
+        if m.no_vote != no_vote or not np.array_equal(m.steps, steps):
+            m.no_vote, m.steps = no_vote, steps
+            m._known.clear()
         index = m.index()
 
         def step(texts):
             scores, evidence = [], []
-            for t in texts:
-                made, near = m.score(t)
+            for made, near in m.scores(texts):
                 scores.append(made)
                 evidence.append(
-                    [{"row": index.keys[r], "cosine": c, "label": int(index.labels[r])} for c, r in near[:3]]
+                    [{"row": index.keys[r], "cosine": c, "label": int(index.labels[r])} for c, r in near]
                 )
             return scores, evidence
 
