@@ -421,6 +421,23 @@ def test_urls_against_every_rule(spark):
     assert urls.judge(empty(frame)).count() == 0
 
 
+def test_urls_with_longer_tokens(spark):
+    samples = [
+        "http://a.doubleclick.net", "http://a.com/ads/", "http://a.com/adserver/", "http://a.com/banner.gif", "http://cheap-pills.com",
+        "http://casino.com", "http://viagra.com", "http://porn.com", "http://xxx.com", "http://a.com/free-download",
+        "http://a.com/login.php", "http://a.com/cart/checkout", "http://a.com/track/pixel", "http://a.com/wp-admin/", "http://a.com/cgi-bin/",
+    ]
+    assert all(re.search(p, u) for u, (_, _, p) in zip(samples, urls.PATTERN_RULES, strict=True))
+    inner = ["http://a.com/banner1.gif", "http://a.com/banners/top.gif", "http://a.com/free-downloads", "http://a.com/xfree-download"]
+    # Listed words must be the commoner ones too, whatever the rarer ones are.
+    usual = [f"http://a.com/{w}/{k}" for k in range(9) for w in ("free", "login", "cart", "track", "gif")]
+    every = [u + end for u in samples for end in ("", "s", "5", "/9")] + inner + usual
+    pages = spark.createDataFrame(list(enumerate(every)), "page_id long, url string")
+    made = {r["page_id"]: r["verdict"] for r in urls.judge(pages).collect()}
+    expected = {k: "block" if any(re.search(p, u) for _, _, p in urls.PATTERN_RULES) else "allow" for k, u in enumerate(every)}
+    assert made == expected
+
+
 # 10. Lines
 
 def plain_distance(a, b):

@@ -1,7 +1,8 @@
 """URL filter: pattern rules fetched by their rarest literal token.
 
-Every rule is filed under the one of its literal tokens that the fewest URLs contain. A URL
-fetches the rules filed under its own tokens, and only those run their regular expression.
+Every rule is filed under the one of its literal tokens that the fewest URLs contain; rules
+without one are tried on every URL. A URL fetches the rules filed under its own tokens, and
+only those run their regular expression.
 DataFrame functions only.
 """
 
@@ -24,21 +25,22 @@ HOST_RULES = [
 ]
 
 #: Pattern rules of the method: (verdict, words that every match holds as whole tokens, pattern).
+#: A word at an open end of its pattern may be the start of a longer token, so it is not listed.
 #: Patterns see the lower-case URL and are written for both Java and RE2.
 PATTERN_RULES = [
     ("block", ["doubleclick"], r"://([a-z0-9-]+\.)*doubleclick\.[a-z]+"),
     ("block", ["ads"], r"/ads/"),
     ("block", ["adserver"], r"[./]adserver[./]"),
-    ("block", ["banner", "gif"], r"/banner[^?]*\.gif"),
+    ("block", [], r"/banner[^?]*\.gif"),
     ("block", ["cheap", "pills"], r"://([a-z0-9-]+\.)*cheap-pills\."),
     ("block", ["casino"], r"[./-]casino[./-]"),
     ("block", ["viagra"], r"[./-]viagra[./-]"),
     ("block", ["porn"], r"[./-]porn[./-]"),
     ("block", ["xxx"], r"[./-]xxx[./-]"),
-    ("block", ["free", "download"], r"/free-download"),
-    ("block", ["login", "php"], r"/login\.php"),
-    ("block", ["cart", "checkout"], r"/cart/checkout"),
-    ("block", ["track", "pixel"], r"/track/pixel"),
+    ("block", ["free"], r"/free-download"),
+    ("block", ["login"], r"/login\.php"),
+    ("block", ["cart"], r"/cart/checkout"),
+    ("block", ["track"], r"/track/pixel"),
     ("block", ["wp", "admin"], r"/wp-admin/"),
     ("block", ["cgi", "bin"], r"/cgi-bin/"),
 ]
@@ -68,16 +70,19 @@ def tokens(text: Column) -> Column:
 def rule_rows(
     host_rules: Sequence[tuple[str, str]], pattern_rules: Sequence[tuple[str, Sequence[str], str]]
 ) -> list[tuple]:
-    """(rule number, kind, verdict, rule, host, path, pattern, tokens) of both kinds of rules."""
+    """(rule number, kind, verdict, rule, host, path, pattern, tokens) of both kinds of rules.
+
+    The tokens of a rule without any are the empty one, which every URL has.
+    """
     rows = []
     for verdict, rule in host_rules:
         host, _, rest = rule.partition("/")
         words = [w for w in host.split(".") if w.isalnum()]
         # The last word of a path may be the start of a longer one, so it is no token.
         words += [w for w in rest.lower().replace("-", "/").split("/")[:-1] if w.isalnum()]
-        rows.append((len(rows), "host", verdict, rule, host, "/" + rest, None, words))
+        rows.append((len(rows), "host", verdict, rule, host, "/" + rest, None, words or [""]))
     for verdict, words, pattern in pattern_rules:
-        rows.append((len(rows), "pattern", verdict, None, None, None, pattern, list(words)))
+        rows.append((len(rows), "pattern", verdict, None, None, None, pattern, list(words) or [""]))
     return rows
 
 
@@ -126,7 +131,7 @@ def judge(
     fetched = (
         rows.select("_url", "host", "path")
         .distinct()
-        .select("*", F.explode(tokens(F.col("_url"))).alias("word"))
+        .select("*", F.explode(F.concat(F.array(F.lit("")), tokens(F.col("_url")))).alias("word"))
         .join(filed, "word")
     )
     at_host = (F.col("host") == F.col("rule_host")) | F.col("host").endswith(F.concat(F.lit("."), "rule_host"))
