@@ -510,3 +510,25 @@ def test_lines_odd_rows(spark, odd_docs):
     assert lines.dedup_lines(empty(odd_docs)).count() == 0
     with pytest.raises(ValueError):
         lines.line_links(odd_docs, 3, 2)
+
+
+def test_short_lines_are_linked_and_stay(spark):
+    pick = random.Random(8)
+    made = ["".join(pick.choice("abc é") for _ in range(pick.randint(1, 9))) for _ in range(60)]
+    long = "a line of 24 characters."
+    made += ["x", "x", "ab", "ab", "   ", "   ", "", "\t", long, long[:-1], long[:-2] + "!"]
+    pick.shuffle(made)
+    docs = [(k, "\n".join(made[k * 4 : k * 4 + 4])) for k in range(len(made) // 4 + 1)]
+    got = {r["doc_id"]: r for r in lines.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    every = [(k, line) for k, text in docs for line in text.split("\n") if line.strip()]
+
+    def near(a, b):
+        return a == b or (min(len(a), len(b)) > 2 and abs(len(a) - len(b)) <= 2 and plain_distance(a, b) <= 2)
+
+    for k, text in docs:
+        mine = [(n, line) for n, (d, line) in enumerate(every) if d == k]
+        links = [sum(near(line, other) for m, (_, other) in enumerate(every) if m != n) for n, line in mine]
+        assert (got[k]["_n_lines"], got[k]["_n_links"]) == (len(mine), sum(links))
+        assert bool(got[k]["_line_classes"]) == any(links)
+        # The one line of 24 characters has only shorter ones near it.
+        assert got[k]["_n_removed"] == 0 and got[k]["text"] == text
