@@ -370,6 +370,47 @@ def test_license_priority_and_containment(spark):
     assert found[0]["score"] == 1.0 and len(licenses.signature_rules()) > 200
 
 
+def sample_matches(pattern):
+    """Texts that a signature pattern matches: each of its alternatives and options, shortest and longest."""
+    from re import _parser
+
+    def made(parsed):
+        texts = [""]
+        for kind, value in parsed:
+            name = str(kind)
+            if name == "LITERAL":
+                more = [chr(value)]
+            elif name == "IN":
+                more = [chr(v if str(k) == "LITERAL" else v[0]) for k, v in value]
+            elif name == "BRANCH":
+                more = [x for branch in value[1] for x in made(branch)]
+            elif name == "SUBPATTERN":
+                more = made(value[3])
+            else:
+                assert name == "MAX_REPEAT" and value[:2] == (0, 1)
+                more = ["", *made(value[2])]
+            texts = [a + b for a in texts for b in more]
+        return texts
+
+    found = sorted(set(made(_parser.parse(pattern))), key=len)
+    assert all(re.fullmatch(pattern, x) for x in found)
+    return found
+
+
+def test_license_gates_accept_what_rules_match(spark):
+    for _, _, keyword, pattern in licenses.signature_rules():
+        assert all(keyword in x.split() for x in sample_matches(pattern)), (keyword, pattern)
+    texts = [
+        "licensed under the Expat license", "Neither the name of the copyright holder", "GPLv3", "GNU GPLv2 or later", "LGPLv2.1",
+        "released under the AGPLv3", "gplv3.0", "LGPL2.1+", "lgplv3", "GPL3",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
+    labels = ["mit", "bsd-3-clause", "gpl-3", "gpl-2", "lgpl-2.1", "agpl-3", "gpl-3", "lgpl-2.1", "lgpl-3", "gpl-3"]
+    assert [found[k]["labels"] for k in range(len(texts))] == labels
+    assert all(found[k]["score"] > 0 for k in found)
+
+
 # 8. HTML
 
 def test_html_blocks_and_furniture():

@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 #: Phrases that are always found, and their labels.
 BASE_PHRASES = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
 
-#: Licenses by label: keyword, names (regular expressions over space-separated words) and versions.
+#: Licenses by label: keyword (a word of every name), names (regular expressions over space-separated words) and versions.
 FAMILIES = [
-    ("mit", "mit", ["mit", "expat"], []),
+    ("mit", "mit", ["mit"], []),
+    ("mit", "expat", ["expat"], []),
     ("apache", "apache", ["apache", "apache software"], ["1", "1 0", "1 1", "2", "2 0"]),
     ("gpl", "gpl", ["gpl", "gnu gpl"], ["1", "2", "3"]),
     ("gpl", "gnu", ["gnu general public", "gnu public"], ["1", "2", "3"]),
@@ -58,9 +59,13 @@ WORDINGS_PLAIN = [
     r"{name} licen[cs]e",
 ]
 
-#: Rules that follow no wording: (label, keyword, pattern).
+#: Names that are written as one word with their version, by label, and the versions.
+JOINED = [("gpl", ["1", "2", "3"]), ("lgpl", ["2", "2 1", "3"]), ("agpl", ["1", "3"])]
+
+#: Rules that follow no wording: (label, keyword, pattern); every match holds the keyword.
 SINGLE_RULES = [
-    ("bsd-3-clause", "clause", r"bsd 3 clause|3 clause bsd|neither the name of"),
+    ("bsd-3-clause", "clause", r"bsd 3 clause|3 clause bsd"),
+    ("bsd-3-clause", "neither", r"neither the name of"),
     ("bsd-2-clause", "clause", r"bsd 2 clause|2 clause bsd"),
     ("mit", "permission", r"permission is hereby granted free of charge to any person obtaining a copy"),
     ("isc", "permission", r"permission to use copy modify and or distribute this software for any purpose"),
@@ -84,11 +89,26 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def _joined_rules() -> list[tuple[str, str, str]]:
+    """Rules for gplv3, gpl3, lgplv2 1 and the like: the first word is the keyword."""
+    rows = []
+    for wording in (WORDINGS_PLAIN[0], r"(?:gnu )?{name}(?: licen[cs]e)?"):
+        for label, versions in JOINED:
+            for version in sorted(versions, key=len, reverse=True):
+                for joined in (f"{label}v{version}", f"{label}{version}"):
+                    # "gplv3.0" and "gplv3+" too; the words of a line hold no marks.
+                    name = joined if " " in version else joined + "(?: 0)?"
+                    made = wording.replace("{name}", ("(?:gnu )?" if wording == WORDINGS_PLAIN[0] else "") + name)
+                    rows.append((label + "-" + version.replace(" ", "."), joined.split()[0], made))
+    return rows
+
+
 def signature_rules() -> list[tuple[int, str, str, str]]:
     """(priority, label, keyword, pattern) of every rule; a smaller number wins."""
     rows = []
     for label, keyword, pattern in SINGLE_RULES:
         rows.append((label, keyword, pattern))
+    rows += _joined_rules()
     for wording in WORDINGS_VERSION:
         for label, keyword, names, versions in FAMILIES:
             for name in names:
