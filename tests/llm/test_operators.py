@@ -225,6 +225,21 @@ def test_quality_odd_rows(spark, odd_docs):
     assert quality.judge(odd_docs).count() == 8 and quality.judge(empty(odd_docs)).count() == 0
 
 
+def test_quality_minority_languages(spark):
+    pick = random.Random(6)
+    speak = lambda letters, n: " ".join(
+        "".join(pick.choice(letters) for _ in range(2)) for _ in range(n)
+    )
+    rows = [(k, "xx", speak("abcdef", 400)) for k in range(700)]
+    # 0.4% of all words, in a script of its own, and a language without enough of them.
+    rows += [(1000 + k, "yy", speak("жзиклм", 100)) for k in range(11)] + [(2000, "zz", speak("αβγδεζ", 90)), (2001, None, speak("αβγδεζ", 90))]
+    rows += [(3000, "yy", "#$%& " * 25 + speak("0123456789", 60))]
+    judged = quality.judge(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect()
+    made = {r["doc_id"]: r for r in judged}
+    assert all(made[1000 + k]["kept"] and made[1000 + k]["nearest"] == "yy" for k in range(11))
+    assert made[2000]["kept"] and made[2001]["kept"] and not made[3000]["kept"]
+
+
 # 5. Decontamination
 
 def test_leaks_against_every_window(spark):

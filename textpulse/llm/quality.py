@@ -28,8 +28,8 @@ EDGES = ".,;:!?\"'()[]"
 CLASSES = 11
 
 COMMON_WORDS = 50
-LEAST_WORDS = 50
-LEAST_SHARE = 0.005
+#: Words that a language needs for a stable histogram, whatever the other languages have.
+LEAST_WORDS = 1000
 MIN_CHARS, MAX_CHAR_DISTANCE = 200, 0.28
 MIN_WORDS, MAX_WORD_DISTANCE = 50, 0.47
 
@@ -98,8 +98,8 @@ def references(docs: DataFrame, lang: str = "lang", text: str = "text") -> dict[
     """Per language: its character-class counts and its commonest words with their shares.
 
     Counted over all documents of the language; null languages make none. Languages with
-    under ``LEAST_SHARE`` of all words are no reference, so there are at most
-    1 / LEAST_SHARE of them, each with ``COMMON_WORDS`` words: that is all the driver gets.
+    under ``LEAST_WORDS`` words are no reference. The driver gets ``COMMON_WORDS`` words and
+    the class counts of each of the others, about 2 KB a language.
     """
 
     schema = pa.schema([("lang", pa.string()), ("key", pa.string()), ("n", pa.int64())])
@@ -139,8 +139,7 @@ def references(docs: DataFrame, lang: str = "lang", text: str = "text") -> dict[
     )
     is_class = F.startswith("key", F.lit("\x00"))
     totals = counted.groupBy("lang").agg(F.sum(F.when(~is_class, F.col("n"))).alias("words"))
-    everything = totals.agg(F.sum("words")).first()[0] or 0
-    large = {r["lang"]: r["words"] for r in totals.filter(F.col("words") >= max(1, LEAST_SHARE * everything)).collect()}
+    large = {r["lang"]: r["words"] for r in totals.filter(F.col("words") >= LEAST_WORDS).collect()}
     if not large:
         return {}
     # A common word has at least a thousandth of its language's words: under a thousand rows each.
@@ -154,9 +153,8 @@ def references(docs: DataFrame, lang: str = "lang", text: str = "text") -> dict[
     made: dict[str, dict] = {name: {"classes": [0] * CLASSES, "words": {}} for name in large}
     for r in common.withColumn("rank", rank).filter(F.col("rank") <= COMMON_WORDS).collect():
         made[r["lang"]]["words"][r["key"]] = r["n"] / r["words"]
-    for r in counted.filter(is_class).collect():
-        if r["lang"] in made:
-            made[r["lang"]]["classes"][int(r["key"][1:])] = r["n"]
+    for r in counted.filter(is_class).join(F.broadcast(listed), "lang").collect():
+        made[r["lang"]]["classes"][int(r["key"][1:])] = r["n"]
     return made
 
 
@@ -191,12 +189,15 @@ class Nearest:
         self.names = sorted(refs)
         self.places = {w: i for i, w in enumerate(sorted({w for r in refs.values() for w in r["words"]}))}
         self.classes = np.array([refs[n]["classes"] for n in self.names], float).reshape(-1, CLASSES)
-        self.shares = np.zeros((len(self.names), len(self.places) + 1))
+        # Each reference has its own words only; a place beyond all words fills short rows.
+        width = max((len(r["words"]) for r in refs.values()), default=0)
+        self.own = np.full((len(self.names), width), len(self.places))
+        self.shares = np.zeros((len(self.names), width + 1))
         for row, name in enumerate(self.names):
-            for word, share in refs[name]["words"].items():
-                self.shares[row, self.places[word]] = share
+            for at, (word, share) in enumerate(sorted(refs[name]["words"].items())):
+                self.own[row, at] = self.places[word]
+                self.shares[row, at] = share
         # A reference's last place is all other words, those common in other languages included.
-        self.own = self.shares[:, :-1] > 0
         self.shares[:, -1] = 1 - self.shares[:, :-1].sum(1)
         self.known: dict[bytes, int] = {}
         # A longer word, up to four marks at its edges included, is none of the common ones.
@@ -212,7 +213,7 @@ class Nearest:
         """(language, class distance, word distance) of the least sum; ties by name."""
         if not self.names or not words:
             return None, 1.0, 1.0
-        counts = np.zeros(len(self.places))
+        counts = np.zeros(len(self.places) + 1)
         known = self.known.get
         longest = self.longest
         for word, n in Counter([w for w in words if len(w) <= longest]).items():
@@ -221,7 +222,7 @@ class Nearest:
                 at = self.place(word)
             if at >= 0:
                 counts[at] += n
-        own = np.where(self.own, counts, 0.0)
+        own = counts[self.own]
         own = np.hstack([own, len(words) - own.sum(1, keepdims=True)])
         by_class = js_distance(char_classes(text).astype(float), self.classes)
         by_word = js_distance(own, self.shares)
@@ -236,23 +237,25 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     ``kept`` is false if the base rules fail (under 50 words, or more than half of the words
     in repeated windows), and else true unless the nearest reference is too far: in classes
     for texts of ``MIN_CHARS`` or more, in words for ``MIN_WORDS`` or more. Null texts count
-    as no words. Without references (no language at all) only the base rules judge.
+    as no words. A document whose language is null or has no reference is judged by the base
+    rules alone; the nearest of the others is told all the same.
     Repeated rows and null keys give rows of their own.
     """
     shared = docs.sparkSession.sparkContext.broadcast(references(docs, lang, text))
 
     def start():
         nearest = Nearest(shared.value)
+        known = set(nearest.names)
 
-        def step(keys, texts):
+        def step(keys, texts, langs):
             out = [[] for _ in range(11)]
-            for k, body in zip(keys, texts):
+            for k, body, own in zip(keys, texts, langs):
                 body = body or ""
                 words = words_of(body)
                 n, again = len(words), repeated_words(words)
                 failed = n < 50 or 100 * again > 50 * n
                 name, by_class, by_word = nearest.distances(body, words)
-                far = name is not None and (
+                far = own in known and (
                     (len(body) >= MIN_CHARS and by_class > MAX_CHAR_DISTANCE)
                     or (n >= MIN_WORDS and by_word > MAX_WORD_DISTANCE)
                 )
@@ -264,7 +267,7 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
         return step
 
-    rows = docs.select(key, text)
+    rows = docs.select(key, text, lang)
     kind = rows.schema[key].dataType.simpleString()
     return map_columns(
         rows,
