@@ -447,6 +447,28 @@ def test_html_low_branch_goes(spark):
     assert made[50] == "" and made[51] == "" and made[52] == "alone"
 
 
+def test_html_copies_are_no_evidence(spark):
+    rows = [(k, f"http://h.org/{k}", f"<body><div class=yy><p>{some_text(k, 400)}</p></div>") for k in range(20)]
+    # One article under many URLs: a template of its own, and a table in an article with a changing side.
+    own, table_ = "<div class=post><p>the whole text of it</p></div>", "<article><p>told</p><table><tr><td>in cells</table></article>"
+    rows += [(100 + k, f"http://h.org/own?utm={k}", f"<body>{own}") for k in range(20)]
+    rows += [(200 + k, f"http://h.org/two?ref={k}", f"<body><div class=side>{some_text(900 + k, 5)}</div>{table_}") for k in range(20)]
+    # The same words in different articles still go.
+    rows += [(300 + k, f"http://h.org/a{k}", f"<body><article><p class=zz>same words</p><h2>{some_text(500 + k, 9)}</h2></article>") for k in range(20)]
+    made = {r["k"]: r["_text"] for r in html_tree.extract(spark.createDataFrame(rows, "k int, url string, html string")).collect()}
+    assert all(made[100 + k] == "the whole text of it" and made[200 + k] == "told\nin cells" for k in range(20))
+    assert all(made[300 + k] == some_text(500 + k, 9) for k in range(20))
+
+
+def test_html_names_on_what_holds_the_article():
+    text = lambda page: html_tree._wanted(html_tree.blocks(page), set())
+    assert text("<div class='page with-sidebar'>x<article class=share>told</article><div class=related>no</div></div>") == "told"
+    assert text("<div id=search><div role=main class=social>told<p class=promo>no</p></div></div>") == "told"
+    assert text("<body><main><article>told</article><div id=comments><article class=comment>no</article></div></main>") == "told"
+    assert text("<article>told<div class=comments><article class=comment>no</article></div></article>") == "told"
+    assert text("<div class=sidebar>no</div><p>told") == "told"
+
+
 # 9. URLs
 
 def test_urls_against_every_rule(spark):

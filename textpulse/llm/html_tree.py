@@ -2,7 +2,7 @@
 
 The pages of a host are merged into one tree of styles: a branch is the chain of block
 elements, with classes and ids, from the body down. Each branch has an importance: the
-entropy, over the host's pages, of how it is laid out (its children's styles) and of what it
+entropy, over the host's pages of different content, of how it is laid out (its children's styles) and of what it
 says. A branch that looks and reads alike on most pages is noise and leaves every page, with
 what the standard names of elements, roles and classes already call page furniture.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from textpulse.llm.common import append_columns, broadcast_if_small, store
 from textpulse.llm.urls import url_host
 
-#: A branch is judged on hosts with this many pages that have it; it goes when its importance
+#: A branch is judged on hosts with this many pages of different content that have it; it goes when its importance
 #: (0 to 1) is lower than this, unless it carries this share of the host's text.
 LEAST_PAGES, LEAST_IMPORTANCE, MAIN_SHARE = 8, 0.3, 0.05
 
@@ -59,10 +59,12 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "noise", "main")
+    __slots__ = ("tag", "path", "noise", "main", "named", "outside")
 
-    def __init__(self, tag: str, path: str, noise: bool, main: str):
+    def __init__(self, tag: str, path: str, noise: bool, main: str, named: bool = False, outside: bool = True):
         self.tag, self.path, self.noise, self.main = tag, path, noise, main
+        # Noise by a class or id, and whether it is in no article or main element.
+        self.named, self.outside = named, outside
 
 
 def _style(tag: str, rest: str) -> tuple[str, set[str], str]:
@@ -82,10 +84,11 @@ def blocks(page: str) -> list[tuple[str, bool, str, str]]:
     """(branch, noise, main part, text) of every block of a page, in page order.
 
     The main part is "article", "main" or "". Missing end tags are made up as browsers do for
-    paragraphs, list items and cells; stray ones are passed over.
+    paragraphs, list items and cells; stray ones are passed over. Name words do not make
+    noise of an article or main element, nor of what holds it; inside of one they do.
     """
     stack = [Element("body", "body", False, "")]
-    made: list[tuple[str, bool, str, str]] = []
+    made: list[tuple[str, bool, str, str, list[Element]]] = []
     text: list[str] = []
 
     def flush() -> None:
@@ -94,7 +97,8 @@ def blocks(page: str) -> list[tuple[str, bool, str, str]]:
             text.clear()
             if plain:
                 holder = next(e for e in reversed(stack) if e.tag in BLOCKS)
-                made.append((holder.path, any(e.noise for e in stack), stack[-1].main, plain))
+                named = [e for e in stack if e.named]
+                made.append((holder.path, any(e.noise for e in stack), stack[-1].main, plain, named))
 
     def close_to(tags: tuple[str, ...], scopes: set[str]) -> None:
         for depth in range(len(stack) - 1, 0, -1):
@@ -139,16 +143,21 @@ def blocks(page: str) -> list[tuple[str, bool, str, str]]:
         main = over.main
         if tag == "article" or (tag == "main" or role == "main") and not main:
             main = "article" if tag == "article" else "main"
-        noise = (
-            tag in FURNITURE or tag in HIDDEN or role in ROLES or bool(words & NAMES)
-            or (not over.main and (tag == "header" or bool(words & HEADERS)))
-        )
+        noise = tag in FURNITURE or tag in HIDDEN or role in ROLES or (not over.main and tag == "header")
+        named = bool(words & NAMES) or (not over.main and bool(words & HEADERS))
+        if (tag in ("article", "main") or role == "main") and over.main != "article":
+            if not any(e.named and not e.outside for e in stack):
+                named = False
+            # Blocks before it in what holds it are judged at the end.
+            for e in stack:
+                if e.outside:
+                    e.named = False
         path = f"{over.path}/{style}" if tag in BLOCKS else over.path
-        stack.append(Element(tag, path, noise, main))
+        stack.append(Element(tag, path, noise, main, named, not over.main))
     if at < len(page):
         text.append(page[at:])
     flush()
-    return made
+    return [(path, noise or any(e.named for e in named), main, plain) for path, noise, main, plain, named in made]
 
 
 def _wanted(found: list[tuple[str, bool, str, str]], low: set[str]) -> str:
@@ -166,14 +175,16 @@ def _wanted(found: list[tuple[str, bool, str, str]], low: set[str]) -> str:
 
 
 def _branches():
-    """Per page: what each branch and its parents look like and say."""
+    """Per page: a digest of its main part, and what each branch and its parents look like and say."""
 
     def step(pages):
-        out = []
+        digests, out = [], []
         for page in pages:
+            found = blocks(page or "")
+            digests.append(xxhash.xxh64_intdigest(_wanted(found, set())) >> 1)
             looks: dict[str, list[str]] = {}
             says: dict[str, list[str]] = {}
-            for path, _, _, text in blocks(page or ""):
+            for path, _, _, text in found:
                 steps = path.split("/")
                 for k in range(2, len(steps) + 1):
                     branch = "/".join(steps[:k])
@@ -185,7 +196,7 @@ def _branches():
                  "chars": sum(map(len, says[b])), "children": len(set(looks[b]))}
                 for b in looks
             ])
-        return [out]
+        return digests, out
 
     return step
 
@@ -194,11 +205,14 @@ def low_branches(pages: DataFrame, url: str = "url", page: str = "html") -> Data
     """(host, low): the branches of each host that carry little, as an array; stored.
 
     Importance = (1 - DAMPING ** children) * layout entropy + DAMPING ** children * content
-    entropy, each over the pages that have the branch, in units of their logarithm.
+    entropy, each over the pages that have the branch, in units of their logarithm. Pages of
+    one main part are one page, as far as a branch is alike on them: copies are no evidence.
     """
     kind = "array<struct<branch:string,look:long,say:long,chars:long,children:int>>"
     narrow = pages.select(url_host(F.col(url)).alias("host"), F.col(page).alias("html"))
-    found = append_columns(narrow, ["html"], f"branches {kind}", _branches).select("host", F.inline("branches"))
+    found = append_columns(narrow, ["html"], f"digest long, branches {kind}", _branches)
+    found = found.select("host", "digest", F.inline("branches"))
+    found = found.groupBy("host", "branch", "digest", "look", "say").agg(F.max("chars").alias("chars"), F.max("children").alias("children"))
     found = store(found, "style-branches")
 
     def entropy(value: str) -> DataFrame:
@@ -214,13 +228,15 @@ def low_branches(pages: DataFrame, url: str = "url", page: str = "html") -> Data
         .groupBy("host", "branch").agg(F.sum("chars").alias("chars"), F.max("children").alias("children"))
     )
     whole = said.filter(~F.contains(F.substring("branch", 6, 1 << 30), F.lit("/"))).groupBy("host").agg(F.sum("chars").alias("all_chars"))
+    met = found.groupBy("host", "branch", "digest").agg(F.count("*")).groupBy("host", "branch").agg(F.count("*").alias("pages"))
     fade = F.pow(F.lit(DAMPING), F.col("children"))
     judged = (
-        entropy("look").join(entropy("say").drop("m"), ["host", "branch"]).join(said, ["host", "branch"]).join(whole, "host")
+        entropy("look").drop("m").join(entropy("say").drop("m"), ["host", "branch"]).join(said, ["host", "branch"])
+        .join(met, ["host", "branch"]).join(whole, "host")
         .withColumn("importance", (1 - fade) * F.col("look_h") + fade * F.col("say_h"))
     )
     low = judged.filter(
-        (F.col("m") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE) & (F.col("chars") < MAIN_SHARE * F.col("all_chars"))
+        (F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE) & (F.col("chars") < MAIN_SHARE * F.col("all_chars"))
     )
     return store(low.groupBy("host").agg(F.sort_array(F.collect_list("branch")).alias("low")), "low-branches")
 
@@ -231,7 +247,7 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame
     The main part is every article, else the main element, else the body; without branches
     that are page furniture by name or low in importance on their host. White space in a
     block becomes one space, ``br`` too. Null and empty pages have an empty text; URLs without
-    a host form one site. Repeated rows count as pages of their own.
+    a host form one site. Repeated rows count once for a branch.
     """
     low = low_branches(pages, url, page).withColumnRenamed("host", "_host").withColumnRenamed("low", "_low")
     joined = pages.withColumn("_host", url_host(F.col(url))).join(broadcast_if_small(low, 1 << 10), "_host", "left")
