@@ -274,6 +274,22 @@ def test_leaks_against_every_window(spark):
                 assert got[k, item] == pytest.approx(best)
 
 
+def test_leaks_of_close_copies(spark):
+    items = [(1, some_text(1, 30)), (2, "two words")]
+    body, cut = items[0][1], " ".join(items[0][1].split()[:-1] + ["other"])
+    docs = [
+        (1, f"{body} {body}"), (2, f"{body} {some_text(7, 3)} {cut} {body}"), (3, body), (4, "two words two words"),
+        (5, f"{some_text(8, 9)} {body} {some_text(9, 9)}"),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {}
+    for r in decontaminate.find_leaks(frame, bench).select("doc_id", F.inline("_leaks")).collect():
+        got.setdefault(r["doc_id"], []).append((r["item_id"], r["start"]))
+    # The window a word before the cut copy is as similar, and comes first.
+    assert got == {1: [(1, 0), (1, 30)], 2: [(1, 0), (1, 32), (1, 63)], 3: [(1, 0)], 4: [(2, 0), (2, 2)], 5: [(1, 9)]}
+
+
 def test_block_tables_find_all_in_the_radius():
     items = decontaminate.Items([(k, some_text(k, 20)) for k in range(60)])
     pick = random.Random(1)

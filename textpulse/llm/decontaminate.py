@@ -11,6 +11,7 @@ exactly.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect, insort
 from collections import Counter
 from functools import partial
 
@@ -148,7 +149,8 @@ class Items:
         return shared / (sum(window.values()) + sum(theirs.values()) - shared)
 
     def leaks(self, text: str | None) -> list[dict]:
-        """The best window of every stretch of leaking windows, by item and place."""
+        """The leaking windows, by place and item: of those of an item that overlap in a stretch,
+        the best, then the best of those that are clear of it, and so on; ties by place."""
         words = lower_words(text)
         get = self.vocabulary.get
         codes = np.array([get(w, -1) for w in words], np.int64)
@@ -158,18 +160,22 @@ class Items:
             width = min(SHINGLE, self.sizes[item])
             for first, last in stretches:
                 prints = fingerprints(shingle_hashes(words[first : last + size], width), size - width + 1)
-                best = None
+                leaking: list[tuple[float, int, int]] = []
                 sought = frozenset((item,))
                 for at, print_ in enumerate(prints.tolist(), first):
                     if not self.within(print_, sought):
                         continue
                     window = codes[at : at + size].tolist()
                     alike = self.similarity(Counter(zip(*(window[k:] for k in range(width)))), item)
-                    if alike >= THRESHOLD and (best is None or alike > best["similarity"]):
-                        far = (self.whole[item] ^ print_).bit_count()
-                        best = {"item_id": self.ids[item], "start": at, "words": size, "distance": far, "similarity": alike}
-                if best:
-                    found.append(best)
+                    if alike >= THRESHOLD:
+                        leaking.append((-alike, at, (self.whole[item] ^ print_).bit_count()))
+                kept: list[int] = []
+                for alike, at, far in sorted(leaking):
+                    k = bisect(kept, at)
+                    if any(abs(at - other) < size for other in kept[max(0, k - 1) : k + 1]):
+                        continue
+                    insort(kept, at)
+                    found.append({"item_id": self.ids[item], "start": at, "words": size, "distance": far, "similarity": -alike})
         return sorted(found, key=lambda m: (m["start"], m["item_id"]))
 
 
