@@ -124,6 +124,20 @@ def test_reshard_odd_rows_and_rewrite(spark, odd_docs, tmp_path):
     assert read == 8
 
 
+def test_rewrite_of_equal_rows_in_two_old_shards(spark, tmp_path):
+    rows = [(1, "same", 0), (1, "same", 1), (1, "same", 1), (2, "other", 0), (3, "more words", 1), (4, None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source int")
+    placed = sharding.place(docs, F.col("source"), 2).cache()
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    with pytest.raises(ValueError):
+        sharding.write_blocks(docs, placed, str(tmp_path / "none"))
+    sharding.write_blocks(docs, placed, old, old_shard=F.col("source"))
+    written = spark.read.parquet(old)
+    assert sorted((r["doc_id"], r["source"], r["old_shard"]) for r in written.collect()) == sorted((k, s, s) for k, _, s in rows)
+    where = sharding.rewrite_affected(spark, placed, old, new).collect()
+    assert sum(spark.read.parquet(f).count() for f in {r["folder"] for r in where}) == len(rows) == sum(r["rows"] for r in where)
+
+
 # 3. Toxicity
 
 def test_nearest_is_exact():
