@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textpulse.llm import bpe, decontaminate, html_tree, jaccard, licenses, lines, quality, sharding, toxicity, urls
+from textpulse.llm import (
+    bpe,
+    decontaminate,
+    html_tree,
+    jaccard,
+    licenses,
+    lines,
+    quality,
+    sharding,
+    simhash,
+    toxicity,
+    urls,
+    variants,
+    whitening,
+)
 from textpulse.llm.common import table
 
 SHARDS = 16
@@ -89,6 +103,22 @@ def op10_line_dedup(spark, folder):
     )
 
 
+def op11_whitening(spark, folder):
+    """Every embedding projected on the four leading components, whitened."""
+    made = whitening.whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    return made.select("vec_id", F.inline("whitening"))
+
+
+def op12_variants(spark, folder):
+    """Words of the documents, their near words, forms and roots."""
+    return variants.group(table(spark, folder, "documents"))
+
+
+def op13_simhash(spark, folder):
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_reshard": op2_reshard,
@@ -100,8 +130,12 @@ QUERIES = {
     "op8_html": op8_html,
     "op9_url_rules": op9_url_rules,
     "op10_line_dedup": op10_line_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_variants": op12_variants,
+    "op13_simhash": op13_simhash,
 }
 
 SQL = {
     "op9_url_rules": urls.verdict_sql(),
+    "op12_variants": variants.group_sql(),
 }
