@@ -19,6 +19,7 @@ Defined results:
 
 from __future__ import annotations
 
+from collections import defaultdict
 from dataclasses import dataclass
 from fractions import Fraction
 
@@ -26,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from textpulse.llm.common import append_columns, ready_workers, store
+from textpulse.llm.common import ready_workers, store
 
 #: The covariance, dimensions x dimensions doubles, is the only thing that grows in the driver.
 MAX_DIMENSIONS = 4096
@@ -73,26 +75,44 @@ def _packed(x: np.ndarray) -> bytes:
     return b"8" + x.astype("<i8").tobytes()
 
 
-def _unpacked(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, f"<i{packed[:1].decode()}", offset=1).astype(np.int64)
-
-
 def _block(packed: list[bytes], dimensions: int) -> np.ndarray:
+    """Packed vectors as rows; those of one width and length are read at one go."""
     rows = np.zeros((len(packed), dimensions), np.int64)
-    for row, p in zip(rows, packed):
-        x = _unpacked(p)
-        row[: len(x)] = x
+    alike = defaultdict(list)
+    for i, p in enumerate(packed):
+        alike[p[:1], len(p)].append(i)
+    for (width, size), at in alike.items():
+        joined = b"".join(packed[i][1:] for i in at)
+        x = np.frombuffer(joined, f"<i{width.decode()}").reshape(len(at), -1) if joined else np.zeros((len(at), 0))
+        rows[at, : x.shape[1]] = x
+    return rows
+
+
+def _rows(column: pa.ListArray, dimensions: int | None = None) -> np.ndarray:
+    """A column of vectors as rows, padded with zeros or cut to ``dimensions``."""
+    values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+    sizes = np.diff(offsets)
+    dimensions = int(sizes.max(initial=0)) if dimensions is None else dimensions
+    rows = np.zeros((len(sizes), dimensions), np.int64)
+    for size in np.unique(sizes):
+        at = np.flatnonzero(sizes == size)
+        kept = min(int(size), dimensions)
+        rows[at, :kept] = values[offsets[at][:, None] + np.arange(kept)]
     return rows
 
 
 def fit_list(rows: DataFrame, vector: str) -> DataFrame:
     """``x``: each distinct quantised vector once, packed, stored. Repeats meet before the shuffle."""
 
-    def start():
-        return lambda vectors: [[_packed(np.array(v, np.int64)) for v in vectors]]
+    def run(batches):
+        for batch in batches:
+            column = batch.column(0)
+            values, offsets = column.values.to_numpy(), column.offsets.to_numpy().tolist()
+            made = [_packed(values[i:j]) for i, j in zip(offsets, offsets[1:])]
+            yield pa.RecordBatch.from_pydict({"x": pa.array(made, pa.binary())})
 
     x = rows.filter(usable(vector)).select(quantised(vector).alias("x"))
-    return store(append_columns(x, ["x"], "p binary", start).select(F.col("p").alias("x")).distinct(), "vectors")
+    return store(x.mapInArrow(run, "x binary").distinct(), "vectors")
 
 
 # Sums over the fit list: every task adds up its rows, one row per entry meets in the shuffle
@@ -102,10 +122,14 @@ def _column_sums(stored: DataFrame) -> list[int]:
     def run(batches):
         totals: list[int] = []
         for batch in batches:
-            for packed in batch.column(0).to_pylist():
-                x = _unpacked(packed).tolist()
-                totals.extend([0] * (len(x) - len(totals)))
-                for i, v in enumerate(x):
+            packed = batch.column(0).to_pylist()
+            for at in range(0, len(packed), BLOCK_ROWS):
+                part = packed[at : at + BLOCK_ROWS]
+                x = _block(part, max((len(p) - 1) // int(p[:1]) for p in part))
+                wide = np.abs(x.astype(np.float64)).max(initial=0) * len(x) >= _EXACT
+                made = x.astype(object).sum(axis=0) if wide else x.sum(axis=0)
+                totals.extend([0] * (len(made) - len(totals)))
+                for i, v in enumerate(made.tolist()):
                     totals[i] += v
         yield pa.RecordBatch.from_pydict({"i": pa.array(range(len(totals)), pa.int32()), "s": pa.array(map(str, totals), pa.string())})
 
@@ -324,27 +348,29 @@ def whiten(rows: DataFrame, vector: str = "embedding", wanted: int = 4) -> DataF
     if model is None:
         return kept.withColumn("whitening", F.array().cast(kind))
     error = identity_error(stored, model)
-    explained = (model.values / model.trace).tolist()
     dimensions = len(model.sums)
+    names = [c for c in (f"x{k}" for k in range(len(kept.columns) + 3)) if c not in kept.columns]
+    x, white, deviation = names[:3]
+    sent = kept.withColumn(x, quantised(vector))
+    columns = sent.columns
+    made = StructType([*sent.schema.fields, *StructType.fromDDL(f"{white} array<double>, {deviation} long").fields])
+    plain = StructType([StructField(f"c{k}", f.dataType) for k, f in enumerate(made.fields)])
 
-    def start():
+    def run(batches):
         project = _projector(model)
-
-        def step(vectors):
-            x = np.zeros((len(vectors), dimensions), np.int64)
-            for row, v in zip(x, vectors):
-                v = v[:dimensions]  # what is beyond is zero in every vector
-                row[: len(v)] = v
-            made = [
-                [
-                    {"component": k + 1, "n": model.n, "deviation": d, "whitened": w, "explained": e, "identity_error": error}
-                    for k, (w, e) in enumerate(zip(ws, explained))
-                ]
-                for ws, d in zip(project(x).tolist(), _deviations(x, model))
-            ]
-            return [made]
-
-        return step
-
-    x = next(c for c in (f"x{k}" for k in range(len(kept.columns) + 1)) if c not in kept.columns)
-    return append_columns(kept.withColumn(x, quantised(vector)), [x], f"whitening {kind}", start).drop(x)
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK_ROWS):
+                part = batch.slice(at, BLOCK_ROWS)
+                rows = _rows(pa.concat_arrays([part.column(columns.index(x))]), dimensions)
+                found = project(rows)
+                ends = np.arange(len(rows) + 1, dtype=np.int32) * found.shape[1]
+                arrays = [pa.ListArray.from_arrays(ends, found.ravel()), pa.array(_deviations(rows, model), pa.int64())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *arrays], names=plain.names)
+
+    explained = F.array(*(F.lit(e) for e in (model.values / model.trace).tolist()))
+    entry = lambda w, k: F.struct(
+        (k + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), F.col(deviation).alias("deviation"),
+        w.alias("whitened"), F.element_at(explained, k + 1).alias("explained"), F.lit(error).alias("identity_error"),
+    )
+    found = sent.mapInArrow(run, plain).toDF(*made.names)
+    return found.withColumn("whitening", F.transform(white, entry)).drop(*names[:3])
