@@ -45,23 +45,33 @@ def vocabulary(df: DataFrame, words: Column, size: int) -> DataFrame:
     Terms below the count that the last kept term must have are filtered where they
     are, so the final sort sees little more than ``size`` rows.
     """
-    counts = term_counts(df, words)
-    frequent = counts.filter(F.col("n") >= _least_count(counts, size))
-    top = frequent.orderBy(F.col("n").desc(), F.col("term")).limit(size)
-    # At most ``size`` rows are ranked.
-    rank = F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("term"))) - 1
-    return top.withColumn("index", rank)
+    return top_counts(term_counts(df, words), size)
 
 
-def _least_count(counts: DataFrame, size: int) -> Column:
-    """The smallest count with fewer than ``size`` terms above it, as a subquery.
+def top_counts(counts: DataFrame, size: int, *of: str) -> DataFrame:
+    """The ``size`` rows of ``counts(term, n, ...)`` with the largest ``n``, and their rank.
+
+    ``of`` names the column whose values have a ranking each; without it there is one.
+    """
+    by = Window.partitionBy(*of)
+    frequent = counts.join(F.broadcast(_least_counts(counts, size, *of)), list(of)) if of else counts.crossJoin(
+        F.broadcast(_least_counts(counts, size))
+    )
+    # Little more than ``size`` rows are ranked.
+    rank = F.row_number().over(by.orderBy(F.col("n").desc(), F.col("term"))) - 1
+    ranked = frequent.filter(F.col("n") >= F.col("least")).drop("least").withColumn("index", rank)
+    return ranked.filter(F.col("index") < size)
+
+
+def _least_counts(counts: DataFrame, size: int, *of: str) -> DataFrame:
+    """Per ranking, the smallest count with fewer than ``size`` terms above it: a row each.
 
     The running sum is over one row per distinct count.
     """
-    histogram = counts.groupBy("n").agg(F.count("*").alias("terms"))
-    above = F.sum("terms").over(Window.orderBy(F.col("n").desc())) - F.col("terms")
+    histogram = counts.groupBy(*of, "n").agg(F.count("*").alias("terms"))
+    above = F.sum("terms").over(Window.partitionBy(*of).orderBy(F.col("n").desc())) - F.col("terms")
     kept = histogram.withColumn("above", above).filter(F.col("above") < size)
-    return kept.agg(F.min("n")).scalar()
+    return kept.groupBy(*of).agg(F.min("n").alias("least"))
 
 
 def document_frequency(df: DataFrame, words: Column) -> DataFrame:

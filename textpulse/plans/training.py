@@ -7,13 +7,15 @@ from math import ceil
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textpulse.functions import md5_bucket
 from textpulse.operators.terms import vocabulary
+from textpulse.plans.bayes import fit_by_counts, fits_by_counts
+from textpulse.plans.fitted import in_order, vocabulary_model
 from textpulse.session import new_folder
 
 BYTES_PER_ENTRY = 12  # one index and one weight of a sparse vector
@@ -32,11 +34,8 @@ def fit_stages(stages: Sequence, rows: DataFrame) -> tuple[list, DataFrame]:
     for stage in stages:
         if isinstance(stage, CountVectorizer):
             words, size = stage.getInputCol(), stage.getVocabSize()
-            kept = vocabulary(rows, F.col(words), size).orderBy("index").select("term")
-            model = CountVectorizerModel.from_vocabulary(
-                [r["term"] for r in kept.collect()],  # ``size`` terms at most
-                inputCol=words, outputCol=stage.getOutputCol(), binary=stage.getBinary(),
-            )
+            kept = vocabulary(rows, F.col(words), size)
+            model = vocabulary_model(stage, in_order(kept, "term", "vocabulary"))
         else:
             model = Pipeline(stages=[stage]).fit(rows).stages[0]
         fitted.append(model)
@@ -57,8 +56,11 @@ def fit_classifier(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
     Without the stored table every task of every iteration would carry the lineage:
     vocabularies and weights of all earlier stages. With it a task is small, and a
     lost executor costs a read, not a second run of the feature stages. Naive Bayes
-    reads its rows once, so it takes them as they come.
+    on vocabulary tf-idf is fitted from counts, see ``plans.bayes``; behind other features
+    it reads its rows once, so it takes them as they come.
     """
+    if fits_by_counts(pipeline.getStages()):
+        return fit_by_counts(pipeline.getStages(), rows)
     *stages, classifier = pipeline.getStages()
     fitted, prepared = fit_stages(stages, rows)
     if isinstance(classifier, NaiveBayes):

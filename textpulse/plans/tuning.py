@@ -1,10 +1,10 @@
-"""Cross-validated choice of a classifier setting, with stable folds.
+"""Cross-validated choice of a naive Bayes smoothing, from counts per fold.
 
-``pyspark.ml.tuning.CrossValidator`` refits a whole pipeline for every setting. Here
-the feature stages are fitted once per fold and shared by all settings, tokens and
-label indices are made once for all folds, and one pass scores all settings. Each
-fold's features are a stored table, read by all settings. Fold membership is an md5
-bucket of the key, so it does not depend on partitioning.
+``pyspark.ml.tuning.CrossValidator`` reads the texts again for every fold and setting. Here they
+are split into words and counted once, per (fold, class, term); each fold's model comes from the
+total without the fold (see ``plans.bayes``). Then every text is scored once, by the models of
+its own fold, for all settings. Fold membership is an md5 bucket of the key, so it does not
+depend on partitioning.
 """
 
 from __future__ import annotations
@@ -18,16 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textpulse.functions import md5_bucket
-from textpulse.plans.models import (
-    FOLDS,
-    NB_SMOOTHING,
-    VOCABULARY_NB,
-    label_stage,
-    vocabulary_stages,
-    words_stage,
-)
-from textpulse.plans.training import fit_stages
-from textpulse.session import ready_checkpoints
+from textpulse.plans import models
+from textpulse.plans.bayes import count_texts, models_of
+from textpulse.plans.models import FOLDS, NB_SMOOTHING, VOCABULARY_NB
+from textpulse.session import stored
 
 
 @dataclass(frozen=True)
@@ -44,13 +38,6 @@ def fold_of(key: str, folds: int):
     return md5_bucket(F.concat(F.col(key).cast("string"), F.lit("/fold")), folds)
 
 
-def _classifier(smoothing: float, prediction: str) -> NaiveBayes:
-    """A classifier that adds nothing but its prediction."""
-    return NaiveBayes(
-        smoothing=smoothing, predictionCol=prediction, rawPredictionCol="", probabilityCol=""
-    )
-
-
 def tune_naive_bayes(
     train: DataFrame,
     key: str,
@@ -61,32 +48,38 @@ def tune_naive_bayes(
     folds: int = FOLDS,
 ) -> Tuned:
     """Naive Bayes with the smoothing that has the best mean accuracy (first on ties)."""
-    spark = train.sparkSession
-    ready_checkpoints(spark)
-    tokens = words_stage(text)
-    labels = label_stage(sentiment, "skip")
-    features = vocabulary_stages(size)
-    rows = tokens.transform(train.withColumn("fold", fold_of(key, folds)))
+    tokens, counter, weigher, labels, bayes = models.nb_vocabulary(text, sentiment, size).getStages()
     label_model = labels.fit(train)
-    rows = label_model.transform(rows).select("words", "label", "fold").checkpoint()
-    sums = dict.fromkeys(grid, 0.0)
-    for fold in range(folds):
-        fitted, _ = fit_stages(features, rows.filter(F.col("fold") != fold))
-        prepared = PipelineModel(fitted).transform(rows).select("features", "label", "fold")
-        prepared = prepared.checkpoint()
-        inside = prepared.filter(F.col("fold") != fold)
-        held_out = prepared.filter(F.col("fold") == fold)
+    rows = label_model.transform(tokens.transform(train.withColumn("fold", fold_of(key, folds).cast("int"))))
+    rows = stored(rows.select("words", "label", "fold"), "words", ["fold"])
+    counts = count_texts(rows)
+    right = {smoothing: [] for smoothing in grid}
+    *partial, full = models_of(counts, counter, weigher, [*range(folds), None])
+    for fold, fitted in enumerate(partial):
+        held_out = PipelineModel(list(fitted.features)).transform(rows.filter(F.col("fold") == fold))
+        held_out = held_out.select("features", "label")
         for i, smoothing in enumerate(grid):
-            held_out = _classifier(smoothing, f"prediction_{i}").fit(inside).transform(held_out)
-        right = [
-            F.avg((F.col(f"prediction_{i}") == F.col("label")).cast("double"))
-            for i in range(len(grid))
-        ]
-        for smoothing, accuracy in zip(grid, held_out.agg(*right).first(), strict=True):
-            sums[smoothing] += accuracy
-    accuracy = {smoothing: total / folds for smoothing, total in sums.items()}
+            held_out = fitted.classifier(_setting(bayes, smoothing, f"prediction_{i}")).transform(held_out)
+        shares = [F.avg((F.col(f"prediction_{i}") == F.col("label")).cast("double")) for i in range(len(grid))]
+        for smoothing, share in zip(grid, held_out.agg(*shares).first(), strict=True):
+            right[smoothing].append(share)
+    # A fold without texts has no accuracy and does not count.
+    accuracy = {}
+    for smoothing, shares in right.items():
+        known = [s for s in shares if s is not None]
+        accuracy[smoothing] = sum(known) / len(known) if known else 0.0
     best = max(grid, key=lambda smoothing: accuracy[smoothing])
-    fitted, prepared = fit_stages(features, rows)
-    classifier = NaiveBayes(smoothing=best).fit(prepared)
-    model = PipelineModel([tokens, *fitted, label_model, classifier])
-    return Tuned(model, best, accuracy)
+    classifier = full.classifier(bayes.copy({bayes.smoothing: best}))
+    return Tuned(PipelineModel([tokens, *full.features, label_model, classifier]), best, accuracy)
+
+
+def _setting(bayes: NaiveBayes, smoothing: float, prediction: str) -> NaiveBayes:
+    """A classifier that adds nothing but its prediction."""
+    return bayes.copy(
+        {
+            bayes.smoothing: smoothing,
+            bayes.predictionCol: prediction,
+            bayes.rawPredictionCol: "",
+            bayes.probabilityCol: "",
+        }
+    )

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -53,6 +54,17 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """The table written to the shared folder as Parquet and read back.
+
+    Lineage ends there, like after a checkpoint, but columns can be pruned, filters reach the
+    file and so does a partition column.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ready_checkpoints(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable, keeping a folder the cluster has set."""
     context = spark.sparkContext
