@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,6 +67,18 @@ def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ready_workers(spark: SparkSession) -> None:
+    """Let Python workers that share the driver's files import this package from where it is.
+
+    A cluster has the package installed or sent along by ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    settings = spark.sparkContext.environment
+    known = [p for p in settings.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        settings["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def ready_checkpoints(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable, keeping a folder the cluster has set."""
     context = spark.sparkContext

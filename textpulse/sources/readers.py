@@ -10,6 +10,16 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from textpulse.functions import iso_timestamp
 from textpulse.schemas import labelled_text_schema, tweet_schema
+from textpulse.sources.quoted_csv import read_quoted_csv
+
+
+def has_long_file(spark: SparkSession, path: str) -> bool:
+    """Whether a file is longer than a scan task reads; from the listing alone."""
+    longest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
+    split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    return (longest or 0) > split
 
 
 def read_tweet_csv(
@@ -20,12 +30,15 @@ def read_tweet_csv(
 ) -> DataFrame:
     """Headerless labelled texts. Quotes are doubled inside a quoted field.
 
-    ``multi_line`` lets a quoted field hold a newline, at the price of one task per
-    file; keep files small, or turn it off for data without such fields so that large
-    files are split among tasks.
+    ``multi_line`` lets a quoted field hold a newline. Spark's reader then takes one task per
+    file; where a file is longer than a task should read, it is cut into blocks instead
+    (``quoted_csv``), for the same rows.
     """
+    schema = schema or tweet_schema()
+    if multi_line and has_long_file(spark, path):
+        return read_quoted_csv(spark, path, schema)
     return (
-        spark.read.schema(schema or tweet_schema())
+        spark.read.schema(schema)
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
@@ -39,9 +52,12 @@ def read_labelled_csv(
     schema: StructType | None = None,
     multi_line: bool = True,
 ) -> DataFrame:
-    """Texts with a header line, for the enrichment flow."""
+    """Texts with a header line, for the enrichment flow; long files as in ``read_tweet_csv``."""
+    schema = schema or labelled_text_schema()
+    if multi_line and has_long_file(spark, path):
+        return read_quoted_csv(spark, path, schema, header=True)
     return (
-        spark.read.schema(schema or labelled_text_schema())
+        spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
         .option("multiLine", multi_line)

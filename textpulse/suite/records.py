@@ -7,9 +7,10 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from textpulse.functions import request_sentiment
 from textpulse.operators.clean import drop_incomplete
-from textpulse.schemas import tweet_schema
+from textpulse.schemas import labelled_text_schema, tweet_schema
 from textpulse.session import new_folder
 from textpulse.sources import messages, readers, writers
+from textpulse.sources.quoted_csv import read_quoted_csv
 from textpulse.sources.readers import read_table
 from textpulse.suite.inputs import RATED_SQL, rated_tweets, tweets
 from textpulse.suite.registry import query
@@ -105,6 +106,29 @@ def labelled_csv_round_trip(spark, sf):
     return readers.read_labelled_csv(spark, path)
 
 
+@query(
+    "csv_by_blocks",
+    "SELECT doc_id AS id, source AS game, lang AS sentiment, text AS tweet FROM documents",
+)
+def csv_by_blocks(spark, sf):
+    """Whole texts through the reader that cuts files into blocks, newlines in quotes or not."""
+    path = new_folder(spark, "tweets-csv")
+    writers.write_csv(tweets(spark, sf), path, header=False)
+    return read_quoted_csv(spark, path, tweet_schema(LongType()))
+
+
+@query(
+    "labelled_csv_by_blocks",
+    "SELECT text AS tweet, lang AS label FROM documents",
+)
+def labelled_csv_by_blocks(spark, sf):
+    """The same with a header in every file."""
+    path = new_folder(spark, "labelled-csv")
+    rows = tweets(spark, sf).select("tweet", F.col("sentiment").alias("label"))
+    writers.write_csv(rows, path, header=True)
+    return read_quoted_csv(spark, path, labelled_text_schema(), header=True)
+
+
 def written_log(spark, sf):
     """Conversation turns logged with the class of their turn number and the time."""
     path = new_folder(spark, "scored-log")
