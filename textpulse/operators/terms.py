@@ -93,13 +93,19 @@ def idf_weights(df: DataFrame, words: Column, min_doc_freq: int = 0) -> DataFram
 
 
 def chi_square_terms(df: DataFrame, words: Column, label: str) -> DataFrame:
-    """Chi-square of (term is present) against the label, per term.
+    """Chi-square of (term is present) against the label, per term."""
+    held = df.select(F.col(label).alias("label"), F.array_distinct(words).alias("term"))
+    return presence_chi_square(held, "term", "label")
 
-    With N rows, N_l rows of label l, n_w rows with the term and n_wl of both, the
-    statistic over the 2 x L table needs one sum per term, S = sum(n_wl^2 / N_l):
-    N*S/n_w - n_w for the rows with the term plus N*(N - 2*n_w + S)/(N - n_w) -
+
+def presence_chi_square(df: DataFrame, held: str, label: str) -> DataFrame:
+    """(``held``, df, chi_square) of every value in the arrays ``held``, each once per array.
+
+    With N rows, N_l rows of label l, n_w rows with the value and n_wl of both, the
+    statistic over the 2 x L table needs one sum per value, S = sum(n_wl^2 / N_l):
+    N*S/n_w - n_w for the rows with the value plus N*(N - 2*n_w + S)/(N - n_w) -
     (N - n_w) for the rows without it. Zero counts add nothing to S, so only the
-    pairs that occur are shuffled.
+    pairs that occur are shuffled. Rows without a label are not counted.
     """
     labelled = df.filter(F.col(label).isNotNull())
     totals = labelled.groupBy(F.col(label).alias("_label")).agg(
@@ -107,25 +113,24 @@ def chi_square_terms(df: DataFrame, words: Column, label: str) -> DataFrame:
     )
     rows = labelled.agg(F.count("*")).scalar().cast("double")
     pairs = (
-        labelled.select(
-            F.col(label).alias("_label"), F.explode(F.array_distinct(words)).alias("term")
-        )
-        .groupBy("term", "_label")
+        labelled.select(F.col(label).alias("_label"), F.explode(held).alias(held))
+        .groupBy(held, "_label")
         .agg(F.count("*").alias("_both"))
     )
     share = F.col("_both") * F.col("_both") / F.col("_label_rows")
     per_term = (
-        lookup_join(pairs, totals, on=["_label"], spread_by=["term"], how="inner")
-        .groupBy("term")
+        lookup_join(pairs, totals, on=["_label"], spread_by=[held], how="inner")
+        .groupBy(held)
         .agg(F.sum("_both").alias("df"), F.sum(share).alias("_s"))
         .withColumn("_n", rows)
     )
-    n, held, s = F.col("_n"), F.col("df"), F.col("_s")
+    n, with_it, s = F.col("_n"), F.col("df"), F.col("_s")
     statistic = F.when(
-        held < n,
-        (n * s / held - held) + (n * (n - 2 * held + s) / F.nullif(n - held, F.lit(0.0)) - (n - held)),
+        with_it < n,
+        (n * s / with_it - with_it)
+        + (n * (n - 2 * with_it + s) / F.nullif(n - with_it, F.lit(0.0)) - (n - with_it)),
     ).otherwise(0.0)
-    return per_term.select("term", "df", statistic.alias("chi_square"))
+    return per_term.select(held, "df", statistic.alias("chi_square"))
 
 
 def top_terms(

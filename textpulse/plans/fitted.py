@@ -21,9 +21,10 @@ from textpulse.session import new_folder
 # The classes that Spark's readers look for.
 COUNTS_CLASS = "org.apache.spark.ml.feature.CountVectorizerModel"
 IDF_CLASS = "org.apache.spark.ml.feature.IDFModel"
+SELECTOR_CLASS = "org.apache.spark.ml.feature.ChiSqSelectorModel"
 
 
-def _write(stage: Params, class_name: str, data: DataFrame, settings: dict) -> str:
+def written_stage(stage: Params, class_name: str, data: DataFrame, settings: dict) -> str:
     """Files of a saved model: ``metadata``, one JSON text, and ``data``, one row."""
     spark = data.sparkSession
     path = new_folder(spark, "stage")
@@ -55,7 +56,7 @@ def vocabulary_model(stage: CountVectorizer, vocabulary: DataFrame) -> CountVect
         "binary": stage.getBinary(),
         "minTF": stage.getMinTF(),
     }
-    return CountVectorizerModel.load(_write(stage, COUNTS_CLASS, vocabulary, settings))
+    return CountVectorizerModel.load(written_stage(stage, COUNTS_CLASS, vocabulary, settings))
 
 
 def idf_model(stage: IDF, weights: DataFrame) -> IDFModel:
@@ -66,4 +67,4 @@ def idf_model(stage: IDF, weights: DataFrame) -> IDFModel:
         "minDocFreq": stage.getMinDocFreq(),
     }
     row = weights.select(array_to_vector("idf").alias("idf"), "docFreq", "numDocs")
-    return IDFModel.load(_write(stage, IDF_CLASS, row, settings))
+    return IDFModel.load(written_stage(stage, IDF_CLASS, row, settings))

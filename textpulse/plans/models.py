@@ -23,6 +23,8 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 
+from textpulse.plans.selection import PresenceSelector
+
 # Model settings.
 VOCABULARY_LR = 2**16
 VOCABULARY_PER_NGRAM = 2**14
@@ -106,20 +108,20 @@ def lr_ngrams(
     selected: int = SELECTED_FEATURES,
     binary: bool = False,
     max_iter: int = 100,
+    by_weight: bool = False,
 ) -> Pipeline:
-    """Logistic regression on the word runs that chi-square relates most to the label.
+    """Logistic regression on the word runs whose presence chi-square relates most to the label.
 
-    The selector treats each distinct weight as a category; ``binary=True`` counts
-    presence instead, which keeps it at two categories per term on long texts.
+    ``by_weight=True`` takes Spark's selector, for which each distinct weight is a category;
+    it refuses terms of more than 10,000 weights.
     """
+    selector = ChiSqSelector if by_weight else PresenceSelector
     return Pipeline(
         stages=[
             words_stage(text),
             *ngram_stages(max_n, size, min_doc_freq, binary=binary),
             label_stage(sentiment, "error"),
-            ChiSqSelector(
-                numTopFeatures=selected, featuresCol="rawFeatures", outputCol="features"
-            ),
+            selector(numTopFeatures=selected, featuresCol="rawFeatures", outputCol="features"),
             LogisticRegression(maxIter=max_iter),
         ]
     )

@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import HashingTF
 from pyspark.sql import functions as F
 
 from textpulse.functions import lower_words
 from textpulse.operators import terms
-from textpulse.plans.models import HASH_BUCKETS, SELECTED_FEATURES, VOCABULARY_LR
+from textpulse.plans.models import (
+    HASH_BUCKETS,
+    MIN_DOC_FREQ,
+    SELECTED_FEATURES,
+    VOCABULARY_LR,
+    label_stage,
+    vocabulary_stages,
+    words_stage,
+)
+from textpulse.plans.selection import PresenceSelector
+from textpulse.plans.training import fit_stages
+from textpulse.session import new_folder
 from textpulse.sources.readers import read_table
+from textpulse.sources.writers import load_model, save_model
 from textpulse.suite.inputs import WORDS_SQL, documents
 from textpulse.suite.registry import query
 
@@ -88,6 +101,37 @@ def chi_square_top(spark, sf):
     return terms.top_terms(chi_square(spark, sf), "chi_square", SELECTED_FEATURES)
 
 
+SELECTED_SQL = f"""WITH {DOC_WORDS_SQL},
+    chi AS ({CHI_SQL}),
+    ranked AS (
+      SELECT word AS term, row_number() OVER (ORDER BY sum(tf) DESC, word) AS index
+      FROM pairs GROUP BY word ORDER BY index LIMIT {VOCABULARY_LR}),
+    chosen AS (
+      SELECT term, ln((n + 1.0::DOUBLE) / (df + 1)) AS idf
+      FROM chi JOIN ranked USING (term) CROSS JOIN (SELECT count(*) AS n FROM documents)
+      WHERE df >= {MIN_DOC_FREQ} AND df < n ORDER BY chi_square DESC, index LIMIT {SELECTED_FEATURES})
+    SELECT doc_id, count(term) AS n_selected, round(coalesce(sum(tf * idf), 0), 4) AS weight
+    FROM documents LEFT JOIN pairs USING (doc_id) LEFT JOIN chosen ON term = word GROUP BY doc_id"""
+
+
+@query("select_features", SELECTED_SQL)
+def select_features(spark, sf):
+    """Selected words of every document and their weight, by a pipeline saved and loaded again."""
+    rows = documents(spark, sf, "text", "lang")
+    stages = [
+        words_stage("text"),
+        *vocabulary_stages(VOCABULARY_LR, MIN_DOC_FREQ),
+        label_stage("lang", "keep"),
+        PresenceSelector(numTopFeatures=SELECTED_FEATURES),
+    ]
+    path = new_folder(spark, "selector")
+    save_model(PipelineModel(fit_stages(stages, rows)[0]), path)
+    made = load_model(path).transform(rows).select("doc_id", F.unwrap_udt("selected")["values"].alias("w"))
+    kept = F.filter("w", lambda v: v != 0)
+    total = F.aggregate(kept, F.lit(0.0), lambda a, v: a + v)
+    return made.select("doc_id", F.size(kept).cast("long").alias("n_selected"), F.round(total, 4).alias("weight"))
+
+
 # 32-bit murmur3 with seed 42 over the UTF-8 bytes of each distinct word.
 MURMUR_SQL = """
 spelled AS (
