@@ -13,16 +13,18 @@ from textpulse.schemas import tweet_schema
 _CORRUPT = "_corrupt"
 
 
-def encode_messages(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One JSON text per row in ``value``. Null fields are left out of the message."""
+def encode_messages(
+    df: DataFrame, columns: Sequence[str] | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """One JSON text per row in ``value``, beside the columns to ``keep``. Null fields are left out."""
     fields = [F.col(c) for c in (columns or df.columns)]
-    return df.select(F.to_json(F.struct(*fields)).alias("value"))
+    return df.select(*keep, F.to_json(F.struct(*fields)).alias("value"))
 
 
 def decode_messages(
-    df: DataFrame, schema: StructType | None = None, value: str = "value"
+    df: DataFrame, schema: StructType | None = None, value: str = "value", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Flat columns from the JSON in ``value`` (bytes or text).
+    """Flat columns from the JSON in ``value`` (bytes or text), beside the columns to ``keep``.
 
     A message that is null or not JSON gives a row of nulls, a field of the wrong type
     gives a null, and keys that the schema does not name are ignored.
@@ -30,7 +32,7 @@ def decode_messages(
     parsed = F.from_json(F.col(value).cast("string"), schema or tweet_schema())
     # ``inline`` flattens the struct; unlike ``v.*`` it keeps later filters from
     # parsing every message a second time.
-    return df.select(F.inline(F.array(parsed)))
+    return df.select(*keep, F.inline(F.array(parsed)))
 
 
 def split_corrupt(

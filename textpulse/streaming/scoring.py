@@ -35,6 +35,9 @@ def score_messages(
 def folder_writer(path: str, echo: bool = False) -> BatchWriter:
     """Write batch N to the sub-folder ``batch_id=N``, replacing what is there.
 
+    One folder belongs to one checkpoint: another would begin at batch 0 again and replace what is
+    stored. ``streaming.committed`` has sinks that several streams can share.
+
     ``foreachBatch`` may run a batch again after a failure. The second run replaces
     the first, so the table holds each row once; readers see ``batch_id`` as a
     partition column.
@@ -51,20 +54,6 @@ def folder_writer(path: str, echo: bool = False) -> BatchWriter:
     return write
 
 
-def store_writer(source: str, options: dict[str, str]) -> BatchWriter:
-    """Append every batch to an external store through its Spark connector.
-
-    Appends alone cannot be repeated safely, so ``batch_id`` is stored as a field for
-    the store to tell repeats apart.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        marked = batch.selectExpr("*", f"{int(batch_id)}L AS batch_id")
-        marked.write.format(source).options(**options).mode("append").save()
-
-    return write
-
-
 def start(
     stream: DataFrame,
     write: BatchWriter,
