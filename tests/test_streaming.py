@@ -3,12 +3,13 @@ import json
 import pytest
 from pyspark.sql.types import LongType
 
-from textpulse.operators.clean import clean_tweets
 from textpulse.plans import models
+from textpulse.plans.scoring import score
 from textpulse.plans.training import fit_classifier
 from textpulse.schemas import SCORED_COLUMNS, tweet_schema
 from textpulse.session import new_folder
 from textpulse.sources.messages import decode_messages, encode_messages
+from textpulse.sources.writers import load_model, save_model
 from textpulse.streaming import replay, scoring
 
 SCHEMA = tweet_schema(LongType())
@@ -25,7 +26,7 @@ def rows(spark):
 
 @pytest.fixture(scope="module")
 def model(rows):
-    return fit_classifier(models.nb_vocabulary(), clean_tweets(rows))
+    return fit_classifier(models.nb_vocabulary(clean=True), rows.dropna())
 
 
 def folders(spark):
@@ -85,8 +86,21 @@ def test_labelled_stream_drops_unseen_labels(spark, model):
     df = spark.createDataFrame([(json.dumps(m),) for m in messages], "value string")
     scored = scoring.score_messages(df, model, SCHEMA, labelled=True)
     assert [r["id"] for r in scored.collect()] == [0]
-    raw = scoring.score_messages(df, model, SCHEMA, clean=False, names="stream")
-    assert raw.count() == 2
+    named = scoring.score_messages(df, model, SCHEMA, names="stream")
+    assert named.count() == 2
+
+
+def test_a_model_decides_whether_texts_are_cleaned(spark, rows, model):
+    message = json.dumps({"id": 1, "game": "g", "sentiment": "up", "tweet": "Good!"})
+    df = spark.createDataFrame([(message,)], "value string")
+    raw = fit_classifier(models.nb_vocabulary(), rows.dropna())
+    assert scoring.score_messages(df, model, SCHEMA).first()["tweet"] == "good"
+    assert scoring.score_messages(df, raw, SCHEMA).first()["tweet"] == "Good!"
+    path = new_folder(spark, "cleaning")
+    save_model(model, path)
+    again = load_model(path)
+    assert models.cleans(again) and not models.cleans(raw)
+    assert score(again, rows.limit(1)).first()["words"] == ["bad", "t0", "x"]
 
 
 def test_running_query_can_be_stopped(spark, rows, model):

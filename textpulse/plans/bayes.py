@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
-from pyspark.ml.feature import IDF, CountVectorizer, StringIndexer, Tokenizer
+from pyspark.ml.feature import IDF, CountVectorizer, SQLTransformer, StringIndexer, Tokenizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -151,7 +151,11 @@ def _mean(k: int, label: float, texts: int) -> Column:
 
 
 def fits_by_counts(stages: Sequence) -> bool:
-    """Whether a pipeline is words, vocabulary, idf, labels and multinomial naive Bayes."""
+    """Whether a pipeline is words, vocabulary, idf, labels and multinomial naive Bayes.
+
+    A statement that cleans the texts may come first.
+    """
+    stages = stages[1:] if stages and isinstance(stages[0], SQLTransformer) else stages
     if [type(s) for s in stages] != [Tokenizer, CountVectorizer, IDF, StringIndexer, NaiveBayes]:
         return False
     _, counter, _, _, bayes = stages
@@ -161,12 +165,13 @@ def fits_by_counts(stages: Sequence) -> bool:
 
 def fit_by_counts(stages: Sequence, rows: DataFrame) -> PipelineModel:
     """The pipeline fitted from counts. Rows without a known label count in the features only."""
-    tokens, counter, weigher, labels, bayes = stages
+    *before, tokens, counter, weigher, labels, bayes = stages
     names = labels.fit(rows)
-    marked = names.copy().setHandleInvalid("keep").transform(tokens.transform(rows))
+    made_words = PipelineModel([*before, tokens]).transform(rows)
+    marked = names.copy().setHandleInvalid("keep").transform(made_words)
     known = F.when(F.col(labels.getOutputCol()) < len(names.labels), F.col(labels.getOutputCol()))
     counts = count_texts(
         marked.select(F.col(tokens.getOutputCol()).alias("words"), known.alias("label"), F.lit(0).alias("fold"))
     )
     (made,) = models_of(counts, counter, weigher)
-    return PipelineModel([tokens, *made.features, names, made.classifier(bayes)])
+    return PipelineModel([*before, tokens, *made.features, names, made.classifier(bayes)])

@@ -1,12 +1,12 @@
 """The five text classifiers as unfitted Spark ML pipelines.
 
 Every keyword default is the setting the flows are known by; pass others to change
-them. Input columns are parameters, output columns follow Spark's names.
+them. ``clean=True`` makes cleaning a part of the model. Input columns are parameters, output columns follow Spark's names.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     LogisticRegression,
     NaiveBayes,
@@ -18,11 +18,13 @@ from pyspark.ml.feature import (
     CountVectorizer,
     HashingTF,
     NGram,
+    SQLTransformer,
     StringIndexer,
     Tokenizer,
     VectorAssembler,
 )
 
+from textpulse.functions.text import PUNCTUATION
 from textpulse.plans.selection import PresenceSelector
 
 # Model settings.
@@ -40,10 +42,30 @@ FOLDS = 3
 SEED = 42
 
 
+#: Column that a cleaning model adds: the text as its words are taken from.
+CLEANED = "cleaned_text"
+
+
 def words_stage(text: str) -> Tokenizer:
     return Tokenizer(inputCol=text, outputCol="words")
 
 
+def clean_stage(text: str) -> SQLTransformer:
+    """``functions.clean_text`` as a stage, saved and loaded with the model it belongs to."""
+    cleaned = f"lower(regexp_replace(`{text}`, r'{PUNCTUATION}', ''))"
+    return SQLTransformer(statement=f"SELECT *, {cleaned} AS {CLEANED} FROM __THIS__")
+
+
+def text_stages(text: str, clean: bool) -> list:
+    """Words of the text, or of the cleaned text: then scoring cleans as training did."""
+    return [clean_stage(text), words_stage(CLEANED)] if clean else [words_stage(text)]
+
+
+def cleans(model: PipelineModel) -> bool:
+    """Whether a fitted pipeline cleans its texts itself."""
+    return any(isinstance(s, SQLTransformer) and f" AS {CLEANED} " in s.getStatement() for s in model.stages)
+
+
 def vocabulary_stages(size: int, min_doc_freq: int = 0, words: str = "words") -> list:
     """Counts over a learned vocabulary, weighted by idf, in ``features``."""
     return [
@@ -87,11 +109,12 @@ def lr_vocabulary(
     size: int = VOCABULARY_LR,
     min_doc_freq: int = MIN_DOC_FREQ,
     max_iter: int = 100,
+    clean: bool = False,
 ) -> Pipeline:
     """Logistic regression on vocabulary tf-idf."""
     return Pipeline(
         stages=[
-            words_stage(text),
+            *text_stages(text, clean),
             *vocabulary_stages(size, min_doc_freq),
             label_stage(sentiment, "error"),
             LogisticRegression(family="multinomial", maxIter=max_iter),
@@ -109,6 +132,7 @@ def lr_ngrams(
     binary: bool = False,
     max_iter: int = 100,
     by_weight: bool = False,
+    clean: bool = False,
 ) -> Pipeline:
     """Logistic regression on the word runs whose presence chi-square relates most to the label.
 
@@ -118,7 +142,7 @@ def lr_ngrams(
     selector = ChiSqSelector if by_weight else PresenceSelector
     return Pipeline(
         stages=[
-            words_stage(text),
+            *text_stages(text, clean),
             *ngram_stages(max_n, size, min_doc_freq, binary=binary),
             label_stage(sentiment, "error"),
             selector(numTopFeatures=selected, featuresCol="rawFeatures", outputCol="features"),
@@ -132,11 +156,12 @@ def lr_hashed(
     sentiment: str = "sentiment",
     buckets: int = HASH_BUCKETS,
     max_iter: int = 100,
+    clean: bool = False,
 ) -> Pipeline:
     """Logistic regression on hashed tf-idf."""
     return Pipeline(
         stages=[
-            words_stage(text),
+            *text_stages(text, clean),
             *hashed_stages(buckets),
             label_stage(sentiment, "skip"),
             LogisticRegression(family="multinomial", maxIter=max_iter),
@@ -149,11 +174,12 @@ def nb_vocabulary(
     sentiment: str = "sentiment",
     size: int = VOCABULARY_NB,
     smoothing: float = 1.0,
+    clean: bool = False,
 ) -> Pipeline:
     """Naive Bayes on vocabulary tf-idf."""
     return Pipeline(
         stages=[
-            words_stage(text),
+            *text_stages(text, clean),
             *vocabulary_stages(size),
             label_stage(sentiment, "skip"),
             NaiveBayes(smoothing=smoothing),
@@ -168,6 +194,7 @@ def forest_hashed(
     trees: int = FOREST_TREES,
     depth: int = FOREST_DEPTH,
     seed: int = SEED,
+    clean: bool = False,
 ) -> Pipeline:
     """Random forest on hashed tf-idf.
 
@@ -176,7 +203,7 @@ def forest_hashed(
     """
     return Pipeline(
         stages=[
-            words_stage(text),
+            *text_stages(text, clean),
             *hashed_stages(buckets),
             label_stage(sentiment, "skip"),
             RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed),

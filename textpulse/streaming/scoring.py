@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from textpulse.operators.clean import clean_tweets, drop_incomplete
+from textpulse.operators.clean import drop_incomplete
+from textpulse.plans.models import CLEANED, cleans
 from textpulse.plans.scoring import FITTED, score
 from textpulse.schemas import SCORED_COLUMNS
 from textpulse.sources.messages import decode_messages
@@ -24,12 +26,15 @@ def score_messages(
     schema: StructType | None = None,
     labelled: bool = False,
     names: str = FITTED,
-    clean: bool = True,
 ) -> DataFrame:
-    """Decode, clean, score and name. Takes a table or a stream alike; keeps no state."""
-    rows = decode_messages(messages, schema)
-    rows = clean_tweets(rows) if clean else drop_incomplete(rows)
-    return score(model, rows, labelled, names).select(*SCORED_COLUMNS)
+    """Decode, score and name. Takes a table or a stream alike; keeps no state.
+
+    A model that cleans its texts gives them as cleaned; for any other they stay as they came.
+    """
+    scored = score(model, drop_incomplete(decode_messages(messages, schema)), labelled, names)
+    if cleans(model):
+        scored = scored.withColumn("tweet", F.col(CLEANED))
+    return scored.select(*SCORED_COLUMNS)
 
 
 def folder_writer(path: str, echo: bool = False) -> BatchWriter:

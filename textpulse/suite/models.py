@@ -299,3 +299,18 @@ def score_request(spark, sf):
 
 
 CLEANED_NB_SQL = naive_bayes_sql(CLEAN_SQL)
+
+
+@query(
+    "score_cleaned",
+    f"""WITH {CLEANED_NB_SQL} SELECT id, cleaned AS cleaned_text, prediction, name AS sentiment_prediction
+    FROM scored""",
+)
+def score_cleaned(spark, sf):
+    """Raw texts scored by a model that cleans them itself, saved and loaded in between."""
+    train, _ = split_tweets(spark, sf)
+    path = new_folder(spark, "model")
+    save_model(fit_classifier(models.nb_vocabulary(clean=True), train), path)
+    rows = drop_incomplete(tweets(spark, sf).select("id", "tweet"), ["tweet"])
+    scored = scoring.score(load_model(path), spread_rows(rows, "id"))
+    return scored.select("id", models.CLEANED, "prediction", "sentiment_prediction")

@@ -53,10 +53,10 @@ def stream_clean(spark, sf):
       name AS sentiment_prediction, prediction FROM scored""",
 )
 def stream_score(spark, sf):
-    """All texts as messages, scored in micro-batches by a model of cleaned texts."""
+    """All texts as messages, scored in micro-batches by a model that cleans them."""
     schema = tweet_schema(LongType())
     train, _ = split_tweets(spark, sf)
-    model = fit_classifier(models.nb_vocabulary(), clean_tweets(train))
+    model = fit_classifier(models.nb_vocabulary(clean=True), train)
     stream = replayed(spark, spread_rows(tweets(spark, sf), "id", waves=2))
     scored = scoring.score_messages(stream, model, schema)
     return drained(spark, scored, scored.schema).select(*SCORED_COLUMNS)
