@@ -16,10 +16,12 @@ from textpulse.functions.text import (
     surface_tokens,
     word_count,
 )
+from textpulse.functions.tokens import contraction_tokens
 
 __all__ = [
     "binary_sentiment",
     "clean_text",
+    "contraction_tokens",
     "decode_class",
     "is_lexical_word",
     "iso_timestamp",

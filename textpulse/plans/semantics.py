@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textpulse.functions import is_lexical_word, surface_tokens
+from textpulse.functions import contraction_tokens, is_lexical_word, surface_tokens
 from textpulse.operators.joins import lookup_join
 from textpulse.operators.lexicon import first_frames, word_table
 from textpulse.schemas import DEFAULT_TAG, SUMMARY_COLUMNS
@@ -16,9 +16,12 @@ TOP_FRAMES = 5
 PLACES = 2**31
 
 
-def word_tokens(texts: DataFrame, key: Sequence[str], text: str) -> DataFrame:
-    """(key, position, word): one row per token, whole texts, case kept."""
-    tokens = surface_tokens(F.col(text))
+def word_tokens(texts: DataFrame, key: Sequence[str], text: str, contractions: bool = False) -> DataFrame:
+    """(key, position, word): one row per token, whole texts, case kept.
+
+    ``contractions`` splits ``don't`` into ``do`` and ``n't`` and keeps ellipses whole.
+    """
+    tokens = contraction_tokens(F.col(text)) if contractions else surface_tokens(F.col(text))
     return texts.select(*key, F.posexplode(tokens).alias("position", "word"))
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from textpulse import functions
 from textpulse.functions import is_lexical_word, lexicon_pos
+from textpulse.functions.tokens import contraction_tokens_sql
 from textpulse.operators.joins import lookup_join
 from textpulse.operators.lexicon import ANY_POS, first_frames, first_senses
 from textpulse.plans import semantics
@@ -40,6 +42,24 @@ def word_tokens(spark, sf):
     return turn_tokens(spark, sf).withColumn("lexical", is_lexical_word(F.col("word")))
 
 
+@query(
+    "contraction_tokens",
+    f"""WITH toks AS (SELECT doc_id, {contraction_tokens_sql("text")} AS w FROM documents WHERE text IS NOT NULL)
+    SELECT doc_id, len(w) AS n_tokens, len(list_filter(w, lambda t: regexp_matches(t, '^[''].'))) AS n_endings,
+      md5(array_to_string(w, ' ')) AS tokens_md5 FROM toks""",
+)
+def contraction_tokens(spark, sf):
+    """Tokens of every document, contractions split: their number, those after an apostrophe, a digest."""
+    rows = inputs.documents(spark, sf, "text").filter("text IS NOT NULL")
+    made = rows.select("doc_id", functions.contraction_tokens(F.col("text")).alias("w"))
+    return made.select(
+        "doc_id",
+        F.size("w").cast("long").alias("n_tokens"),
+        F.size(F.filter("w", lambda t: t.rlike("^[']."))).cast("long").alias("n_endings"),
+        F.md5(F.array_join("w", " ")).alias("tokens_md5"),
+    )
+
+
 @query("tag_lexicon", f"WITH {TAGS_SQL} SELECT word, tag FROM tags")
 def tag_lexicon(spark, sf):
     return inputs.tag_lexicon(spark, sf)
