@@ -9,7 +9,7 @@ from textpulse.suite import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 # Iterative or random fits over whole texts; ``check.py`` runs them on all rows.
-SLOW = {"train_lr_ngrams", "train_lr_hashed", "train_lr_vocab", "train_rf"}  # per row too costly here
+SLOW = {"certify_lr_vocab", "train_lr_ngrams", "train_lr_hashed", "train_lr_vocab", "train_rf"}  # per row too costly here
 
 
 @pytest.fixture(scope="module")

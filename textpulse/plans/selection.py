@@ -24,14 +24,19 @@ from textpulse.session import stored
 TIE_PLACES = 6
 
 
-def entries(vector: Column) -> Column:
-    """Indices of the entries of a vector that are not zero, sparse or dense."""
+def vector_entries(vector: Column) -> Column:
+    """(index, value) of the entries of a vector that are not zero, sparse or dense."""
     parts = F.unwrap_udt(vector)
     places = F.when(parts["type"] == 0, parts["indices"]).otherwise(
         F.when(F.size(parts["values"]) > 0, F.sequence(F.lit(0), F.size(parts["values"]) - 1)).otherwise(F.array())
     )
     pairs = F.arrays_zip(places.alias("index"), parts["values"].alias("value"))
-    return F.transform(F.filter(pairs, lambda p: p["value"] != 0), lambda p: p["index"])
+    return F.filter(pairs, lambda p: p["value"] != 0)
+
+
+def entries(vector: Column) -> Column:
+    """Indices of the entries of a vector that are not zero."""
+    return F.transform(vector_entries(vector), lambda p: p["index"])
 
 
 class PresenceSelector(

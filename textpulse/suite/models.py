@@ -15,6 +15,7 @@ from textpulse.operators.clean import drop_incomplete, stable_split
 from textpulse.operators.metrics import classification_report
 from textpulse.operators.partitions import spread_rows
 from textpulse.plans import models, scoring, tuning
+from textpulse.plans.certificate import certificate
 from textpulse.plans.training import bounded_share, fit_classifier
 from textpulse.schemas import SCORED_COLUMNS
 from textpulse.session import new_folder
@@ -118,6 +119,36 @@ def train_lr_vocab(spark, sf):
     return fitted_moments(spark, sf, models.lr_vocabulary())
 
 
+#: A fit has settled when its largest gradient is below this share of the one it began with.
+SETTLED = 0.01
+
+GRADIENT_SQL = f"""
+    WITH src AS (SELECT doc_id AS id, lang, lower(text) AS c FROM documents
+                 WHERE text IS NOT NULL AND {bucket_sql("doc_id::VARCHAR", 10)} < 8),
+    pairs AS (
+      SELECT id, lang, word, count(*) AS tf
+      FROM (SELECT id, lang, unnest({WORDS_SQL}) AS word FROM src) GROUP BY ALL),
+    total AS (SELECT count(*)::DOUBLE AS n FROM src),
+    classes AS (SELECT lang, count(*) AS n_rows FROM src GROUP BY lang),
+    vocab AS (
+      SELECT word, CASE WHEN count(*) >= {models.MIN_DOC_FREQ} THEN ln((any_value(n) + 1) / (count(*) + 1)) ELSE 0 END AS idf
+      FROM pairs, total GROUP BY word ORDER BY sum(tf) DESC, word LIMIT {models.VOCABULARY_LR}),
+    whole AS (SELECT word, sum(tf) * any_value(idf) AS s FROM pairs JOIN vocab USING (word) GROUP BY word),
+    own AS (SELECT word, lang, sum(tf) * any_value(idf) AS s FROM pairs JOIN vocab USING (word) GROUP BY word, lang)
+    SELECT c.lang AS label, n_rows, round(max(abs(n_rows / n * whole.s - coalesce(own.s, 0)) / n), 6) AS start,
+           true AS settled
+    FROM classes c CROSS JOIN total CROSS JOIN whole LEFT JOIN own ON own.word = whole.word AND own.lang = c.lang
+    GROUP BY c.lang, n_rows"""
+
+
+@query("certify_lr_vocab", GRADIENT_SQL)
+def certify_lr_vocab(spark, sf):
+    """Per class the largest gradient of intercepts alone, and whether the fit has brought it to nothing."""
+    train, _ = split_tweets(spark, sf)
+    found = certificate(fit_classifier(models.lr_vocabulary(), train), train)
+    return found.select("label", "n_rows", F.round("start", 6).alias("start"), (F.col("fitted") < SETTLED * F.col("start")).alias("settled"))
+
+
 @query("train_lr_ngrams", MOMENTS_SQL)
 def train_lr_ngrams(spark, sf):
     return fitted_moments(spark, sf, models.lr_ngrams())
