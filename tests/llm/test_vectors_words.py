@@ -287,3 +287,22 @@ def test_simhash_odd_rows(spark, odd_docs):
     assert got[3, "0" * 16, 3] == got[4, "0" * 16, 3] == got[None, "0" * 16, 3] == 1
     assert simhash.near_duplicates(docs.filter("false")).count() == 0
     assert simhash.near_duplicates(docs.filter("doc_id is null and text is null")).first()[2] is None
+
+
+# Columns of the operators' own names
+
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    from textpulse.llm import lines
+
+    line = "a line that is long enough to be compared with others"
+    rows = [(1, f"{line}\nfirst", 7, [1], 9, 5, "x", 3), (2, f"{line}\nsecond", 8, [2], 9, 6, "y", 4)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, removed int, classes array<int>, n_links int, _row int, h1 string, _n_lines int"
+    )
+    made = lines.dedup_lines(docs)
+    assert made.columns == [*docs.columns[:-1], "_n_lines", "_n_links", "_line_classes", "_n_removed"]
+    got = {r["doc_id"]: r for r in made.collect()}
+    assert got[1]["text"] == rows[0][1] and got[2]["text"] == "second"
+    for row in rows:
+        assert tuple(got[row[0]])[2:7] == row[2:7]
+    assert [got[k]["_n_removed"] for k in (1, 2)] == [0, 1] and got[1]["_n_links"] == 1
