@@ -2,7 +2,7 @@
 
 Each word's adjacent pairs sit in a segment tree of their merge ranks. The root is the
 lowest rank, leftmost first; a merge changes three leaves, each in logarithmic time, until
-the root holds no mergeable pair. A bounded cache keeps the ids of common words.
+the root holds no mergeable pair. A bounded cache keeps the ids of the words met last.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 
 from textpulse.llm.common import map_columns
 
-#: Words a Python worker keeps with their ids; a full cache drops its oldest half.
+#: Words a Python worker keeps with their ids, in two halves: a full half replaces the other, and a
+#: word that is met again moves into the new one.
 CACHE_WORDS = 400_000
 
 _NONE = 1 << 62
@@ -51,33 +52,37 @@ def newer_letters() -> str:
 
 
 class PairTree:
-    """A minimum tree over the ranks of adjacent pairs; equal ranks go to the left."""
+    """A minimum tree over the ranks of adjacent pairs; equal ranks go to the left.
+
+    A leaf holds rank x width + place, so the least leaf names its place.
+    """
+
+    __slots__ = ("width", "nodes")
 
     def __init__(self, ranks: Sequence[int]):
-        self.width = 1 << max(0, (len(ranks) - 1).bit_length())
-        leaves = [r if r == _NONE else r * self.width + i for i, r in enumerate(ranks)]
-        self.nodes = [_NONE] * self.width + leaves + [_NONE] * (self.width - len(ranks))
-        for k in range(self.width - 1, 0, -1):
-            left, right = self.nodes[2 * k], self.nodes[2 * k + 1]
-            self.nodes[k] = left if left <= right else right
-
-    def best(self) -> int:
-        """Position of the leftmost lowest rank, or -1."""
-        top = self.nodes[1]
-        return -1 if top == _NONE else top % self.width
+        width = self.width = 1 << max(0, (len(ranks) - 1).bit_length())
+        nodes = self.nodes = [_NONE] * (2 * width)
+        for i, r in enumerate(ranks):
+            if r != _NONE:
+                nodes[width + i] = r * width + i
+        for k in range(width - 1, 0, -1):
+            left, right = nodes[2 * k], nodes[2 * k + 1]
+            nodes[k] = left if left <= right else right
 
     def put(self, at: int, rank: int) -> None:
         nodes = self.nodes
         k = at + self.width
-        nodes[k] = rank if rank == _NONE else rank * self.width + at
-        k >>= 1
-        while k:
-            left, right = nodes[2 * k], nodes[2 * k + 1]
-            least = left if left <= right else right
-            if nodes[k] == least:
-                break
-            nodes[k] = least
+        value = rank if rank == _NONE else rank * self.width + at
+        if nodes[k] == value:
+            return
+        nodes[k] = value
+        while k > 1:
+            other = nodes[k ^ 1]
             k >>= 1
+            least = value if value <= other else other
+            if nodes[k] == least:
+                return
+            nodes[k] = value = least
 
 
 class Encoder:
@@ -106,57 +111,75 @@ class Encoder:
         pattern, newer = split["pattern"]["Regex"], newer_letters()
         self.words = regex.compile(pattern)
         self.newer = regex.compile(f"[{newer}]") if newer else None
+        #: Bytes below the first byte of the least newer letter: no newer letter begins with one.
+        least = newer and newer.encode().decode("unicode_escape")[0]
+        self.lower_bytes = bytes(range(least.encode()[0])) if newer else b""
         for kind in (r"\p{L}", r"\p{N}"):
             pattern = pattern.replace(kind, f"[{kind}--[{newer}]]")
         self.older_words = regex.compile(pattern, regex.V1) if newer else self.words
         names = sorted(self.special, key=len, reverse=True)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Ids after all merges, lowest rank first, leftmost among equals."""
         n = len(symbols)
         if n < 2:
             return symbols
-        rank = self.pairs.get
+        rank, merged = self.pairs.get, self.merged
         tree = PairTree([rank(a << 32 | b, _NONE) for a, b in zip(symbols, symbols[1:])])
+        nodes, width, put = tree.nodes, tree.width, tree.put
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        while (i := tree.best()) >= 0:
+        while (top := nodes[1]) != _NONE:
+            r, i = divmod(top, width)
             j = after[i]
-            symbols[i] = self.merged[self.pairs[symbols[i] << 32 | symbols[j]]]
+            symbol = symbols[i] = merged[r]
             symbols[j] = -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                tree.put(j, _NONE)
-                tree.put(i, rank(symbols[i] << 32 | symbols[k], _NONE))
+                put(j, _NONE)
+                put(i, rank(symbol << 32 | symbols[k], _NONE))
             else:
-                tree.put(i, _NONE)
+                put(i, _NONE)
                 if j < n - 1:
-                    tree.put(j, _NONE)
+                    put(j, _NONE)
             if (h := before[i]) >= 0:
-                tree.put(h, rank(symbols[h] << 32 | symbols[i], _NONE))
+                put(h, rank(symbols[h] << 32 | symbol, _NONE))
         return [s for s in symbols if s >= 0]
 
     def word(self, word: str) -> bytes:
         """Ids of one word as little-endian unsigned 32-bit integers."""
-        data = word.encode()
-        symbols = [self.inner[b] for b in data]
-        symbols[-1] = self.last[data[-1]]
-        found = np.array(self.merge(symbols), "<u4").tobytes()
-        if len(self.cache) >= CACHE_WORDS:
-            for old in list(self.cache)[: CACHE_WORDS // 2]:
-                del self.cache[old]
+        if (found := self.older.get(word)) is None:
+            data = word.encode()
+            symbols = [self.inner[b] for b in data]
+            symbols[-1] = self.last[data[-1]]
+            found = np.array(self.merge(symbols), "<u4").tobytes()
         if len(word) <= 64:
+            if len(self.cache) >= CACHE_WORDS // 2:
+                self.older, self.cache = self.cache, {}
             self.cache[word] = found
         return found
 
+    def has_newer(self, low: str) -> bool:
+        """Whether a text has letters that the public encoder does not know as such.
+
+        Bytes that only higher code points have are looked for first; most texts have none.
+        """
+        if self.newer is None or low.isascii() or not low.encode().translate(None, self.lower_bytes):
+            return False
+        return self.newer.search(low) is not None
+
     def plain(self, text: str) -> list[bytes]:
         # Letters are lowered one by one: no final form of sigma.
         low = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        known, fresh = self.cache.get, self.word
-        words = self.older_words if self.newer and self.newer.search(low) else self.words
-        return [known(w) or fresh(w) for w in words.findall(low)]
+        words = self.older_words if self.has_newer(low) else self.words
+        parts = words.findall(low)
+        found = list(map(self.cache.get, parts))
+        if None in found:
+            found = [f or self.word(w) for f, w in zip(found, parts)]
+        return found
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text; no text and an empty text have none."""
