@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from textpulse.plans import models, tuning
+from textpulse.plans import models, training, tuning
 from textpulse.plans.bayes import count_texts, fit_by_counts, fits_by_counts, marked_words
 from textpulse.plans.training import fit_classifier
 
@@ -91,3 +91,9 @@ def test_no_word_passes_through_the_driver(spark, monkeypatch):
     monkeypatch.setattr(DataFrame, "collect", lambda self: seen.append(plain(self)) or seen[-1])
     fit_classifier(models.nb_vocabulary(), frame(spark, ODD))
     assert not any("b" in map(str, r) for rows in seen for r in rows)
+
+
+def test_fit_seconds_are_noted(spark):
+    before = len(training.FIT_SECONDS)
+    fit_classifier(models.nb_vocabulary(), frame(spark, ODD))
+    assert len(training.FIT_SECONDS) == before + 1 and training.FIT_SECONDS[-1] > 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from math import ceil
 
@@ -50,7 +51,19 @@ def bounded_share(rows: DataFrame, key: str, most: int) -> DataFrame:
     return rows.filter(md5_bucket(F.concat(F.col(key).cast("string"), F.lit("/fit")), SHARE_STEPS) < share)
 
 
+#: Seconds that each call of ``fit_classifier`` took in this process, in order.
+FIT_SECONDS: list[float] = []
+
+
 def fit_classifier(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
+    """``fitted`` with its time noted: training seconds apart from those of scoring."""
+    began = time.perf_counter()
+    model = fitted(pipeline, rows)
+    FIT_SECONDS.append(time.perf_counter() - began)
+    return model
+
+
+def fitted(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
     """Fit the feature stages, store the features, then fit the last stage on them.
 
     Without the stored table every task of every iteration would carry the lineage:
@@ -62,17 +75,17 @@ def fit_classifier(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
     if fits_by_counts(pipeline.getStages()):
         return fit_by_counts(pipeline.getStages(), rows)
     *stages, classifier = pipeline.getStages()
-    fitted, prepared = fit_stages(stages, rows)
+    made, prepared = fit_stages(stages, rows)
     if isinstance(classifier, NaiveBayes):
         model = classifier.fit(prepared.select("features", "label"))
-        return PipelineModel([*fitted, model])
+        return PipelineModel([*made, model])
     spark = rows.sparkSession
     path = new_folder(spark, "features")
     prepared.select("features", "label").write.parquet(path)
     stored = spark.read.parquet(path)
     if isinstance(classifier, LogisticRegression):
         stored = _pack(stored)
-    return PipelineModel([*fitted, classifier.fit(stored)])
+    return PipelineModel([*made, classifier.fit(stored)])
 
 
 def _pack(stored: DataFrame) -> DataFrame:

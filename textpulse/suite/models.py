@@ -18,23 +18,28 @@ from textpulse.plans import models, scoring, tuning
 from textpulse.plans.certificate import certificate
 from textpulse.plans.training import bounded_share, fit_classifier
 from textpulse.schemas import SCORED_COLUMNS
-from textpulse.session import new_folder
+from textpulse.session import new_folder, stored
 from textpulse.sources.readers import read_table
 from textpulse.sources.writers import load_model, save_model
 from textpulse.suite.inputs import CLEAN_SQL, WORDS_SQL, bucket_sql, tweets
 from textpulse.suite.registry import query
 from textpulse.suite.tables import report_sql, rounded_report
+from textpulse.suite.text import TRAINING_SQL, training_rows
 
 #: Labelled rows the forest is fitted on: 262144 bins of 4 bytes each make 1 MB a row.
 FOREST_ROWS = 400
 
 
-def naive_bayes_sql(text: str = "lower(text)") -> str:
-    """CTEs up to ``scored(id, game, tweet, lang, is_train, label, prediction, name)``."""
-    return f"""
-    src AS (SELECT doc_id AS id, source AS game, lang, text, {text} AS c,
+def naive_bayes_sql(text: str = "lower(text)", source: str | None = None) -> str:
+    """CTEs up to ``scored(id, game, tweet, lang, is_train, label, prediction, name)``.
+
+    ``source`` selects other rows than all texts: (id, game, lang, text, c, is_train).
+    """
+    source = source or f"""SELECT doc_id AS id, source AS game, lang, text, {text} AS c,
                    {bucket_sql("doc_id::VARCHAR", 10)} < 8 AS is_train
-            FROM documents WHERE text IS NOT NULL),
+            FROM documents WHERE text IS NOT NULL"""
+    return f"""
+    src AS ({source}),
     pairs AS (
       SELECT id, lang, is_train, word, count(*) AS tf
       FROM (SELECT id, lang, is_train, unnest({WORDS_SQL}) AS word FROM src) GROUP BY ALL),
@@ -199,6 +204,36 @@ def evaluate_nb(spark, sf):
     return rounded_report(classification_report(train_nb(spark, sf)))
 
 
+PREPARED_NB_SQL = naive_bayes_sql(
+    source=f"""SELECT id, NULL AS game, sentiment AS lang, tweet AS text, tweet AS c, part = 'train' AS is_train
+    FROM ({TRAINING_SQL})"""
+)
+
+
+@query(
+    "train_nb_prepared",
+    f"""WITH {PREPARED_NB_SQL} SELECT id, label, prediction, name AS sentiment_prediction
+    FROM scored WHERE NOT is_train""",
+)
+def train_nb_prepared(spark, sf):
+    """The whole flow: clean, drop repeats and short texts, split, fit; then the rows held out.
+
+    No text is on both sides of the split.
+    """
+    rows = stored(training_rows(spark, sf), "prepared", ["part"])
+    model = fit_classifier(models.nb_vocabulary(), rows.filter("part = 'train'").drop("part"))
+    scored = scoring.score(model, rows.filter("part = 'test'"), labelled=True)
+    return scored.select("id", "label", "prediction", "sentiment_prediction")
+
+
+@query(
+    "evaluate_nb_prepared",
+    report_sql(f"WITH {PREPARED_NB_SQL} SELECT label, prediction FROM scored WHERE NOT is_train"),
+)
+def evaluate_nb_prepared(spark, sf):
+    return rounded_report(classification_report(train_nb_prepared(spark, sf)))
+
+
 CV_SQL = f"""
     WITH src AS (
       SELECT doc_id AS id, lang, lower(text) AS c,

@@ -96,16 +96,16 @@ def dedup_text(spark, sf):
     return clean.drop_repeated_text(read_table(spark, sf, "documents"), "text", "doc_id")
 
 
-@query(
-    "training_rows",
-    f"""WITH kept AS (
+TRAINING_SQL = f"""WITH kept AS (
       SELECT doc_id, lang, {CLEAN_SQL} AS c,
              row_number() OVER (PARTITION BY {CLEAN_SQL} ORDER BY doc_id) AS rn
       FROM documents WHERE text IS NOT NULL)
     SELECT doc_id AS id, lang AS sentiment, c AS tweet,
            CASE WHEN {bucket_sql("doc_id::VARCHAR", 10)} < 8 THEN 'train' ELSE 'test' END AS part
-    FROM kept WHERE rn = 1 AND len(string_split(c, ' ')) >= 2""",
-)
+    FROM kept WHERE rn = 1 AND len(string_split(c, ' ')) >= 2"""
+
+
+@query("training_rows", TRAINING_SQL)
 def training_rows(spark, sf):
     """Clean, drop repeats and short texts, and only then split."""
     rows = spread_rows(tweets(spark, sf).select("id", "sentiment", "tweet"), "id")
