@@ -8,7 +8,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from textpulse.plans import models, scoring, tuning
-from textpulse.plans.training import bounded_share, fit_classifier
+from textpulse.plans.training import bounded_share, evaluate, fit_classifier
 from textpulse.session import new_folder
 from textpulse.sources.writers import load_model, save_model
 
@@ -146,3 +146,28 @@ def test_bounded_share_is_stable(spark):
     some = [{r["id"] for r in bounded_share(ids.repartition(n), "id", 500).collect()} for n in (1, 7)]
     assert some[0] == some[1] and 400 < len(some[0]) < 600
     assert bounded_share(ids, "id", 5000).count() == 5000
+
+
+FIVE = {
+    "lr_vocabulary": (models.lr_vocabulary, {"min_doc_freq": 0, "max_iter": 10}),
+    "lr_ngrams": (models.lr_ngrams, {"size": 200, "min_doc_freq": 0, "selected": 50, "max_iter": 10}),
+    "lr_hashed": (models.lr_hashed, {"buckets": 1 << 10, "max_iter": 10}),
+    "bayes": (models.nb_vocabulary, {}),
+    "forest": (models.forest_hashed, {"buckets": 32, "trees": 10, "depth": 5}),
+}
+
+
+@pytest.mark.parametrize("name", FIVE)
+def test_reports_are_those_of_the_evaluator(rows, name):
+    build, settings = FIVE[name]
+    test = rows.filter("id % 3 = 0")
+    if name in ("lr_hashed", "bayes", "forest"):  # the others take a label they have not seen for an error
+        test = test.unionByName(rows.filter("id = 1").selectExpr("999L AS id", "'new' AS sentiment", "tweet"))
+    made = evaluate(build(**settings), rows.filter("id % 3 > 0"), test)
+    report = made.report.first()
+    scored = scoring.score(made.model, test, labelled=True)
+    assert report["n_rows"] == 40 and made.seconds > 0
+    for metric, column in (
+        ("accuracy", "accuracy"), ("f1", "f1"), ("weightedPrecision", "weighted_precision"), ("weightedRecall", "weighted_recall"),
+    ):
+        assert math.isclose(report[column], MulticlassClassificationEvaluator(metricName=metric).evaluate(scored), abs_tol=1e-9)

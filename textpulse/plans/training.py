@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from dataclasses import dataclass
 from math import ceil
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -14,9 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textpulse.functions import md5_bucket
+from textpulse.operators.metrics import classification_report
 from textpulse.operators.terms import vocabulary
 from textpulse.plans.bayes import fit_by_counts, fits_by_counts
 from textpulse.plans.fitted import in_order, vocabulary_model
+from textpulse.plans.scoring import score
 from textpulse.session import new_folder
 
 BYTES_PER_ENTRY = 12  # one index and one weight of a sparse vector
@@ -63,6 +66,25 @@ def fit_classifier(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
     return model
 
 
+@dataclass(frozen=True)
+class Evaluation:
+    """A fitted pipeline, the seconds its fit took, and the four metrics of held-out rows."""
+
+    model: PipelineModel
+    seconds: float
+    report: DataFrame
+
+
+def evaluate(pipeline: Pipeline, train: DataFrame, test: DataFrame) -> Evaluation:
+    """Fit on ``train`` and report on ``test``.
+
+    A label that the fit has not seen is left out or an error, as the pipeline's label stage says.
+    """
+    model = fit_classifier(pipeline, train)
+    scored = score(model, test, labelled=True).select("label", "prediction")
+    return Evaluation(model, FIT_SECONDS[-1], classification_report(scored))
+
+
 def fitted(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
     """Fit the feature stages, store the features, then fit the last stage on them.
 

@@ -30,10 +30,11 @@ from textpulse.suite.text import TRAINING_SQL, training_rows
 FOREST_ROWS = 400
 
 
-def naive_bayes_sql(text: str = "lower(text)", source: str | None = None) -> str:
+def naive_bayes_sql(text: str = "lower(text)", source: str | None = None, smoothing: str = "1.0") -> str:
     """CTEs up to ``scored(id, game, tweet, lang, is_train, label, prediction, name)``.
 
-    ``source`` selects other rows than all texts: (id, game, lang, text, c, is_train).
+    ``source`` selects other rows than all texts: (id, game, lang, text, c, is_train);
+    ``smoothing`` is an expression. With none, a class without one of a text's words is ruled out.
     """
     source = source or f"""SELECT doc_id AS id, source AS game, lang, text, {text} AS c,
                    {bucket_sql("doc_id::VARCHAR", 10)} < 8 AS is_train
@@ -54,20 +55,23 @@ def naive_bayes_sql(text: str = "lower(text)", source: str | None = None) -> str
     sums AS (
       SELECT lang AS name, word, sum(tf * idf) AS s
       FROM pairs JOIN vocab USING (word) WHERE is_train GROUP BY ALL),
+    smooth AS (SELECT l, CASE WHEN l > 0 THEN ln(greatest(l, 1e-9)) ELSE 0 END AS log_l
+               FROM (SELECT ({smoothing})::DOUBLE AS l)),
     params AS (
-      SELECT name, idx, ln(n + 1) - ln(m + (SELECT count(*) FROM classes)) AS prior,
-             ln((SELECT sum(s) FROM sums x WHERE x.name = c.name) + (SELECT count(*) FROM vocab)) AS denom
-      FROM classes c, m),
+      SELECT name, idx, ln(n + l) - ln(m + l * (SELECT count(*) FROM classes)) AS prior,
+             ln((SELECT sum(s) FROM sums x WHERE x.name = c.name) + l * (SELECT count(*) FROM vocab)) AS denom
+      FROM classes c, m, smooth),
     weights AS (SELECT id, word, tf * idf AS x FROM pairs JOIN vocab USING (word)),
-    totals AS (SELECT id, sum(x) AS t FROM weights GROUP BY id),
-    hits AS (SELECT id, name, sum(x * ln(s + 1)) AS h
-             FROM weights JOIN sums USING (word) GROUP BY ALL),
+    totals AS (SELECT id, sum(x) AS t, count(*) AS k FROM weights GROUP BY id),
+    hits AS (SELECT id, name, count(*) AS k, sum(x * (ln(s + l) - log_l)) AS h
+             FROM weights JOIN sums USING (word) CROSS JOIN smooth GROUP BY ALL),
     best AS (
       SELECT id, name, idx FROM (
         SELECT src.id, p.name, p.idx,
           row_number() OVER (PARTITION BY src.id
-            ORDER BY prior - denom * coalesce(t, 0) + coalesce(h, 0) DESC, p.idx) AS rn
-        FROM src CROSS JOIN params p LEFT JOIN totals USING (id)
+            ORDER BY CASE WHEN l = 0 AND coalesce(hits.k, 0) < coalesce(totals.k, 0) THEN '-infinity'::DOUBLE
+              ELSE prior - denom * coalesce(t, 0) + coalesce(h, 0) + log_l * coalesce(t, 0) END DESC, p.idx) AS rn
+        FROM src CROSS JOIN params p CROSS JOIN smooth LEFT JOIN totals USING (id)
           LEFT JOIN hits ON hits.id = src.id AND hits.name = p.name)
       WHERE rn = 1),
     scored AS (
@@ -305,6 +309,20 @@ def train_nb_cv(spark, sf):
     return spark.createDataFrame(rows, "smoothing DOUBLE, accuracy DOUBLE, chosen BOOLEAN")
 
 
+TUNED_SQL = naive_bayes_sql(smoothing=f"SELECT smoothing FROM ({CV_SQL}) WHERE chosen")
+
+
+@query(
+    "evaluate_nb_cv",
+    report_sql(f"WITH {TUNED_SQL} SELECT label, prediction FROM scored WHERE NOT is_train"),
+)
+def evaluate_nb_cv(spark, sf):
+    """The four metrics of the tuned model on the rows that neither tuning nor training has seen."""
+    train, test = split_tweets(spark, sf)
+    model = tuning.tune_naive_bayes(train, "id").model
+    return rounded_report(classification_report(scoring.score(model, test, labelled=True)))
+
+
 def fitted_naive_bayes(spark, sf):
     """Train, save, and load again: what a scoring job starts from."""
     train, _ = split_tweets(spark, sf)
