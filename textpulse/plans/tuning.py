@@ -10,6 +10,7 @@ depend on partitioning.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -53,16 +54,21 @@ def tune_naive_bayes(
     rows = label_model.transform(tokens.transform(train.withColumn("fold", fold_of(key, folds).cast("int"))))
     rows = stored(rows.select("words", "label", "fold"), "words", ["fold"])
     counts = count_texts(rows)
-    right = {smoothing: [] for smoothing in grid}
     *partial, full = models_of(counts, counter, weigher, [*range(folds), None])
-    for fold, fitted in enumerate(partial):
+
+    def shares_of(fold: int) -> list[float | None]:
+        """Per setting, the share of the fold's texts that a model without the fold names rightly."""
+        fitted = partial[fold]
         held_out = PipelineModel(list(fitted.features)).transform(rows.filter(F.col("fold") == fold))
         held_out = held_out.select("features", "label")
         for i, smoothing in enumerate(grid):
             held_out = fitted.classifier(_setting(bayes, smoothing, f"prediction_{i}")).transform(held_out)
-        shares = [F.avg((F.col(f"prediction_{i}") == F.col("label")).cast("double")) for i in range(len(grid))]
-        for smoothing, share in zip(grid, held_out.agg(*shares).first(), strict=True):
-            right[smoothing].append(share)
+        hits = [F.avg((F.col(f"prediction_{i}") == F.col("label")).cast("double")) for i in range(len(grid))]
+        return list(held_out.agg(*hits).first())
+
+    with ThreadPoolExecutor(folds) as pool:  # folds wait for small jobs of their own
+        per_fold = list(pool.map(shares_of, range(folds)))
+    right = {smoothing: [shares[i] for shares in per_fold] for i, smoothing in enumerate(grid)}
     # A fold without texts has no accuracy and does not count.
     accuracy = {}
     for smoothing, shares in right.items():
