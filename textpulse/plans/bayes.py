@@ -31,7 +31,7 @@ from textpulse.session import stored
 class TextCounts:
     """Sufficient statistics of labelled texts.
 
-    ``terms``: stored (fold, label, term, tf, df). ``texts``: (fold, label, number of texts), one
+    ``terms``: (fold, label, term, tf, df). ``texts``: (fold, label, number of texts), one
     entry per fold and class; the label is null for texts that only count in the features.
     """
 
@@ -61,12 +61,15 @@ def marked_words(words: Column) -> Column:
     )
 
 
-def count_texts(rows: DataFrame) -> TextCounts:
-    """Counts of ``rows(words, label, fold)``: occurrences and texts from one pass."""
+def count_texts(rows: DataFrame, store: bool = True) -> TextCounts:
+    """Counts of ``rows(words, label, fold)``: occurrences and texts from one pass.
+
+    ``store=False`` leaves them a plan, for one call of ``models_of``, which reads them once.
+    """
     tokens = rows.select("fold", "label", F.inline(marked_words(F.col("words"))))
     grouped = tokens.groupBy("fold", "label", "term").agg(F.count("*").alias("tf"), F.sum("first").alias("df"))
     texts = rows.groupBy("fold", "label").agg(F.count("*").alias("n"))
-    return TextCounts(stored(grouped, "term-counts"), tuple(map(tuple, texts.collect())))
+    return TextCounts(stored(grouped, "term-counts") if store else grouped, tuple(map(tuple, texts.collect())))
 
 
 @dataclass(frozen=True)
@@ -171,7 +174,8 @@ def fit_by_counts(stages: Sequence, rows: DataFrame) -> PipelineModel:
     marked = names.copy().setHandleInvalid("keep").transform(made_words)
     known = F.when(F.col(labels.getOutputCol()) < len(names.labels), F.col(labels.getOutputCol()))
     counts = count_texts(
-        marked.select(F.col(tokens.getOutputCol()).alias("words"), known.alias("label"), F.lit(0).alias("fold"))
+        marked.select(F.col(tokens.getOutputCol()).alias("words"), known.alias("label"), F.lit(0).alias("fold")),
+        store=False,
     )
     (made,) = models_of(counts, counter, weigher)
     return PipelineModel([*before, tokens, *made.features, names, made.classifier(bayes)])
