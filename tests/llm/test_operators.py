@@ -155,6 +155,36 @@ def test_nearest_is_exact():
         assert [round(c, 9) for c, _ in got] == [round(min(1, c), 9) for c, _ in expected]
 
 
+def test_nearest_is_exact_on_texts_and_skips_blocks(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    held = model.loaded()
+    index = held.index
+    whole = np.zeros((index.n, len(held.terms)))
+    for r in range(index.n):
+        part = slice(index.edges[r], index.edges[r + 1])
+        whole[r, index.places[part]] = index.often[part] * held.weights[index.places[part]]
+    whole /= np.linalg.norm(whole, axis=1, keepdims=True)
+    texts = [r["text"] for r in docs.orderBy("doc_id").limit(500).collect()]
+    vectors = [held.vector(t) for t in texts]
+    for (at, weights), got in zip(vectors, index.nearest_each(vectors, 15, [None] * len(vectors))):
+        cosines = whole[:, at] @ weights
+        assert [c for c, _ in got] == pytest.approx(sorted(cosines[cosines > 1e-12], reverse=True)[:15], abs=1e-9)
+        assert [cosines[r] for _, r in got] == pytest.approx([c for c, _ in got], abs=1e-9)
+    assert index.blocks_opened < 0.8 * index.blocks_met
+
+
+def test_toxicity_terms_of_long_words_and_remembered_ones():
+    hashes = toxicity.Hashes(most=3)
+    texts = ["abcdefgh abcdefgh abcde xyz", "", None, "one two three four five six seven eight", "abcdefgh abcdefgh abcde xyz"]
+    made = [hashes.counts(t) for t in texts]
+    # abcdefgh twice, its starts of 5 and 6 twice, abcde, the shared start of 4 three times, xyz.
+    assert sorted(made[0][1].tolist()) == [1, 1, 2, 2, 2, 3]
+    assert len(made[1][0]) == len(made[2][0]) == 0
+    assert all((a == b).all() for a, b in zip(made[0], made[4]))
+
+
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.01"
     rows = QUERIES["op3_toxicity"](spark, folder).collect()

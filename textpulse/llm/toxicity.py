@@ -1,27 +1,31 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine.
 
 Every labelled example is a vector over all terms of the examples: words, and the starts of
-longer words, which stand for their derived forms. A term weighs the more the more its
-examples lean to toxic ones. Terms that many examples hold are a dense matrix, the others
-posting lists; block maxima of the scores leave few examples, whose cosines are worked out
-exactly. Votes weighted by cosine, calibrated on the examples themselves with each one left
-out, give a score and its evidence.
+longer words, which stand for their derived forms. A term's idf weighs the more the more its
+examples lean to toxic ones. Spark counts the terms and stores the vectors in the shared
+folder; workers read them there, and the driver sees counts alone. The index is block-max:
+examples of like words stand in blocks, and every term of middling frequency keeps the
+largest weight that it has in each block. A text adds up its rare terms by postings and its
+commonest ones by a dense matrix; with the block maxima that bounds every example, and only
+blocks whose bound reaches the k-th score found so far are opened. The best are worked out
+again in double precision. Votes weighted by cosine, calibrated on the examples themselves with each one left out, give a score and its
+evidence.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-import pickle
-import zlib
-from collections import Counter
 
 import numpy as np
-import pyarrow as pa
+import pyarrow.dataset as pads
+import pyarrow.fs as pafs
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textpulse.llm.common import append_columns, lower_words, map_columns, ready_workers, row_key, store
+from textpulse.session import new_folder
 
 #: Labelled rows used at most: those with the smallest hashes of their id.
 MAX_LABELLED = 16_384
@@ -33,25 +37,26 @@ LEAN, STEADY = 10.0, 5.0
 #: A term that this share of the examples holds is a row of the dense matrix.
 COMMON_SHARE = 0.1
 
+#: A term that no more than this share of the examples holds is read by its postings.
+RARE_SHARE = 0.04
+
 NEIGHBOURS = 15
-BLOCK = 64
+
+#: Examples in a block.
+BLOCK = 16
 SMOOTHING = 0.5
 BINS = 50
 STARTS = (4, 5, 6)
 
-#: Texts that are scored at a time, and what rounding of the first, single-precision scores
-#: can be at most.
-TEXTS, SLACK = 64, 1e-4
+#: Texts whose dense scores are worked out at a time, blocks opened at a time, and what
+#: rounding of single-precision scores and bounds can be at most.
+TEXTS, OPENED, SLACK = 64, 16, 1e-4
+
+#: Commonest terms whose presence orders the examples, which parts languages; examples read at a time.
+ORDERING, READ_ROWS = 8, 1024
 
 
-def terms(text: str | None) -> Counter:
-    """Words of the lower-case text, and ``start-`` terms of those that are longer."""
-    counts = Counter(lower_words(text))
-    for word, n in list(counts.items()):
-        for k in STARTS:
-            if len(word) > k:
-                counts[word[:k] + "-"] += n
-    return counts
+Vector = tuple[np.ndarray, np.ndarray]
 
 
 def content(text: str | None) -> int:
@@ -59,16 +64,53 @@ def content(text: str | None) -> int:
     return int.from_bytes(hashlib.blake2b(" ".join(lower_words(text)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), signed=True)
 
 
-Vector = tuple[np.ndarray, np.ndarray]
+class Hashes:
+    """64-bit hashes of the terms of texts; remembers words. Terms of equal hash are one term."""
+
+    def __init__(self, most: int = 200_000):
+        self._most, self._ids = most, {}
+        # A row of hashes for every word met, and how many of the row's places are used.
+        self._table, self._sizes = np.zeros((1024, 1 + len(STARTS)), np.uint64), np.zeros(1024, np.int64)
+
+    def counts(self, text: str | None) -> Vector:
+        """Hashes in order, and how often their terms occur."""
+        if len(self._ids) > self._most:
+            self._ids.clear()
+        words = lower_words(text)
+        ids = list(map(self._ids.get, words))
+        if None in ids:
+            ids = [self._word(w) if i is None else i for i, w in zip(ids, words)]
+        ids, often = np.unique(np.array(ids, np.int64), return_counts=True)
+        sizes = self._sizes[ids]
+        each = self._table[ids][np.arange(1 + len(STARTS)) < sizes[:, None]].view(np.int64)
+        # Words of one start meet in it.
+        found, where = np.unique(each, return_inverse=True)
+        return found, np.bincount(where, np.repeat(often.astype(float), sizes), len(found))
+
+    def _word(self, word: str) -> int:
+        if word in self._ids:
+            return self._ids[word]
+        at = self._ids[word] = len(self._ids)
+        if at == len(self._sizes):
+            self._table, self._sizes = np.concatenate([self._table] * 2), np.concatenate([self._sizes] * 2)
+        mine = [word, *(word[:k] + "-" for k in STARTS if len(word) > k)]
+        self._sizes[at] = len(mine)
+        self._table[at, : len(mine)] = [xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in mine]
+        return at
 
 
 class Index:
-    """Unit vectors of examples: posting lists, and a dense matrix of the common terms."""
+    """Unit vectors of examples: whole, and as postings, block maxima and a dense matrix.
+
+    ``edges`` parts ``places`` (terms, in order) and ``often`` (their weights before ``scale``, the weight
+    of a term) into examples. Of equal cosines the one of lower ``ranks`` is nearer.
+    """
 
     def __init__(self, vectors: list[dict[int, float]], labels: list[int], keys: list[int], n_terms: int):
         edges = np.cumsum([0, *map(len, vectors)])
-        places = np.array([t for v in vectors for t in v], np.int64)
-        self._build(edges, places, np.array([w for v in vectors for w in v.values()], float), labels, keys, n_terms)
+        places = np.array([t for v in vectors for t in sorted(v)], np.int64)
+        often = np.array([v[t] for v in vectors for t in sorted(v)], float)
+        self._build(edges, places, often, np.ones(n_terms), labels, keys, np.arange(len(keys)))
 
     @classmethod
     def of_arrays(cls, *parts) -> Index:
@@ -76,29 +118,74 @@ class Index:
         made._build(*parts)
         return made
 
-    def _build(self, edges, places, weights, labels, keys, n_terms) -> None:
-        self.labels, self.keys = np.array(labels, float), keys
-        self.edges, self.places, self.weights = edges, places, weights
+    def _build(self, edges, places, often, scale, labels, keys, ranks) -> None:
+        self.edges, self.places, self.often, self.scale = edges, places, often, scale
+        self.labels, self.keys, self.ranks = np.array(labels, float), keys, ranks
         self.at = {k: r for r, k in enumerate(keys)}
-        n = self.n = len(keys)
-        self.query = np.zeros(n_terms)
-        rows = np.repeat(np.arange(n, dtype=np.int32), np.diff(edges))
+        self.blocks_met = self.blocks_opened = 0
+        n, n_terms = len(keys), len(scale)
+        self.n = n
         held = np.bincount(places, minlength=n_terms)
         common = held >= max(1, COMMON_SHARE * n)
-        self.dense_at = np.where(common, np.cumsum(common) - 1, -1)
-        # Whole blocks, so that their maxima are one reduction.
+        middle = ~common & (held > RARE_SHARE * n)
+        rare = ~common & ~middle
+        self.dense_at = np.where(common, np.cumsum(common) - 1, -1).astype(np.int32)
+        self.middle_at = np.where(middle, np.cumsum(middle) - 1, -1).astype(np.int32)
+        self._lay_out(held)
         self.width = -(-n // BLOCK) * BLOCK
+        blocks = self.width // BLOCK
         self.dense = np.zeros((int(common.sum()), self.width), np.float32)
-        here = common[places]
-        self.dense[self.dense_at[places[here]], rows[here]] = weights[here]
-        order = np.flatnonzero(~here)
-        order = order[np.argsort(places[order], kind="stable")]
-        self.rows, self.row_weights = rows[order], weights[order].astype(np.float32)
-        self.sizes = np.where(common, 0, held)
+        tops = np.zeros(int(middle.sum()) * blocks, np.float32)
+        listed: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        kept = [(np.array([], np.int32), np.array([], np.int32), np.array([], np.float32))]
+        for first in range(0, n, READ_ROWS):
+            last = min(n, first + READ_ROWS)
+            part = slice(edges[first], edges[last])
+            at = places[part]
+            value = (often[part] * scale[at] / np.repeat(self.lengths[first:last], np.diff(edges[first : last + 1]))).astype(np.float32)
+            spot = np.repeat(self.spots[first:last], np.diff(edges[first : last + 1]))
+            here = common[at]
+            self.dense[self.dense_at[at[here]], spot[here]] = value[here]
+            here = middle[at]
+            np.maximum.at(tops, self.middle_at[at[here]].astype(np.int64) * blocks + spot[here] // BLOCK, value[here])
+            kept.append((spot[here], self.middle_at[at[here]], value[here]))
+            here = rare[at]
+            listed.append((at[here], spot[here], value[here]))
+        self.tops = tops.reshape(int(middle.sum()), blocks)
+        if listed:
+            at, self.rows, self.row_weights = (np.concatenate(x) for x in zip(*listed))
+            order = np.argsort(at, kind="stable")
+            self.rows, self.row_weights = self.rows[order], self.row_weights[order]
+        else:
+            self.rows, self.row_weights = np.array([], np.int32), np.array([], np.float32)
+        # Postings of the middle terms, and where those of a block begin.
+        spot, at, self.middle_weights = (np.concatenate(x) for x in zip(*kept))
+        order = np.lexsort((spot, at))
+        self.middle, self.middle_weights = spot[order], self.middle_weights[order]
+        each = np.bincount(at.astype(np.int64) * blocks + spot // BLOCK, minlength=len(tops))
+        self.middle_begins = np.concatenate([[0], np.cumsum(each)]).astype(np.int32)
+        self.sizes = np.where(rare, held, 0)
         self.begins = np.cumsum(self.sizes) - self.sizes
 
+    def _lay_out(self, held: np.ndarray) -> None:
+        """Lengths of the vectors, and a spot for each: those of like words and lengths side by side."""
+        bits = np.full(len(held), -1, np.int8)
+        top = np.argsort(-held, kind="stable")[:ORDERING]
+        bits[top] = np.arange(len(top))
+        self.lengths, signs = np.ones(self.n), np.zeros(self.n, np.int64)
+        for r in range(self.n):
+            part = slice(self.edges[r], self.edges[r + 1])
+            at = self.places[part]
+            raw = self.often[part] * self.scale[at]
+            self.lengths[r] = math.sqrt(float(raw @ raw)) or 1.0
+            has = bits[at]
+            signs[r] = sum(1 << (ORDERING - 1 - int(b)) for b in has[has >= 0])
+        self.order = np.lexsort((self.ranks, self.lengths, signs))
+        self.spots = np.empty(self.n, np.int32)
+        self.spots[self.order] = np.arange(self.n, dtype=np.int32)
+
     def nearest(self, vector: dict[int, float], k: int, leave: int | None = None) -> list[tuple[float, int]]:
-        """(cosine, row) of the k nearest examples with a cosine above 0, best first; ties by row.
+        """(cosine, row) of the k nearest examples with a cosine above 0, best first; ties by rank.
 
         ``leave`` is the key of an example that does not count.
         """
@@ -127,117 +214,137 @@ class Index:
             listed = np.repeat(self.begins[terms_] - (np.cumsum(sizes) - sizes), sizes) + np.arange(total)
             found = self.row_weights[listed] * np.repeat(weights, sizes)
             scores += np.bincount(self.rows[listed], found, self.width).astype(np.float32)
+        scores[self.n :] = -np.inf
         if leave is not None:
-            scores[leave] = 0
-        # The k-th best block maximum is at most the k-th best score.
-        tops = scores.reshape(-1, BLOCK).max(1)
-        if len(tops) >= k:
-            few = np.flatnonzero(scores >= np.partition(tops, -k)[-k])
-        else:
-            few = np.arange(self.n)
-        least = np.partition(scores[few], -k)[-k] if len(few) >= k else 0.0
-        few = np.flatnonzero((scores >= least - SLACK) & (scores > 0))
-        if not len(few):
-            return []
-        self.query[terms_] = weights
-        sizes = self.edges[few + 1] - self.edges[few]
-        begins = np.cumsum(sizes) - sizes
-        listed = np.repeat(self.edges[few] - begins, sizes) + np.arange(int(sizes.sum()))
-        exact = np.add.reduceat(self.query[self.places[listed]] * self.weights[listed], begins)
-        self.query[terms_] = 0
-        best = [(min(1.0, round(c, 12)), r) for c, r in zip(exact.tolist(), few.tolist())]
-        return sorted([x for x in best if x[0] > 0], key=lambda x: (-x[0], x[1]))[:k]
+            scores[self.spots[leave]] = -np.inf
+        where = self.middle_at[terms_]
+        ours, where = weights[where >= 0].astype(np.float32), where[where >= 0]
+        bounds = scores.reshape(-1, BLOCK).max(1) + ours @ self.tops[where]
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
+        opened = full = np.array([], np.int64)
+        least = 0.0
+        for at in range(0, len(order), OPENED):
+            blocks = order[at : at + OPENED]
+            blocks = blocks[bounds[blocks] >= least - SLACK]
+            if not len(blocks):
+                break
+            found = scores.reshape(-1, BLOCK)[blocks] + self._middle(blocks, where, ours)
+            opened = np.concatenate([opened, (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()])
+            full = np.concatenate([full, found.ravel()])
+            least = max(0.0, float(np.partition(full, -k)[-k])) if len(full) >= k else 0.0
+        self.blocks_met += len(bounds)
+        self.blocks_opened += len(opened) // BLOCK
+        best = self._exact(self.order[opened[(full >= least - SLACK) & (full > 0)]], terms_, weights * self.scale[terms_])
+        return [(-c, r) for c, _, r in sorted(best)[:k]]
+
+    def _middle(self, blocks: np.ndarray, where: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What the middle terms ``where`` add to the scores of these blocks, a row each."""
+        cell = (where[:, None].astype(np.int64) * self.tops.shape[1] + blocks).ravel()
+        begins = self.middle_begins[cell]
+        sizes = self.middle_begins[cell + 1] - begins
+        ends = np.cumsum(sizes)
+        listed = np.repeat(begins - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
+        found = self.middle_weights[listed] * np.repeat(np.repeat(weights, len(blocks)), sizes)
+        row = np.repeat(np.tile(np.arange(len(blocks)), len(where)), sizes)
+        return np.bincount(row * BLOCK + self.middle[listed] % BLOCK, found, len(blocks) * BLOCK).reshape(-1, BLOCK)
+
+    def _exact(self, rows: np.ndarray, terms_: np.ndarray, weights: np.ndarray) -> list[tuple[float, int, int]]:
+        """(-cosine, rank, row) of the rows with a cosine above 0, in double precision."""
+        made = []
+        for r in rows.tolist():
+            held = self.places[self.edges[r] : self.edges[r + 1]]
+            at = np.searchsorted(held, terms_)
+            at[at == len(held)] = 0
+            has = np.flatnonzero(held[at] == terms_)
+            cosine = float(weights[has] @ self.often[self.edges[r] + at[has]]) / float(self.lengths[r])
+            made.append((-min(1.0, round(cosine, 12)), int(self.ranks[r]), r))
+        return [x for x in made if x[0] < 0]
+
+
+def _read(folder: str, columns: list[str]):
+    """Record batches of a stored table, file after file; a few rows at a time."""
+    files, path = pafs.FileSystem.from_uri(folder) if ":" in folder else (pafs.LocalFileSystem(), folder)
+    found = pads.dataset(path, filesystem=files, format="parquet")
+    for part in sorted(found.get_fragments(), key=lambda f: f.path):
+        yield from part.to_batches(columns=columns, batch_size=READ_ROWS, use_threads=False, batch_readahead=0, fragment_readahead=0)
+
+
+class Examples:
+    """What a worker holds of a fitted model: the terms' hashes and weights, and the index."""
+
+    def __init__(self, model: Model):
+        found = [np.zeros((3, 0), np.int64)]
+        found += [np.stack([c.to_numpy() for c in b.columns]) for b in _read(f"{model.folder}/terms", ["term", "toxic", "clean"])]
+        term, toxic, clean = np.concatenate(found, axis=1)
+        order = np.argsort(term)
+        self.terms, held = term[order], (toxic + clean)[order]
+        lean = (toxic[order] + STEADY * model.prior) / (held + STEADY) - model.prior
+        lean = np.maximum(0.0, lean) / (1 - model.prior) if model.prior < 1 else np.zeros(len(held))
+        self.weights = (np.log((model.n + 1) / (held + 1)) + 1) * (1 + LEAN * lean)
+        self.new_weight = math.log(model.n + 1) + 1
+        del found, term, toxic, clean, order, held, lean
+        sizes, places, often, others = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.uint16)], []
+        for b in _read(f"{model.folder}/vectors", ["row", "label", "content", "terms", "often"]):
+            sizes.append(b.column("terms").value_lengths().to_numpy().astype(np.int64))
+            places.append(np.searchsorted(self.terms, b.column("terms").flatten().to_numpy()).astype(np.int32))
+            counts = b.column("often").flatten().to_numpy()
+            often.append(counts.astype(np.uint16 if counts.max(initial=0) < 1 << 16 else np.int32))
+            others.append(np.stack([b.column(c).to_numpy().astype(np.int64) for c in ("row", "label", "content")]))
+        row, label, digest = np.concatenate(others, axis=1) if others else np.zeros((3, 0), np.int64)
+        edges = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64)
+        ranks = np.empty(len(row), np.int64)
+        ranks[np.lexsort((row, label, digest))] = np.arange(len(row))
+        self.index = Index.of_arrays(
+            edges, np.concatenate(places), np.concatenate(often), self.weights, (label > 0).astype(int), row.tolist(), ranks
+        )
+        self.hashes, self.known = Hashes(), {}
+
+    def vector(self, text: str | None) -> Vector:
+        """Unit TF-IDF vector of the terms that the examples have; other terms add to its length."""
+        found, often = self.hashes.counts(text)
+        at = np.searchsorted(self.terms, found)
+        has = at < len(self.terms)
+        has[has] = self.terms[at[has]] == found[has]
+        raw = often[has] * self.weights[at[has]]
+        length = math.sqrt(float(raw @ raw) + float(often[~has] @ often[~has]) * self.new_weight**2)
+        return at[has], raw / length if len(raw) else raw
+
+
+#: The examples of the model that this process used last, by its folder.
+_LOADED: dict[str, Examples] = {}
 
 
 class Model:
-    """Terms with their weights, the examples, and the calibration of votes.
+    """A folder with the terms and the vectors of the examples, and the calibration of votes.
 
-    ``examples`` has, row after row: key, label, number of terms; and of all rows together
-    the places of the terms and how often they occur. ``new_idf`` weighs words no example has.
+    Only counts are in the object, so it goes along with tasks.
     """
 
-    def __init__(self, names: list[str], weights: np.ndarray, new_idf: float, examples: tuple, prior: float):
-        self.names, self.term_weights, self.new_idf, self.examples, self.prior = names, weights, new_idf, examples, prior
+    def __init__(self, folder: str, n: int, prior: float):
+        self.folder, self.n, self.prior = folder, n, prior
         # No neighbour, then the bins of the votes; set by `calibrate`.
         self.no_vote, self.steps = prior, np.linspace(0, 1, BINS + 1)
-        self._reset()
-
-    def _reset(self) -> None:
-        self._places: dict[str, int] = {}
-        self._index: Index | None = None
-        self._words: dict[str, tuple[list[int], list[str]]] = {}
-        self._known: dict = {}
-        self._shared = None
-
-    def __getstate__(self):
-        # Every executor gets a copy: steps between sorted places compress well.
-        state = {k: v for k, v in self.__dict__.items() if k not in ("_places", "_index", "_words", "_known", "_shared")}
-        if self.examples:
-            *others, at, often = self.examples
-            state["examples"] = (*others, np.diff(at, prepend=at.dtype.type(0)), often)
-        return zlib.compress(pickle.dumps(state), 1)
-
-    def __setstate__(self, state):
-        self.__dict__.update(pickle.loads(zlib.decompress(state)))
-        if self.examples:
-            *others, steps, often = self.examples
-            self.examples = (*others, np.cumsum(steps, dtype=steps.dtype), often)
-        self._reset()
-
-    def share(self, spark):
-        """The model sent to all executors, once; the calibration goes with the tasks."""
-        if self._shared is None:
-            self._shared = spark.sparkContext.broadcast(self)
-        return self._shared
-
-    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
-        """Places and occurrences of the text's known terms; sum of squares of the others' occurrences."""
-        if not self._places:
-            self._places = {t: i for i, t in enumerate(self.names)}
-        at, sizes, often, new = [], [], [], Counter()
-        for word, n in Counter(lower_words(text)).items():
-            places, others = self._words.get(word) or self._word(word)
-            at += places
-            sizes.append(len(places))
-            often.append(n)
-            for term in others:
-                new[term] += n
-        if not at:
-            return np.array([], np.int64), np.array([]), 0
-        # Words of one start meet in it.
-        found, where = np.unique(np.array(at, np.int64), return_inverse=True)
-        return found, np.bincount(where, np.repeat(np.array(often, float), sizes)), sum(n * n for n in new.values())
-
-    def _word(self, word: str) -> tuple[list[int], list[str]]:
-        """Places of the terms that a word stands for, and those that have none."""
-        if len(self._words) > 200_000:
-            self._words.clear()
-        mine = terms(word)
-        made = [self._places[t] for t in mine if t in self._places], [t for t in mine if t not in self._places]
-        self._words[word] = made
-        return made
 
-    def vector(self, at: np.ndarray, often: np.ndarray, rest: int) -> Vector:
-        """Unit TF-IDF vector of what ``counts`` found; unknown terms add to its length."""
-        raw = often * self.term_weights[at]
-        length = math.sqrt(float(raw @ raw) + rest * self.new_idf**2)
-        return at, raw / length if len(at) else raw
-
-    def index(self) -> Index:
-        if self._index is None:
-            keys, labels, sizes, at, often = self.examples
-            edges = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-            raw = often * self.term_weights[at]
-            rows = np.repeat(np.arange(len(keys)), sizes)
-            raw /= np.sqrt(np.bincount(rows, raw * raw, len(keys)))[rows]
-            self._index = Index.of_arrays(edges, at, raw, labels, keys, len(self.names))
-        return self._index
+    def loaded(self) -> Examples:
+        """The examples, read once in a process."""
+        if self.folder not in _LOADED:
+            _LOADED.clear()
+            _LOADED[self.folder] = Examples(self)
+        return _LOADED[self.folder]
+
+    @property
+    def examples(self) -> tuple:
+        """Keys and labels of the examples that have a word."""
+        index = self.loaded().index
+        return index.keys, index.labels
 
     def votes(self, texts: list[str | None], leaves: list[int | None]) -> list[tuple[float, list[tuple[float, int]]]]:
         """(vote, neighbours) of each text; the vote is -1 without a neighbour."""
-        index = self.index()
+        held = self.loaded()
+        index = held.index
         made = []
-        for near in index.nearest_each([self.vector(*self.counts(t)) for t in texts], NEIGHBOURS, leaves):
+        for near in index.nearest_each([held.vector(t) for t in texts], NEIGHBOURS, leaves):
             if not near:
                 made.append((-1.0, []))
                 continue
@@ -262,15 +369,15 @@ class Model:
         self.steps = np.concatenate([[y / n] * k for y, n, k in pools])
 
     def scores(self, texts: list[str | None]) -> list[tuple[float, list[tuple[float, int]]]]:
-        """(score, neighbours) of each text; texts of the same words are scored once."""
-        keys = [content(t) for t in texts]
-        if len(self._known) > 20_000:
-            self._known.clear()
-        new = {k: t for k, t in zip(keys, texts) if k not in self._known}
+        """(score, neighbours) of each text; texts of the same words are voted on once."""
+        keys, known = [content(t) for t in texts], self.loaded().known
+        if len(known) > 20_000:
+            known.clear()
+        new = {k: t for k, t in zip(keys, texts) if k not in known}
         for k, (vote, near) in zip(new, self.votes(list(new.values()), [None] * len(new))):
-            made = self.no_vote if vote < 0 else float(self.steps[round(vote * BINS)])
-            self._known[k] = min(1.0, max(0.0, made)), near[:3]
-        return [self._known[k] for k in keys]
+            known[k] = vote, near[:3]
+        made = ((self.no_vote if vote < 0 else float(self.steps[round(vote * BINS)]), near) for vote, near in map(known.get, keys))
+        return [(min(1.0, max(0.0, score)), near) for score, near in made]
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -305,75 +412,35 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         rows.select("_row", "_label", F.coalesce(F.col(text), F.lit(""))), "row long, label int, text string, content long", contents
     )
     sample = store(
-        sample.groupBy("content", "label").agg(F.min_by(F.struct("row", "text"), "row").alias("s")).select("s.*", "label"),
+        sample.groupBy("content", "label").agg(F.min_by(F.struct("row", "text"), "row").alias("s")).select("s.*", "label", "content"),
         "toxic-sample",
     )
 
-    schema = pa.schema([("term", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
-
-    def count(batches):
-        found: tuple[Counter, Counter] = (Counter(), Counter())
-
-        def flush():
-            names = sorted({*found[0], *found[1]})
-            columns = [names, [found[1][t] for t in names], [found[0][t] for t in names]]
-            made = pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, schema)], schema=schema)
-            for counter in found:
-                counter.clear()
-            return made
-
-        for batch in batches:
-            for body, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found[1 if toxic else 0].update(terms(body).keys())
-                if len(found[0]) + len(found[1]) > 200_000:
-                    yield flush()
-        yield flush()
-
     totals = sample.agg(F.count("*"), F.coalesce(F.sum((F.col("label") > 0).cast("int")), F.lit(0))).first()
-    n, n_toxic = totals[0], totals[1]
-    # The terms of at most MAX_LABELLED texts.
-    found = (
-        sample.select("text", "label").mapInArrow(count, "term string, toxic long, clean long")
-        .groupBy("term")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .toArrow()
-        .sort_by("term")
-    )
-    prior = n_toxic / n if n else 0.0
-    toxic, clean = (found.column(c).to_numpy().astype(float) for c in ("toxic", "clean"))
-    idf = np.log((n + 1) / (toxic + clean + 1)) + 1
-    lean = ((toxic + STEADY * prior) / (toxic + clean + STEADY) - prior) / (1 - prior) if prior < 1 else np.zeros(len(idf))
-    weights = idf * (1 + LEAN * np.maximum(0.0, lean))
-    names, new_idf = found.column("term").to_pylist(), math.log(n + 1) + 1
-    shared = spark.sparkContext.broadcast(Model(names, weights, new_idf, (), prior))
+    model = Model(new_folder(spark, "toxic-model"), totals[0], totals[1] / totals[0] if totals[0] else 0.0)
 
     def vectors():
-        found = shared.value.counts
+        counts = Hashes().counts
 
-        def step(rows, labels, texts):
-            made = [found(t)[:2] for t in texts]
-            return rows, labels, [at.tolist() for at, _ in made], [often.astype(int).tolist() for _, often in made]
+        def step(rows, labels, digests, texts):
+            made = [counts(t) for t in texts]
+            return rows, labels, digests, [at.tolist() for at, _ in made], [often.astype(int).tolist() for _, often in made]
 
         return step
 
-    # At most MAX_LABELLED rows; an example without a word is nobody's neighbour.
-    made = map_columns(sample.select("row", "label", "text"), "row long, label int, places array<int>, often array<int>", vectors)
-    made = made.filter("size(places) > 0").toArrow().sort_by([("row", "ascending"), ("label", "ascending")]).combine_chunks()
-    places, often = made.column("places").combine_chunks(), made.column("often").combine_chunks()
-    examples = (
-        made.column("row").to_pylist(), (made.column("label").to_numpy() > 0).astype(int).tolist(),
-        places.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64),
-        places.flatten().to_numpy(), often.flatten().to_numpy(),
+    # An example without a word is nobody's neighbour.
+    made = map_columns(
+        sample.select("row", "label", "content", "text"),
+        "row long, label int, content long, terms array<long>, often array<int>", vectors,
     )
-    shared.destroy()
-    model = Model(names, weights, new_idf, examples, prior)
-    learnt = model.share(spark)
+    made.filter("size(terms) > 0").write.parquet(f"{model.folder}/vectors")
+    toxic = (F.col("label") > 0).cast("long")
+    held = spark.read.schema(made.schema).parquet(f"{model.folder}/vectors").select(toxic.alias("toxic"), F.explode("terms").alias("term"))
+    held.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")).write.parquet(f"{model.folder}/terms")
 
     def left_out():
-        m = learnt.value
-
         def step(rows, texts):
-            votes = [vote for vote, _ in m.votes(texts, rows)]
+            votes = [vote for vote, _ in model.votes(texts, rows)]
             return [[-1 if v < 0 else round(v * BINS) for v in votes]]
 
         return step
@@ -388,20 +455,15 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All rows and columns, with _score (0 to 1) and _evidence (row key, cosine and label of
     the nearest examples). Texts without a word that an example has, null and empty ones
     among them, have no neighbour.
-    No shuffle: the model is bounded by ``MAX_LABELLED`` and broadcast.
+    No shuffle: workers read the model, bounded by ``MAX_LABELLED``, from the shared folder.
     """
-    shared, no_vote, steps = model.share(docs.sparkSession), model.no_vote, model.steps
 
     def start():
-        m = shared.value
-        if m.no_vote != no_vote or not np.array_equal(m.steps, steps):
-            m.no_vote, m.steps = no_vote, steps
-            m._known.clear()
-        index = m.index()
+        index = model.loaded().index
 
         def step(texts):
             scores, evidence = [], []
-            for made, near in m.scores(texts):
+            for made, near in model.scores(texts):
                 scores.append(made)
                 evidence.append(
                     [{"row": index.keys[r], "cosine": c, "label": int(index.labels[r])} for c, r in near]
