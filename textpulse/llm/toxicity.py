@@ -18,6 +18,7 @@ import hashlib
 import math
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.dataset as pads
 import pyarrow.fs as pafs
 import xxhash
@@ -50,10 +51,10 @@ STARTS = (4, 5, 6)
 
 #: Texts whose dense scores are worked out at a time, blocks opened at a time, and what
 #: rounding of single-precision scores and bounds can be at most.
-TEXTS, OPENED, SLACK = 64, 16, 1e-4
+TEXTS, OPENED, SLACK = 32, 16, 1e-4
 
 #: Commonest terms whose presence orders the examples, which parts languages; examples read at a time.
-ORDERING, READ_ROWS = 8, 1024
+ORDERING, READ_ROWS = 8, 256
 
 
 Vector = tuple[np.ndarray, np.ndarray]
@@ -67,7 +68,7 @@ def content(text: str | None) -> int:
 class Hashes:
     """64-bit hashes of the terms of texts; remembers words. Terms of equal hash are one term."""
 
-    def __init__(self, most: int = 200_000):
+    def __init__(self, most: int = 100_000):
         self._most, self._ids = most, {}
         # A row of hashes for every word met, and how many of the row's places are used.
         self._table, self._sizes = np.zeros((1024, 1 + len(STARTS)), np.uint64), np.zeros(1024, np.int64)
@@ -99,6 +100,16 @@ class Hashes:
         return at
 
 
+def _fill(ends: np.ndarray, lists: np.ndarray, *pairs: tuple[np.ndarray, np.ndarray]) -> None:
+    """Appends values to lists that lie one after the other; ``ends`` has where each goes on."""
+    order = np.argsort(lists, kind="stable")
+    found, first, counts = np.unique(lists[order], return_index=True, return_counts=True)
+    to = np.repeat(ends[found] - first, counts) + np.arange(len(order))
+    for target, values in pairs:
+        target[to] = values[order]
+    ends[found] += counts.astype(ends.dtype)
+
+
 class Index:
     """Unit vectors of examples: whole, and as postings, block maxima and a dense matrix.
 
@@ -136,36 +147,40 @@ class Index:
         blocks = self.width // BLOCK
         self.dense = np.zeros((int(common.sum()), self.width), np.float32)
         tops = np.zeros(int(middle.sum()) * blocks, np.float32)
-        listed: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        kept = [(np.array([], np.int32), np.array([], np.int32), np.array([], np.float32))]
-        for first in range(0, n, READ_ROWS):
-            last = min(n, first + READ_ROWS)
-            part = slice(edges[first], edges[last])
-            at = places[part]
-            value = (often[part] * scale[at] / np.repeat(self.lengths[first:last], np.diff(edges[first : last + 1]))).astype(np.float32)
-            spot = np.repeat(self.spots[first:last], np.diff(edges[first : last + 1]))
+        # A cell is a middle term in a block. Postings are filled in from few examples at a time,
+        # so that nothing is sorted whole.
+        each = np.zeros(len(tops), np.int32)
+        for at, spot, _ in self._parts():
+            here = middle[at]
+            cell = self.middle_at[at[here]].astype(np.int64) * blocks + spot[here] // BLOCK
+            np.add.at(each, cell, np.int32(1))
+        self.middle_begins = np.concatenate([[0], np.cumsum(each)]).astype(np.int32)
+        self.sizes = np.where(rare, held, 0)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        kind = np.min_scalar_type(self.width)
+        self.middle = np.zeros(int(self.middle_begins[-1]), kind)
+        self.middle_weights = np.zeros(len(self.middle), np.float32)
+        self.rows, self.row_weights = np.zeros(int(self.sizes.sum()), kind), np.zeros(int(self.sizes.sum()), np.float32)
+        ends, middle_ends = self.begins.copy(), self.middle_begins.copy()
+        for at, spot, value in self._parts():
             here = common[at]
             self.dense[self.dense_at[at[here]], spot[here]] = value[here]
             here = middle[at]
-            np.maximum.at(tops, self.middle_at[at[here]].astype(np.int64) * blocks + spot[here] // BLOCK, value[here])
-            kept.append((spot[here], self.middle_at[at[here]], value[here]))
+            cell = self.middle_at[at[here]].astype(np.int64) * blocks + spot[here] // BLOCK
+            np.maximum.at(tops, cell, value[here])
+            _fill(middle_ends, cell, (self.middle, spot[here]), (self.middle_weights, value[here]))
             here = rare[at]
-            listed.append((at[here], spot[here], value[here]))
+            _fill(ends, at[here], (self.rows, spot[here]), (self.row_weights, value[here]))
         self.tops = tops.reshape(int(middle.sum()), blocks)
-        if listed:
-            at, self.rows, self.row_weights = (np.concatenate(x) for x in zip(*listed))
-            order = np.argsort(at, kind="stable")
-            self.rows, self.row_weights = self.rows[order], self.row_weights[order]
-        else:
-            self.rows, self.row_weights = np.array([], np.int32), np.array([], np.float32)
-        # Postings of the middle terms, and where those of a block begin.
-        spot, at, self.middle_weights = (np.concatenate(x) for x in zip(*kept))
-        order = np.lexsort((spot, at))
-        self.middle, self.middle_weights = spot[order], self.middle_weights[order]
-        each = np.bincount(at.astype(np.int64) * blocks + spot // BLOCK, minlength=len(tops))
-        self.middle_begins = np.concatenate([[0], np.cumsum(each)]).astype(np.int32)
-        self.sizes = np.where(rare, held, 0)
-        self.begins = np.cumsum(self.sizes) - self.sizes
+
+    def _parts(self):
+        """Terms, spots and unit weights of the vectors, ``READ_ROWS`` examples at a time."""
+        for first in range(0, self.n, READ_ROWS):
+            edges = self.edges[first : first + READ_ROWS + 1]
+            at, sizes = self.places[edges[0] : edges[-1]], np.diff(edges)
+            lengths = np.repeat(self.lengths[first : first + READ_ROWS], sizes)
+            value = self.often[edges[0] : edges[-1]] * self.scale[at] / lengths
+            yield at, np.repeat(self.spots[first : first + READ_ROWS], sizes), value.astype(np.float32)
 
     def _lay_out(self, held: np.ndarray) -> None:
         """Lengths of the vectors, and a spot for each: those of like words and lengths side by side."""
@@ -293,10 +308,12 @@ class Examples:
             others.append(np.stack([b.column(c).to_numpy().astype(np.int64) for c in ("row", "label", "content")]))
         row, label, digest = np.concatenate(others, axis=1) if others else np.zeros((3, 0), np.int64)
         edges = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64)
+        places, often = np.concatenate(places), np.concatenate(often)
+        pa.default_memory_pool().release_unused()
         ranks = np.empty(len(row), np.int64)
         ranks[np.lexsort((row, label, digest))] = np.arange(len(row))
         self.index = Index.of_arrays(
-            edges, np.concatenate(places), np.concatenate(often), self.weights, (label > 0).astype(int), row.tolist(), ranks
+            edges, places, often, self.weights, (label > 0).astype(int), row.tolist(), ranks
         )
         self.hashes, self.known = Hashes(), {}
 
@@ -371,7 +388,7 @@ class Model:
     def scores(self, texts: list[str | None]) -> list[tuple[float, list[tuple[float, int]]]]:
         """(score, neighbours) of each text; texts of the same words are voted on once."""
         keys, known = [content(t) for t in texts], self.loaded().known
-        if len(known) > 20_000:
+        if len(known) > 10_000:
             known.clear()
         new = {k: t for k, t in zip(keys, texts) if k not in known}
         for k, (vote, near) in zip(new, self.votes(list(new.values()), [None] * len(new))):
