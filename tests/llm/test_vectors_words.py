@@ -48,6 +48,20 @@ def test_components_are_eigenvectors(kind, size):
     assert np.abs(a @ vectors - vectors * values).max() < 1e-13 * size * scale
 
 
+@pytest.mark.parametrize("size", [16, 64, 200])
+@pytest.mark.parametrize("gap", [1e-1, 1e-3, 1e-8])
+def test_components_beside_a_crowd(size, gap):
+    """Eigenvalues outside that nearly touch the wanted ones, far below the largest."""
+    vectors, _ = np.linalg.qr(np.random.default_rng(size).standard_normal((size, size)))
+    expected = np.concatenate([[6.5, 2.1], 1.1 - gap * np.arange(size - 2) / size])
+    a = (vectors * expected) @ vectors.T
+    a = (a + a.T) / 2
+    values, found = whitening.components(a, 4)
+    assert values == pytest.approx(expected[:4], abs=1e-12)
+    assert np.allclose(found.T @ found, np.eye(4), atol=1e-12)
+    assert np.abs(a @ found - found * values).max() < 1e-12
+
+
 def brute_whitened(vectors, wanted=4):
     x = np.array([[math.floor(256 * float(c)) for c in v] for v in vectors], dtype=object)
     fit = sorted({tuple(r) for r in x.tolist()})

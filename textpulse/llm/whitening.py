@@ -36,6 +36,7 @@ MAX_DIMENSIONS = 4096
 SCALE = 256
 POINTS = 8  # quadrature nodes on the upper half circle
 ROUNDS = 30
+GAIN, MOST_POINTS = 100, 64  # by what a round must lessen the residuals; nodes at most
 BLOCK_ROWS = 4096
 #: Eigenvalues below this share of the largest, times the dimensions, are numerically zero.
 ZERO = 4 * np.finfo(float).eps
@@ -260,17 +261,21 @@ def components(a: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
 
     Each round filters a block of vectors by the contour integral over the interval and replaces it
     by its Ritz vectors. It ends when the Ritz values inside are as many as the inertia counts say
-    and their residuals are at rounding level; otherwise it is an error.
+    and their residuals are at rounding level; otherwise it is an error. Where eigenvalues outside
+    stand close to the interval, a round that gains little doubles the nodes, which makes the filter
+    steeper, and the spare vectors of the block.
     """
     size = len(a)
     low, high, count = interval(a, min(wanted, size))
     centre, radius = (high + low) / 2, (high - low) / 2
-    nodes, weights = np.polynomial.legendre.leggauss(POINTS)
-    turns = np.exp(1j * np.pi * (nodes + 1) / 2)
+    points, before = POINTS, np.inf
     scale = max(abs(high), abs(low))
     enough = 16 * size * np.finfo(float).eps * scale
-    block = np.random.default_rng(1).standard_normal((size, min(size, count + max(4, count // 2))))
+    random = np.random.default_rng(1)
+    block = random.standard_normal((size, min(size, count + max(4, count // 2))))
     for _ in range(ROUNDS):
+        nodes, weights = np.polynomial.legendre.leggauss(points)
+        turns = np.exp(1j * np.pi * (nodes + 1) / 2)
         filtered = np.zeros_like(block)
         for turn, weight in zip(turns, weights):
             shifted = (centre + radius * turn) * np.eye(size) - a
@@ -283,6 +288,12 @@ def components(a: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
         good = (values > low) & (residual <= enough)
         if good.sum() == count == (values > low).sum():
             break
+        worst = np.sort(residual[values > low])[:count].max(initial=0) if (values > low).sum() >= count else np.inf
+        if not worst < before / GAIN:
+            points = min(2 * points, MOST_POINTS)
+            spare = min(size - block.shape[1], max(1, block.shape[1] - count))
+            block = np.hstack([block, random.standard_normal((size, spare))])
+        before = worst
     else:
         raise ArithmeticError(f"{int(good.sum())} of {count} components converged")
     best = np.flatnonzero(good)[::-1][:wanted]
