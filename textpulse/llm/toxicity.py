@@ -51,7 +51,7 @@ STARTS = (4, 5, 6)
 
 #: Texts whose dense scores are worked out at a time, blocks opened at a time, and what
 #: rounding of single-precision scores and bounds can be at most.
-TEXTS, OPENED, SLACK = 32, 16, 1e-4
+TEXTS, OPENED, SLACK = 128, 16, 1e-4
 
 #: Commonest terms whose presence orders the examples, which parts languages; examples read at a time.
 ORDERING, READ_ROWS = 8, 256
@@ -224,11 +224,13 @@ class Index:
         if not len(terms_) or not self.n:
             return []
         sizes = self.sizes[terms_]
-        total = int(sizes.sum())
-        if total:
-            listed = np.repeat(self.begins[terms_] - (np.cumsum(sizes) - sizes), sizes) + np.arange(total)
-            found = self.row_weights[listed] * np.repeat(weights, sizes)
-            scores += np.bincount(self.rows[listed], found, self.width).astype(np.float32)
+        rare = sizes > 0
+        if rare.any():
+            sizes, begins = sizes[rare], self.begins[terms_[rare]]
+            lists = list(map(slice, begins.tolist(), (begins + sizes).tolist()))
+            found = np.concatenate([self.row_weights[x] for x in lists])
+            found *= np.repeat(weights[rare].astype(np.float32), sizes)
+            scores += np.bincount(np.concatenate([self.rows[x] for x in lists]), found, self.width).astype(np.float32)
         scores[self.n :] = -np.inf
         if leave is not None:
             scores[self.spots[leave]] = -np.inf
@@ -267,12 +269,13 @@ class Index:
     def _exact(self, rows: np.ndarray, terms_: np.ndarray, weights: np.ndarray) -> list[tuple[float, int, int]]:
         """(-cosine, rank, row) of the rows with a cosine above 0, in double precision."""
         made = []
+        sought = terms_.astype(self.places.dtype)  # of one type, so that no list is copied to be searched
         for r in rows.tolist():
-            held = self.places[self.edges[r] : self.edges[r + 1]]
-            at = np.searchsorted(held, terms_)
-            at[at == len(held)] = 0
-            has = np.flatnonzero(held[at] == terms_)
-            cosine = float(weights[has] @ self.often[self.edges[r] + at[has]]) / float(self.lengths[r])
+            first, end = self.edges[r], self.edges[r + 1]
+            held = self.places[first:end]
+            at = held.searchsorted(sought)
+            has = held.take(at, mode="clip") == sought
+            cosine = float(weights[has] @ self.often[first:end][at[has]]) / float(self.lengths[r])
             made.append((-min(1.0, round(cosine, 12)), int(self.ranks[r]), r))
         return [x for x in made if x[0] < 0]
 
