@@ -59,13 +59,27 @@ def _rules() -> list[tuple[str, str]]:
 RULES = _rules()
 
 
-def contraction_tokens(text: Column) -> Column:
-    """Tokens of a text: ``don't`` is ``do n't``, ``it's`` is ``it 's``, ``cannot`` is ``can not``."""
-    for pattern, replacement in RULES:
+def _rewritten(text: Column, rules: list[tuple[str, str]]) -> Column:
+    for pattern, replacement in rules:
         marked = replacement
         for group in range(1, 5):
             marked = marked.replace(f"{{{group}}}", f"${group}")
         text = F.regexp_replace(text, pattern, marked)
+    return text
+
+
+def contraction_tokens(text: Column) -> Column:
+    """Tokens of a text: ``don't`` is ``do n't``, ``it's`` is ``it 's``, ``cannot`` is ``can not``.
+
+    The rules for words that are two tokens come last but one, and add spaces only, so a text that
+    holds none of the words by then is looked through once for all of them.
+    """
+    first = len(RULES) - 1 - len(CONTRACTED)
+    words, closing = RULES[first:-1], RULES[-1:]
+    held = "|".join(_any_case(a + b) for a, b in CONTRACTED)
+    # An array of one, so that the text so far is worked out once.
+    parted = F.transform(F.array(_rewritten(text, RULES[:first])), lambda t: F.when(t.rlike(held), _rewritten(t, words)).otherwise(t))
+    text = _rewritten(F.element_at(parted, 1), closing)
     return F.filter(F.split(text, f"[{_SPACE}]+"), lambda token: token != "")
 
 
