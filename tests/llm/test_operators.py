@@ -642,6 +642,16 @@ def test_links_and_removals_against_all_pairs(spark):
     assert got == expected
 
 
+def test_a_group_of_near_lines_is_counted_without_its_pairs(spark):
+    made = [f"one line of a large group of near copies, with {chr(97 + k // 26)}{chr(97 + k % 26)} in it" for k in range(100)]
+    docs = spark.createDataFrame([(k, f"{line}\nalone {k * 7919:b}") for k, line in enumerate(made)], "doc_id long, text string")
+    _, linked = lines.line_links(docs)
+    near = [r for r in linked.collect() if r["others"] >= 99]
+    # One row for each line, in a group of more than one block, and not one for each pair.
+    assert len(near) == 100 > 3 * lines.BLOCK and linked.count() <= 200
+    assert sum(not r["late"] for r in near) == 1
+
+
 def test_lines_odd_rows(spark, odd_docs):
     made = lines.dedup_lines(odd_docs)
     assert made.columns[: len(odd_docs.columns)] == odd_docs.columns and made.count() == 8
