@@ -89,6 +89,20 @@ def analyses(spark, texts):
     return {r["id"]: r for r in found.collect()}
 
 
+def test_analysis_takes_parts_by_the_bytes_of_text(spark, monkeypatch):
+    rows = [(i, "The dog Run, run dog!", "positive") for i in range(50)]
+    df = spark.createDataFrame(rows, "id long, tweet string, label string")
+
+    def found():
+        return semantics.analyze_texts(df, tags(spark), senses(spark), frames(spark), ["id"], carry=["label"])
+
+    whole = sorted(map(repr, found().collect()))
+    monkeypatch.setattr(semantics, "PART_BYTES", 50)
+    parts = found()
+    assert parts.rdd.getNumPartitions() == 21  # 50 texts of 21 bytes
+    assert sorted(map(repr, parts.collect())) == whole
+
+
 @pytest.mark.parametrize("limit", [None, "-1"])
 def test_analysis_of_a_text(spark, limit):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,9 @@ from textpulse.schemas import DEFAULT_TAG, SUMMARY_COLUMNS
 TOP_FRAMES = 5
 PLACES = 2**31
 
+#: Bytes of text whose tokens a task groups with their entries.
+PART_BYTES = 1 << 20
+
 
 def word_tokens(texts: DataFrame, key: Sequence[str], text: str, contractions: bool = False) -> DataFrame:
     """(key, position, word): one row per token, whole texts, case kept.
@@ -56,11 +60,12 @@ def analyze_texts(
     The texts are partitioned by key first, so only raw text crosses the network (for
     the tokens, and again for the row itself): tokens, lookups, both groupings and the
     join back to the text all stay within that partitioning. A text's own tokens are
-    the largest group.
+    the largest group. Every token takes its entries along, many times its own length, so a
+    partition holds ``PART_BYTES`` of text, whatever the input: more would spill.
     """
     key = list(key)
     spread = texts.filter(F.col(text).isNotNull()).select(*key, text, *carry)
-    spread = spread.repartition(*[F.col(c) for c in key])
+    spread = spread.repartition(_parts(spread, text), *[F.col(c) for c in key])
     table = word_table(tags, senses, frames, exact).withColumnRenamed("word", "_w")
     tokens = word_tokens(spread, key, text).withColumn("_w", F.lower("word"))
     found = lookup_join(tokens, table, on=["_w"], spread_by=[*key, "position"])
@@ -95,6 +100,12 @@ def analyze_texts(
     )
 
 
+def _parts(texts: DataFrame, text: str) -> int:
+    """Partitions of ``PART_BYTES`` of text, but one for each task slot at least."""
+    size = texts.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(texts.sparkSession.sparkContext.defaultParallelism, ceil(size / PART_BYTES))
+
+
 def _ordered_entries(column: str, field: str):
     """(first position, word, entry) of the words that have an entry, in text order."""
     entry = F.struct(
