@@ -4,10 +4,11 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
-from textpulse.plans import models, scoring, tuning
+from textpulse.plans import models, scoring, training, tuning
 from textpulse.plans.training import bounded_share, evaluate, fit_classifier
 from textpulse.session import new_folder
 from textpulse.sources.writers import load_model, save_model
@@ -171,3 +172,11 @@ def test_reports_are_those_of_the_evaluator(rows, name):
         ("accuracy", "accuracy"), ("f1", "f1"), ("weightedPrecision", "weighted_precision"), ("weightedRecall", "weighted_recall"),
     ):
         assert math.isclose(report[column], MulticlassClassificationEvaluator(metricName=metric).evaluate(scored), abs_tol=1e-9)
+
+
+def test_regression_parts_grow_with_the_root_of_the_data(spark):
+    rows = [(Vectors.dense([1.0, 2.0, 3.0, 4.0]), float(i % 2)) for i in range(64)]
+    stored = spark.createDataFrame(rows, ["features", "label"]).repartition(20)
+    # 256 entries of 12 bytes against a gradient of 4 features, 2 classes and 8 bytes: 48 times.
+    assert training._pack(stored).rdd.getNumPartitions() == 7
+    assert training._pack(stored.filter("false")).rdd.getNumPartitions() >= 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
-from math import ceil
+from math import ceil, sqrt
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
@@ -111,10 +111,12 @@ def fitted(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
 
 
 def _pack(stored: DataFrame) -> DataFrame:
-    """Partitions that hold ``GRADIENTS_PER_PARTITION`` times the bytes of a gradient.
+    """As many partitions as the root of the data's bytes in gradients, or more.
 
-    Every partition sends a gradient of classes x features in every iteration, so it
-    should hold much more data than that. The number follows from the features alone, not
+    Every partition sends a gradient of classes x features in every iteration, so it should
+    hold more data than that, the more the more of them there are: with the root, reading a
+    partition and adding up the gradients of all grow alike. None holds more than
+    ``GRADIENTS_PER_PARTITION`` times a gradient. The number follows from the features alone, not
     from the cluster; it decides the order of sums, so the last digits of the weights.
     """
     first = stored.select(F.size(vector_to_array("features")).alias("width")).first()
@@ -123,5 +125,5 @@ def _pack(stored: DataFrame) -> DataFrame:
     sizes = stored.select(F.size(F.unwrap_udt("features")["values"]).alias("entries"), "label")
     entries, top = sizes.agg(F.sum(F.greatest("entries", F.lit(0))), F.max("label")).first()
     gradient = first["width"] * (int(top) + 1) * BYTES_PER_GRADIENT
-    wanted = max(1, ceil((entries or 0) * BYTES_PER_ENTRY / (GRADIENTS_PER_PARTITION * gradient)))
-    return stored.coalesce(wanted)
+    held = (entries or 0) * BYTES_PER_ENTRY / gradient
+    return stored.coalesce(max(1, ceil(sqrt(held)), ceil(held / GRADIENTS_PER_PARTITION)))
