@@ -233,6 +233,33 @@ def test_toxicity_merges_equal_examples_only(spark):
     assert len(model.examples[0]) == len({t for _, t, _ in rows})
 
 
+def test_toxicity_places_are_those_of_the_hashes():
+    texts = ["abcdefgh abcdefgh abcde xyz", "one two three four five six seven eight", "", "abcdefgh unheard xyz"]
+    terms = np.unique(np.concatenate([toxicity.Hashes().counts(t)[0] for t in texts[:2]]))
+    held = toxicity.Hashes(most=3, terms=terms)
+    for text in texts * 2:
+        hashes, often = toxicity.Hashes().counts(text)
+        at, times = held.counts(text)
+        known = np.isin(hashes, terms)
+        assert terms[at[at < len(terms)]].tolist() == hashes[known].tolist()
+        assert times[at < len(terms)].tolist() == often[known].tolist()
+        assert sorted(times[at >= len(terms)]) == sorted(often[~known])
+
+
+def test_toxicity_index_packs_postings():
+    # One number for a place and its weight: rounded up, by less than a step.
+    pick = np.random.default_rng(3)
+    vectors = [{int(t): float(w) for t, w in zip(pick.choice(400, 9, False), pick.random(9))} for _ in range(500)]
+    index = toxicity.Index(vectors, [0] * 500, list(range(500)), 400)
+    assert index.rare.dtype == np.int32 and len(index.rare) + len(index.middle) == 4500
+    for t in range(0, 400, 7):
+        found = index.rare[index.begins[t] : index.begins[t] + index.sizes[t]]
+        for spot, weight in zip((found >> 16).tolist(), (found & toxicity.FINE).tolist()):
+            v = vectors[index.row_at[spot]]
+            exact = v[t] / np.linalg.norm(list(v.values()))
+            assert -1e-6 <= weight / toxicity.FINE - exact < 1.01 / toxicity.FINE + 1e-6
+
+
 # 4. Quality
 
 def test_quality_base_counts(spark, small):

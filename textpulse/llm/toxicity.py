@@ -7,8 +7,8 @@ folder; workers read them there, and the driver sees counts alone. The index is
 examples of like words stand in blocks, and every term of middling frequency keeps the
 largest weight that it has in each block. A text adds up its rare terms by postings and its
 commonest ones by a dense matrix; with the block maxima that bounds every example, and only
-blocks whose bound reaches the k-th score found so far are opened. The best are worked out
-again in double precision. Votes weighted by cosine, calibrated on the examples themselves with each one left out, give a score and its
+for examples whose bound reaches the k-th score found so far the middling terms are added.
+The best are worked out again in double precision. Votes weighted by cosine, calibrated on the examples themselves with each one left out, give a score and its
 evidence.
 """
 
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +45,17 @@ RARE_SHARE = 0.04
 NEIGHBOURS = 15
 
 #: Examples in a block.
-BLOCK = 16
+BLOCK = 8
 SMOOTHING = 0.5
 BINS = 50
 STARTS = (4, 5, 6)
 
-#: Texts whose dense scores are worked out at a time, blocks opened at a time, and what
+#: Texts whose dense scores are worked out at a time, examples opened at a time, and what
 #: rounding of single-precision scores and bounds can be at most.
-TEXTS, OPENED, SLACK = 128, 16, 1e-4
+TEXTS, OPENED, SLACK = 128, 64, 1e-4
+
+#: Steps of a packed weight.
+FINE = (1 << 16) - 1
 
 #: Commonest terms whose presence orders the examples, which parts languages; examples read at a time.
 ORDERING, READ_ROWS = 8, 256
@@ -62,51 +66,81 @@ Vector = tuple[np.ndarray, np.ndarray]
 
 def content(text: str | None) -> int:
     """A digest of the words and their order: texts equal in it are equal to the operator."""
-    return int.from_bytes(hashlib.blake2b(" ".join(lower_words(text)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), signed=True)
+    return digest(lower_words(text))
+
+
+def digest(words: list[str]) -> int:
+    return int.from_bytes(hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=8).digest(), signed=True)
 
 
 class Hashes:
-    """64-bit hashes of the terms of texts; remembers words. Terms of equal hash are one term."""
+    """64-bit hashes of the terms of texts; remembers words. Terms of equal hash are one term.
+
+    With ``terms``, hashes in order, a term goes by its place there, and others by numbers from
+    ``len(terms)`` on, made from their hashes.
+    """
 
-    def __init__(self, most: int = 100_000):
-        self._most, self._ids = most, {}
+    def __init__(self, most: int = 100_000, terms: np.ndarray | None = None):
+        self._most, self._ids, self._starts, self._terms = most, {}, {}, terms
         # A row of hashes for every word met, and how many of the row's places are used.
-        self._table, self._sizes = np.zeros((1024, 1 + len(STARTS)), np.uint64), np.zeros(1024, np.int64)
+        self._table, self._sizes = np.zeros((1024, 1 + len(STARTS)), np.int64), np.zeros(1024, np.int64)
 
     def counts(self, text: str | None) -> Vector:
         """Hashes in order, and how often their terms occur."""
+        return self.of_words(lower_words(text))
+
+    def of_words(self, words: list[str]) -> Vector:
         if len(self._ids) > self._most:
             self._ids.clear()
-        words = lower_words(text)
-        ids = list(map(self._ids.get, words))
+        often = Counter(words)
+        ids = list(map(self._ids.get, often))
         if None in ids:
-            ids = [self._word(w) if i is None else i for i, w in zip(ids, words)]
-        ids, often = np.unique(np.array(ids, np.int64), return_counts=True)
+            self._learn([w for i, w in zip(ids, often) if i is None])
+            ids = list(map(self._ids.get, often))
+        ids, often = np.array(ids, np.int64), np.fromiter(often.values(), float, len(often))
         sizes = self._sizes[ids]
-        each = self._table[ids][np.arange(1 + len(STARTS)) < sizes[:, None]].view(np.int64)
+        each = self._table[ids][np.arange(1 + len(STARTS)) < sizes[:, None]]
         # Words of one start meet in it.
-        found, where = np.unique(each, return_inverse=True)
-        return found, np.bincount(where, np.repeat(often.astype(float), sizes), len(found))
-
-    def _word(self, word: str) -> int:
-        if word in self._ids:
-            return self._ids[word]
-        at = self._ids[word] = len(self._ids)
-        if at == len(self._sizes):
+        order = np.argsort(each)
+        each = each[order]
+        first = np.flatnonzero(np.concatenate([[True], each[1:] != each[:-1]])[: len(each)])
+        often = np.repeat(often, sizes)[order]
+        return each[first], np.add.reduceat(often, first) if len(first) else often
+
+    def _learn(self, words: list[str]) -> None:
+        """Starts are remembered too: new words mostly have known ones."""
+        if len(self._starts) > self._most:
+            self._starts.clear()
+        wanted = [word[:k] for word in words for k in STARTS if len(word) > k]
+        fresh = [start for start in dict.fromkeys(wanted) if start not in self._starts]
+        places = self._places([*words, *(start + "-" for start in fresh)])
+        self._starts.update(zip(fresh, places[len(words) :].tolist()))
+        at = len(self._ids)
+        self._ids.update(zip(words, range(at, at + len(words))))
+        while len(self._sizes) < len(self._ids):
             self._table, self._sizes = np.concatenate([self._table] * 2), np.concatenate([self._sizes] * 2)
-        mine = [word, *(word[:k] + "-" for k in STARTS if len(word) > k)]
-        self._sizes[at] = len(mine)
-        self._table[at, : len(mine)] = [xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in mine]
-        return at
-
-
-def _fill(ends: np.ndarray, lists: np.ndarray, *pairs: tuple[np.ndarray, np.ndarray]) -> None:
+        table, sizes = self._table[at : len(self._ids)], self._sizes[at : len(self._ids)]
+        sizes[:] = (np.fromiter(map(len, words), np.int64, len(words))[:, None] > np.array(STARTS)).sum(1) + 1
+        table[:, 0] = places[: len(words)]
+        table[:, 1:][np.arange(len(STARTS)) < sizes[:, None] - 1] = list(map(self._starts.get, wanted))
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        made = [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words]
+        made = np.array(made, np.uint64)
+        if self._terms is None:
+            return made.view(np.int64)
+        places = np.searchsorted(self._terms, made.view(np.int64))
+        other = np.ones(len(made), bool)
+        if len(self._terms):
+            other = self._terms.take(places, mode="clip") != made.view(np.int64)
+        return np.where(other, len(self._terms) + (made >> np.uint64(2)).astype(np.int64), places)
+
+
+def _fill(ends: np.ndarray, lists: np.ndarray, target: np.ndarray, values: np.ndarray) -> None:
     """Appends values to lists that lie one after the other; ``ends`` has where each goes on."""
     order = np.argsort(lists, kind="stable")
     found, first, counts = np.unique(lists[order], return_index=True, return_counts=True)
-    to = np.repeat(ends[found] - first, counts) + np.arange(len(order))
-    for target, values in pairs:
-        target[to] = values[order]
+    target[np.repeat(ends[found] - first, counts) + np.arange(len(order))] = values[order]
     ends[found] += counts.astype(ends.dtype)
 
 
@@ -135,43 +169,44 @@ class Index:
         self.at = {k: r for r, k in enumerate(keys)}
         self.blocks_met = self.blocks_opened = 0
         n, n_terms = len(keys), len(scale)
-        self.n = n
+        self.n, self.blocks = n, -(-n // BLOCK)
         held = np.bincount(places, minlength=n_terms)
         common = held >= max(1, COMMON_SHARE * n)
         middle = ~common & (held > RARE_SHARE * n)
         rare = ~common & ~middle
-        self.dense_at = np.where(common, np.cumsum(common) - 1, -1).astype(np.int32)
-        self.middle_at = np.where(middle, np.cumsum(middle) - 1, -1).astype(np.int32)
+        # The rows of common terms, then those of middle ones.
+        self.dense_at = np.full(n_terms, -1, np.int32)
+        self.n_common = int(common.sum())
+        self.dense_at[common] = np.arange(self.n_common)
+        self.dense_at[middle] = np.arange(self.n_common, self.n_common + int(middle.sum()))
         self._lay_out(held)
-        self.width = -(-n // BLOCK) * BLOCK
-        blocks = self.width // BLOCK
-        self.dense = np.zeros((int(common.sum()), self.width), np.float32)
-        tops = np.zeros(int(middle.sum()) * blocks, np.float32)
-        # A cell is a middle term in a block. Postings are filled in from few examples at a time,
-        # so that nothing is sorted whole.
-        each = np.zeros(len(tops), np.int32)
-        for at, spot, _ in self._parts():
-            here = middle[at]
-            cell = self.middle_at[at[here]].astype(np.int64) * blocks + spot[here] // BLOCK
-            np.add.at(each, cell, np.int32(1))
-        self.middle_begins = np.concatenate([[0], np.cumsum(each)]).astype(np.int32)
-        self.sizes = np.where(rare, held, 0)
-        self.begins = np.cumsum(self.sizes) - self.sizes
-        kind = np.min_scalar_type(self.width)
-        self.middle = np.zeros(int(self.middle_begins[-1]), kind)
-        self.middle_weights = np.zeros(len(self.middle), np.float32)
-        self.rows, self.row_weights = np.zeros(int(self.sizes.sum()), kind), np.zeros(int(self.sizes.sum()), np.float32)
-        ends, middle_ends = self.begins.copy(), self.middle_begins.copy()
+        self.dense = np.zeros((self.n_common, self.blocks * BLOCK), np.float32)
+        self.tops = np.zeros((int(middle.sum()), self.blocks), np.float32)
+        self.sizes = np.where(rare, held, 0).astype(np.int32)
+        self.begins = (np.cumsum(self.sizes) - self.sizes).astype(np.int32)
+        self.rare = np.zeros(int(self.sizes.sum()), np.int64 if max(self.blocks * BLOCK, len(self.tops)) >> 15 else np.int32)
+        # Middle terms of every spot, one after the other.
+        each = np.zeros(self.blocks * BLOCK + 1, np.int64)
+        each[self.spots + 1] = np.add.reduceat(np.append(middle[places], False), edges[:-1], dtype=np.int64) * (np.diff(edges) > 0) if n else 0
+        self.middle_edges = np.cumsum(each)
+        self.middle = np.zeros(int(self.middle_edges[-1]), self.rare.dtype)
+        # Filled in from few examples at a time, so that nothing is sorted whole.
+        ends, middle_ends = self.begins.copy(), self.middle_edges[:-1].copy()
         for at, spot, value in self._parts():
             here = common[at]
             self.dense[self.dense_at[at[here]], spot[here]] = value[here]
             here = middle[at]
-            cell = self.middle_at[at[here]].astype(np.int64) * blocks + spot[here] // BLOCK
-            np.maximum.at(tops, cell, value[here])
-            _fill(middle_ends, cell, (self.middle, spot[here]), (self.middle_weights, value[here]))
+            row = self.dense_at[at[here]] - self.n_common
+            np.maximum.at(self.tops, (row, spot[here] % self.blocks), value[here])
+            _fill(middle_ends, spot[here], self.middle, self._packed(row, value[here]))
             here = rare[at]
-            _fill(ends, at[here], (self.rows, spot[here]), (self.row_weights, value[here]))
-        self.tops = tops.reshape(int(middle.sum()), blocks)
+            _fill(ends, at[here], self.rare, self._packed(spot[here], value[here]))
+        # Weights of the terms of the text that is looked up, and which those are; zeros between texts.
+        self._sought, self._is_sought = np.zeros(n_terms), np.zeros(n_terms, bool)
+
+    def _packed(self, places: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """A place and its weight in 16 bits, rounded up, in one number."""
+        return (places.astype(self.rare.dtype) << 16) | np.minimum(np.ceil(weights * FINE), FINE).astype(self.rare.dtype)
 
     def _parts(self):
         """Terms, spots and unit weights of the vectors, ``READ_ROWS`` examples at a time."""
@@ -183,7 +218,10 @@ class Index:
             yield at, np.repeat(self.spots[first : first + READ_ROWS], sizes), value.astype(np.float32)
 
     def _lay_out(self, held: np.ndarray) -> None:
-        """Lengths of the vectors, and a spot for each: those of like words and lengths side by side."""
+        """Lengths of the vectors, and a spot for each: those of like words and lengths in one block.
+
+        Spot s is in block s % blocks, so that what is known of blocks is added to rows of spots.
+        """
         bits = np.full(len(held), -1, np.int8)
         top = np.argsort(-held, kind="stable")[:ORDERING]
         bits[top] = np.arange(len(top))
@@ -195,9 +233,12 @@ class Index:
             self.lengths[r] = math.sqrt(float(raw @ raw)) or 1.0
             has = bits[at]
             signs[r] = sum(1 << (ORDERING - 1 - int(b)) for b in has[has >= 0])
-        self.order = np.lexsort((self.ranks, self.lengths, signs))
+        order, turn = np.lexsort((self.ranks, self.lengths, signs)), np.arange(self.n)
         self.spots = np.empty(self.n, np.int32)
-        self.spots[self.order] = np.arange(self.n, dtype=np.int32)
+        self.spots[order] = turn % BLOCK * self.blocks + turn // BLOCK
+        self.row_at = np.full(self.blocks * BLOCK, -1, np.int32)
+        self.row_at[self.spots] = np.arange(self.n)
+        self.vacant = np.flatnonzero(self.row_at < 0)
 
     def nearest(self, vector: dict[int, float], k: int, leave: int | None = None) -> list[tuple[float, int]]:
         """(cosine, row) of the k nearest examples with a cosine above 0, best first; ties by rank.
@@ -212,72 +253,91 @@ class Index:
         made = []
         for at in range(0, len(queries), TEXTS):
             part = queries[at : at + TEXTS]
-            common = np.zeros((len(part), len(self.dense)), np.float32)
+            ours = np.zeros((len(part), self.n_common + len(self.tops)), np.float32)
             for q, (terms_, weights) in enumerate(part):
                 where = self.dense_at[terms_]
-                common[q, where[where >= 0]] = weights[where >= 0]
-            for scores, query, leave in zip(common @ self.dense, part, leaves[at : at + TEXTS]):
-                made.append(self._best(scores, *query, k, self.at.get(leave)))
+                ours[q, where[where >= 0]] = weights[where >= 0]
+            middle = ours[:, self.n_common :]
+            each = zip(ours[:, : self.n_common] @ self.dense, middle @ self.tops, middle, part, leaves[at : at + TEXTS])
+            for scores, bounds, mine, query, leave in each:
+                made.append(self._best(scores, bounds, mine, *query, k, self.at.get(leave)))
         return made
 
-    def _best(self, scores: np.ndarray, terms_: np.ndarray, weights: np.ndarray, k: int, leave: int | None):
+    def _best(self, scores: np.ndarray, bounds: np.ndarray, ours: np.ndarray, terms_: np.ndarray, weights: np.ndarray, k: int, leave: int | None):
+        """``scores`` by spot, of common terms; ``bounds`` by block, of the most that middle ones can add.
+
+        ``ours`` has the weights of the middle terms.
+        """
         if not len(terms_) or not self.n:
             return []
         sizes = self.sizes[terms_]
         rare = sizes > 0
+        # Packed weights are too high by a step at most.
+        over = SLACK + float(weights.sum()) / FINE
         if rare.any():
             sizes, begins = sizes[rare], self.begins[terms_[rare]]
-            lists = list(map(slice, begins.tolist(), (begins + sizes).tolist()))
-            found = np.concatenate([self.row_weights[x] for x in lists])
-            found *= np.repeat(weights[rare].astype(np.float32), sizes)
-            scores += np.bincount(np.concatenate([self.rows[x] for x in lists]), found, self.width).astype(np.float32)
-        scores[self.n :] = -np.inf
+            ends = np.cumsum(sizes, dtype=np.int64)
+            spots = np.repeat(begins - (ends - sizes), sizes)
+            spots += np.arange(len(spots))
+            found = self.rare.take(spots)
+            added = np.repeat((weights[rare] / FINE).astype(np.float32), sizes)
+            added *= found & FINE
+            np.add.at(scores, np.right_shift(found, 16, out=spots), added)
+        scores[self.vacant] = -np.inf
         if leave is not None:
             scores[self.spots[leave]] = -np.inf
-        where = self.middle_at[terms_]
-        ours, where = weights[where >= 0].astype(np.float32), where[where >= 0]
-        bounds = scores.reshape(-1, BLOCK).max(1) + ours @ self.tops[where]
-        order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > 0]
-        opened = full = np.array([], np.int64)
-        least = 0.0
-        for at in range(0, len(order), OPENED):
-            blocks = order[at : at + OPENED]
-            blocks = blocks[bounds[blocks] >= least - SLACK]
-            if not len(blocks):
-                break
-            found = scores.reshape(-1, BLOCK)[blocks] + self._middle(blocks, where, ours)
-            opened = np.concatenate([opened, (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()])
-            full = np.concatenate([full, found.ravel()])
-            least = max(0.0, float(np.partition(full, -k)[-k])) if len(full) >= k else 0.0
-        self.blocks_met += len(bounds)
-        self.blocks_opened += len(opened) // BLOCK
-        best = self._exact(self.order[opened[(full >= least - SLACK) & (full > 0)]], terms_, weights * self.scale[terms_])
-        return [(-c, r) for c, _, r in sorted(best)[:k]]
-
-    def _middle(self, blocks: np.ndarray, where: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """What the middle terms ``where`` add to the scores of these blocks, a row each."""
-        cell = (where[:, None].astype(np.int64) * self.tops.shape[1] + blocks).ravel()
-        begins = self.middle_begins[cell]
-        sizes = self.middle_begins[cell + 1] - begins
-        ends = np.cumsum(sizes)
-        listed = np.repeat(begins - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
-        found = self.middle_weights[listed] * np.repeat(np.repeat(weights, len(blocks)), sizes)
-        row = np.repeat(np.tile(np.arange(len(blocks)), len(where)), sizes)
-        return np.bincount(row * BLOCK + self.middle[listed] % BLOCK, found, len(blocks) * BLOCK).reshape(-1, BLOCK)
-
-    def _exact(self, rows: np.ndarray, terms_: np.ndarray, weights: np.ndarray) -> list[tuple[float, int, int]]:
-        """(-cosine, rank, row) of the rows with a cosine above 0, in double precision."""
-        made = []
-        sought = terms_.astype(self.places.dtype)  # of one type, so that no list is copied to be searched
-        for r in rows.tolist():
-            first, end = self.edges[r], self.edges[r + 1]
-            held = self.places[first:end]
-            at = held.searchsorted(sought)
-            has = held.take(at, mode="clip") == sought
-            cosine = float(weights[has] @ self.often[first:end][at[has]]) / float(self.lengths[r])
-            made.append((-min(1.0, round(cosine, 12)), int(self.ranks[r]), r))
-        return [x for x in made if x[0] < 0]
+        upper = (scores.reshape(BLOCK, -1) + bounds).ravel()
+        # The spots of the highest bounds first; then those that the k-th score so far leaves.
+        heads = upper.reshape(BLOCK, -1).max(0)
+        bar = float(np.partition(heads, -k)[-k]) if len(heads) > k else 0.0
+        first = upper >= bar if bar > 0 else upper > 0
+        spots = np.flatnonzero(first)
+        full = scores[spots] + self._middle(spots, ours)
+        least = self._least(full, k) - over
+        left = np.flatnonzero((upper >= least) & (upper > 0) & ~first)
+        left = left[np.argsort(-upper[left], kind="stable")]
+        at = 0
+        while at < len(left) and upper[left[at]] >= least:
+            more = left[at : at + OPENED]
+            spots, full, at = np.concatenate([spots, more]), np.concatenate([full, scores[more] + self._middle(more, ours)]), at + OPENED
+            least = self._least(full, k) - over
+        self.blocks_met += self.blocks
+        self.blocks_opened += len(np.unique(spots % self.blocks))
+        rows = self.row_at[spots[(full >= least) & (full > 0)]]
+        self._sought[terms_], self._is_sought[terms_] = weights * self.scale[terms_], True
+        best = [(-min(1.0, round(c, 12)), int(self.ranks[r]), r) for c, r in zip(self._cosines(rows).tolist(), rows.tolist())]
+        self._sought[terms_], self._is_sought[terms_] = 0, False
+        return [(-c, r) for c, _, r in sorted(x for x in best if x[0] < 0)[:k]]
+
+    @staticmethod
+    def _least(scores: np.ndarray, k: int) -> float:
+        return float(np.partition(scores, -k)[-k]) if len(scores) >= k else 0.0
+
+    def _middle(self, spots: np.ndarray, ours: np.ndarray) -> np.ndarray:
+        """What the middle terms add to the scores of these spots, no less than it is."""
+        begins, ends = self.middle_edges[spots], self.middle_edges[spots + 1]
+        full = np.flatnonzero(ends > begins)
+        made = np.zeros(len(spots), np.float32)
+        if len(full) and len(ours):
+            found = np.concatenate([self.middle[x] for x in map(slice, begins[full].tolist(), ends[full].tolist())])
+            added = ours.take(found >> 16)
+            added *= found & FINE
+            sizes = (ends - begins)[full]
+            made[full] = np.add.reduceat(added, np.cumsum(sizes) - sizes) / FINE
+        return made
+
+    def _cosines(self, rows: np.ndarray) -> np.ndarray:
+        """Cosines of the rows and the text that is looked up, in double precision."""
+        if not len(rows):
+            return np.zeros(0)
+        begins, ends = self.edges[rows], self.edges[rows + 1]
+        lists = list(map(slice, begins.tolist(), ends.tolist()))
+        held = np.concatenate([self.places[x] for x in lists])
+        met = np.flatnonzero(self._is_sought.take(held))
+        past = np.cumsum(ends - begins)
+        row = np.searchsorted(past, met, "right")
+        often = self.often[met + (ends - past)[row]]
+        return np.bincount(row, self._sought.take(held[met]) * often, len(rows)) / self.lengths[rows]
 
 
 def _read(folder: str, columns: list[str]):
@@ -318,17 +378,19 @@ class Examples:
         self.index = Index.of_arrays(
             edges, places, often, self.weights, (label > 0).astype(int), row.tolist(), ranks
         )
-        self.hashes, self.known = Hashes(), {}
+        self.hashes, self.known = Hashes(terms=self.terms), {}
 
     def vector(self, text: str | None) -> Vector:
         """Unit TF-IDF vector of the terms that the examples have; other terms add to its length."""
-        found, often = self.hashes.counts(text)
-        at = np.searchsorted(self.terms, found)
-        has = at < len(self.terms)
-        has[has] = self.terms[at[has]] == found[has]
-        raw = often[has] * self.weights[at[has]]
-        length = math.sqrt(float(raw @ raw) + float(often[~has] @ often[~has]) * self.new_weight**2)
-        return at[has], raw / length if len(raw) else raw
+        return self.vector_of(lower_words(text))
+
+    def vector_of(self, words: list[str]) -> Vector:
+        found, often = self.hashes.of_words(words)
+        known = int(np.searchsorted(found, len(self.terms)))
+        found, others = found[:known], often[known:] * self.new_weight
+        raw = often[:known] * self.weights[found]
+        length = math.sqrt(float(raw @ raw) + float(others @ others))
+        return found, raw / length if len(raw) else raw
 
 
 #: The examples of the model that this process used last, by its folder.
@@ -359,12 +421,12 @@ class Model:
         index = self.loaded().index
         return index.keys, index.labels
 
-    def votes(self, texts: list[str | None], leaves: list[int | None]) -> list[tuple[float, list[tuple[float, int]]]]:
-        """(vote, neighbours) of each text; the vote is -1 without a neighbour."""
+    def votes(self, texts: list[list[str]], leaves: list[int | None]) -> list[tuple[float, list[tuple[float, int]]]]:
+        """(vote, neighbours) of each text, given as its words; the vote is -1 without a neighbour."""
         held = self.loaded()
         index = held.index
         made = []
-        for near in index.nearest_each([held.vector(t) for t in texts], NEIGHBOURS, leaves):
+        for near in index.nearest_each([held.vector_of(t) for t in texts], NEIGHBOURS, leaves):
             if not near:
                 made.append((-1.0, []))
                 continue
@@ -390,10 +452,11 @@ class Model:
 
     def scores(self, texts: list[str | None]) -> list[tuple[float, list[tuple[float, int]]]]:
         """(score, neighbours) of each text; texts of the same words are voted on once."""
-        keys, known = [content(t) for t in texts], self.loaded().known
+        words, known = [lower_words(t) for t in texts], self.loaded().known
+        keys = [digest(w) for w in words]
         if len(known) > 10_000:
             known.clear()
-        new = {k: t for k, t in zip(keys, texts) if k not in known}
+        new = {k: w for k, w in zip(keys, words) if k not in known}
         for k, (vote, near) in zip(new, self.votes(list(new.values()), [None] * len(new))):
             known[k] = vote, near[:3]
         made = ((self.no_vote if vote < 0 else float(self.steps[round(vote * BINS)]), near) for vote, near in map(known.get, keys))
@@ -460,7 +523,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     def left_out():
         def step(rows, texts):
-            votes = [vote for vote, _ in model.votes(texts, rows)]
+            votes = [vote for vote, _ in model.votes(list(map(lower_words, texts)), rows)]
             return [[-1 if v < 0 else round(v * BINS) for v in votes]]
 
         return step
