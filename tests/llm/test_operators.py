@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textpulse.llm import bpe, components, decontaminate, html_tree, jaccard, licenses, lines, quality, sharding, toxicity, urls
+from textpulse.llm import bpe, common, components, decontaminate, html_tree, jaccard, licenses, lines, quality, sharding, toxicity, urls
 from textpulse.llm.common import table
 from textpulse.llm.queries import QUERIES, vocabulary_path
 
@@ -260,6 +260,32 @@ def test_toxicity_index_packs_postings():
             assert -1e-6 <= weight / toxicity.FINE - exact < 1.01 / toxicity.FINE + 1e-6
 
 
+def test_workers_let_go_of_what_other_tasks_held(monkeypatch):
+    held = common.Held()
+    made = []
+
+    def make():
+        made.append(1)
+        return "index"
+
+    def asks():
+        held.get("a", make)
+        return lambda: None
+
+    for _ in range(2):
+        with held.task(asks):
+            held.drop()
+            assert held.made == "index"
+    assert len(made) == 1
+    with held.task(lambda: None):
+        assert held.made is None
+    monkeypatch.setattr(common, "IDLE_SECONDS", 0.01)
+    with held.task(asks):
+        assert held.made == "index"
+    held._timer.join(10)
+    assert held.made is None
+
+
 # 4. Quality
 
 def test_quality_base_counts(spark, small):

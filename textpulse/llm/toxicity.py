@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textpulse.llm import common
 from textpulse.llm.common import append_columns, lower_words, map_columns, ready_workers, row_key, store
 from textpulse.session import new_folder
 
@@ -393,10 +394,6 @@ class Examples:
         return found, raw / length if len(raw) else raw
 
 
-#: The examples of the model that this process used last, by its folder.
-_LOADED: dict[str, Examples] = {}
-
-
 class Model:
     """A folder with the terms and the vectors of the examples, and the calibration of votes.
 
@@ -409,11 +406,8 @@ class Model:
         self.no_vote, self.steps = prior, np.linspace(0, 1, BINS + 1)
 
     def loaded(self) -> Examples:
-        """The examples, read once in a process."""
-        if self.folder not in _LOADED:
-            _LOADED.clear()
-            _LOADED[self.folder] = Examples(self)
-        return _LOADED[self.folder]
+        """The examples, read once in a process while its tasks use them."""
+        return common.HELD.get(self.folder, lambda: Examples(self))
 
     @property
     def examples(self) -> tuple:
@@ -522,6 +516,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     held.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")).write.parquet(f"{model.folder}/terms")
 
     def left_out():
+        model.loaded()
+
         def step(rows, texts):
             votes = [vote for vote, _ in model.votes(list(map(lower_words, texts)), rows)]
             return [[-1 if v < 0 else round(v * BINS) for v in votes]]
