@@ -246,6 +246,46 @@ def test_toxicity_places_are_those_of_the_hashes():
         assert sorted(times[at >= len(terms)]) == sorted(often[~known])
 
 
+def test_toxicity_hashes_many_texts_at_a_time():
+    # Per text the terms that a plain count has, whatever else is in the batch; a start is not the word spelt like it.
+    texts = ["abcdefgh abcdefgh abcde abcd", "", "größer größe ab\ud800cdef 東京都庁舎", "abcd", "abcd " + "x" * 5000]
+    words = [common.lower_words(t) for t in texts]
+    for most in (1, 40, 1 << 18):
+        made = toxicity.Hashes(most=most).of_words(words)
+        for each, (hashes, often) in zip(words, made):
+            plain = Counter(t for w in each for t in [w, *(w[:k] + "-" for k in toxicity.STARTS if len(w) > k)])
+            assert (np.diff(hashes) > 0).all() and sorted(often) == sorted(plain.values())
+            for word in each:
+                assert set(toxicity.Hashes().counts(word)[0]) <= set(hashes)
+        # abcd is a word in texts 0 and 3, and a start in text 0 alone.
+        assert len(set(made[0][0]) & set(made[3][0])) == len(made[3][0]) == 1
+
+
+def test_toxicity_opens_an_example_once_for_all_texts(monkeypatch):
+    pick = np.random.default_rng(4)
+    # Terms of every frequency, and a few examples that are much longer than the others.
+    share = np.geomspace(0.004, 0.3, 300)
+    vectors = []
+    for r in range(640):
+        at = np.flatnonzero(pick.random(300) < (3 * share if r % 20 == 0 else share))
+        raw = pick.random(len(at)) + 0.1
+        vectors.append({int(t): float(w) for t, w in zip(at, raw / np.linalg.norm(raw))} if len(at) else {0: 1.0})
+    index = toxicity.Index(vectors, [0] * 640, list(range(640)), 300)
+    assert index.n_long == 5 and index.n_common and index.long.any() and index.tops.any()
+    whole = np.zeros((640, 300))
+    for r, v in enumerate(vectors):
+        whole[r, list(v)] = list(v.values())
+    opened = []
+    plain = toxicity.Index._open
+    monkeypatch.setattr(toxicity.Index, "_open", lambda self, row, begin: (opened.append(row) if begin else None, plain(self, row, begin)))
+    queries = [(np.array(list(v), np.int64), np.array(list(v.values()))) for v in vectors[::3]]
+    for (at, weights), got in zip(queries, index.nearest_each(queries, 15, [None] * len(queries))):
+        cosines = whole[:, at] @ weights
+        assert [c for c, _ in got] == pytest.approx(sorted(cosines[cosines > 1e-12], reverse=True)[:15], abs=1e-9)
+        assert [cosines[r] for _, r in got] == pytest.approx([c for c, _ in got], abs=1e-9)
+    assert len(opened) == len(set(opened))
+
+
 def test_toxicity_index_packs_postings():
     # One number for a place and its weight: rounded up, by less than a step.
     pick = np.random.default_rng(3)

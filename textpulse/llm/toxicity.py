@@ -8,6 +8,7 @@ examples of like words stand in blocks, and every term of middling frequency kee
 largest weight that it has in each block. A text adds up its rare terms by postings and its
 commonest ones by a dense matrix; with the block maxima that bounds every example, and only
 for examples whose bound reaches the k-th score found so far the middling terms are added.
+The longest examples, which most neighbours are among, are dense in the middling terms too.
 The best are worked out again in double precision. Votes weighted by cosine, calibrated on the examples themselves with each one left out, give a score and its
 evidence.
 """
@@ -16,13 +17,11 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.dataset as pads
 import pyarrow.fs as pafs
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,10 +46,16 @@ NEIGHBOURS = 15
 
 #: Examples in a block.
 BLOCK = 8
+
+#: This share of the examples, the longest ones, is dense in the middling terms too: most neighbours are among them.
+LONG_SHARE = 1 / 16
 SMOOTHING = 0.5
 BINS = 50
 STARTS = (4, 5, 6)
 
+#: Base of the hashes, an odd number of 64 bits.
+BASE = 0xD6E8FEB86659FD93
+
 #: Texts whose dense scores are worked out at a time, examples opened at a time, and what
 #: rounding of single-precision scores and bounds can be at most.
 TEXTS, OPENED, SLACK = 128, 64, 1e-4
@@ -75,66 +80,103 @@ def digest(words: list[str]) -> int:
 
 
 class Hashes:
-    """64-bit hashes of the terms of texts; remembers words. Terms of equal hash are one term.
+    """64-bit hashes of the terms of texts, of many texts at a time. Terms of equal hash are one term.
+
+    A run of code points has the hash sum(mixed(c_j) * BASE^j), mixed again; sums that begin with the batch give
+    that of every word and start of one. ``most`` code points are worked on at a time, or one longer text.
 
     With ``terms``, hashes in order, a term goes by its place there, and others by numbers from
     ``len(terms)`` on, made from their hashes.
     """
 
-    def __init__(self, most: int = 100_000, terms: np.ndarray | None = None):
-        self._most, self._ids, self._starts, self._terms = most, {}, {}, terms
-        # A row of hashes for every word met, and how many of the row's places are used.
-        self._table, self._sizes = np.zeros((1024, 1 + len(STARTS)), np.int64), np.zeros(1024, np.int64)
+    def __init__(self, most: int = 1 << 18, terms: np.ndarray | None = None):
+        self._most, self._terms = most, terms
+        self._up = self._down = np.ones(1, np.uint64)
 
     def counts(self, text: str | None) -> Vector:
         """Hashes in order, and how often their terms occur."""
-        return self.of_words(lower_words(text))
-
-    def of_words(self, words: list[str]) -> Vector:
-        if len(self._ids) > self._most:
-            self._ids.clear()
-        often = Counter(words)
-        ids = list(map(self._ids.get, often))
-        if None in ids:
-            self._learn([w for i, w in zip(ids, often) if i is None])
-            ids = list(map(self._ids.get, often))
-        ids, often = np.array(ids, np.int64), np.fromiter(often.values(), float, len(often))
-        sizes = self._sizes[ids]
-        each = self._table[ids][np.arange(1 + len(STARTS)) < sizes[:, None]]
-        # Words of one start meet in it.
-        order = np.argsort(each)
-        each = each[order]
-        first = np.flatnonzero(np.concatenate([[True], each[1:] != each[:-1]])[: len(each)])
-        often = np.repeat(often, sizes)[order]
-        return each[first], np.add.reduceat(often, first) if len(first) else often
-
-    def _learn(self, words: list[str]) -> None:
-        """Starts are remembered too: new words mostly have known ones."""
-        if len(self._starts) > self._most:
-            self._starts.clear()
-        wanted = [word[:k] for word in words for k in STARTS if len(word) > k]
-        fresh = [start for start in dict.fromkeys(wanted) if start not in self._starts]
-        places = self._places([*words, *(start + "-" for start in fresh)])
-        self._starts.update(zip(fresh, places[len(words) :].tolist()))
-        at = len(self._ids)
-        self._ids.update(zip(words, range(at, at + len(words))))
-        while len(self._sizes) < len(self._ids):
-            self._table, self._sizes = np.concatenate([self._table] * 2), np.concatenate([self._sizes] * 2)
-        table, sizes = self._table[at : len(self._ids)], self._sizes[at : len(self._ids)]
-        sizes[:] = (np.fromiter(map(len, words), np.int64, len(words))[:, None] > np.array(STARTS)).sum(1) + 1
-        table[:, 0] = places[: len(words)]
-        table[:, 1:][np.arange(len(STARTS)) < sizes[:, None] - 1] = list(map(self._starts.get, wanted))
-
-    def _places(self, words: list[str]) -> np.ndarray:
-        made = [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words]
-        made = np.array(made, np.uint64)
+        return self.of_words([lower_words(text)])[0]
+
+    def of_words(self, texts: list[list[str]]) -> list[Vector]:
+        """``counts`` of texts that are given as their words."""
+        made, part, size = [], [], 0
+        for words in texts:
+            more = sum(map(len, words)) + len(words)
+            if part and size + more > self._most:
+                made += self._counts(part)
+                part, size = [], 0
+            part.append(words)
+            size += more
+        return made + self._counts(part)
+
+    def _counts(self, texts: list[list[str]]) -> list[Vector]:
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        hashes, word = self._hashes(" ".join([" ".join(words) for words in texts if words]))
+        text = np.repeat(np.arange(len(texts)), sizes)[word]
+        # Numbers for the hashes, in their order; a term of a text is then one number too.
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        first = np.ones(len(hashes), bool)
+        first[1:] = hashes[1:] != hashes[:-1]
+        number = np.cumsum(first) - 1
+        places = self._places(hashes[first])
+        if self._terms is not None:
+            # Known terms come first.
+            turn = np.argsort(places >= len(self._terms), kind="stable")
+            back = np.empty(len(turn), np.int64)
+            back[turn] = np.arange(len(turn))
+            number, places = back[number], places[turn]
+        pairs = np.sort(text[order] * len(places) + number)
+        first = np.ones(len(pairs) + 1, bool)
+        first[1:-1] = pairs[1:] != pairs[:-1]
+        begins = np.flatnonzero(first)
+        text, number = np.divmod(pairs[begins[:-1]], max(1, len(places)))
+        edges = np.searchsorted(text, np.arange(len(texts) + 1)).tolist()
+        places, often = places[number], np.diff(begins).astype(float)
+        return [(places[x], often[x]) for x in map(slice, edges[:-1], edges[1:])]
+
+    def _hashes(self, joined: str) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all terms of words that a space parts, and the words that they come from."""
+        if not joined:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if joined.isascii():
+            codes = np.frombuffer(joined.encode("ascii"), np.uint8)
+        else:
+            codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+        ends = np.append(np.flatnonzero(codes == 32), len(codes))
+        begins = np.append(0, ends[:-1] + 1)
+        while len(self._up) <= len(codes):
+            for name, base in (("_up", BASE), ("_down", pow(BASE, -1, 1 << 64))):
+                powers = np.full(2 * max(len(codes), self._most) + 1, base, np.uint64)
+                powers[0] = 1
+                setattr(self, name, np.multiply.accumulate(powers))
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(_mixed(codes) * self._up[: len(codes)], out=sums[1:])
+        down, before = self._down[begins], sums[begins]
+        hashes, of = [_mixed((sums[ends] - before) * down)], [np.arange(len(begins))]
+        for k in STARTS:
+            words = np.flatnonzero(ends - begins > k)
+            # Another sum than the word's that is spelt like the start.
+            hashes.append(_mixed((sums[begins[words] + k] - before[words]) * down[words] + np.uint64(k)))
+            of.append(words)
+        return np.concatenate(hashes).view(np.int64), np.concatenate(of)
+
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
         if self._terms is None:
-            return made.view(np.int64)
-        places = np.searchsorted(self._terms, made.view(np.int64))
-        other = np.ones(len(made), bool)
+            return hashes
+        places = np.searchsorted(self._terms, hashes)
+        other = np.ones(len(hashes), bool)
         if len(self._terms):
-            other = self._terms.take(places, mode="clip") != made.view(np.int64)
-        return np.where(other, len(self._terms) + (made >> np.uint64(2)).astype(np.int64), places)
+            other = self._terms.take(places, mode="clip") != hashes
+        return np.where(other, len(self._terms) + (hashes.view(np.uint64) >> np.uint64(2)).astype(np.int64), places)
+
+
+def _mixed(numbers: np.ndarray) -> np.ndarray:
+    """The 64-bit finalizer of splitmix."""
+    z = numbers.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
 
 
 def _fill(ends: np.ndarray, lists: np.ndarray, target: np.ndarray, values: np.ndarray) -> None:
@@ -182,7 +224,9 @@ class Index:
         self.dense_at[middle] = np.arange(self.n_common, self.n_common + int(middle.sum()))
         self._lay_out(held)
         self.dense = np.zeros((self.n_common, self.blocks * BLOCK), np.float32)
-        self.tops = np.zeros((int(middle.sum()), self.blocks), np.float32)
+        # Blocks of long examples come first and have no maxima; a column for each of their examples instead.
+        self.long = np.zeros((int(middle.sum()), self.n_long * BLOCK), np.float32)
+        self.tops = np.zeros((int(middle.sum()), self.blocks - self.n_long), np.float32)
         self.sizes = np.where(rare, held, 0).astype(np.int32)
         self.begins = (np.cumsum(self.sizes) - self.sizes).astype(np.int32)
         self.rare = np.zeros(int(self.sizes.sum()), np.int64 if max(self.blocks * BLOCK, len(self.tops)) >> 15 else np.int32)
@@ -196,14 +240,19 @@ class Index:
         for at, spot, value in self._parts():
             here = common[at]
             self.dense[self.dense_at[at[here]], spot[here]] = value[here]
+            block = spot % self.blocks
+            here = middle[at] & (block < self.n_long)
+            column = spot[here] // self.blocks * self.n_long + block[here]
+            self.long[self.dense_at[at[here]] - self.n_common, column] = value[here]
             here = middle[at]
             row = self.dense_at[at[here]] - self.n_common
-            np.maximum.at(self.tops, (row, spot[here] % self.blocks), value[here])
             _fill(middle_ends, spot[here], self.middle, self._packed(row, value[here]))
+            other = block[here] >= self.n_long
+            np.maximum.at(self.tops, (row[other], block[here][other] - self.n_long), value[here][other])
             here = rare[at]
             _fill(ends, at[here], self.rare, self._packed(spot[here], value[here]))
-        # Weights of the terms of the text that is looked up, and which those are; zeros between texts.
-        self._sought, self._is_sought = np.zeros(n_terms), np.zeros(n_terms, bool)
+        # How often an example has each term, while its cosines are worked out; zeros between.
+        self._held = np.zeros(n_terms)
 
     def _packed(self, places: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """A place and its weight in 16 bits, rounded up, in one number."""
@@ -219,7 +268,8 @@ class Index:
             yield at, np.repeat(self.spots[first : first + READ_ROWS], sizes), value.astype(np.float32)
 
     def _lay_out(self, held: np.ndarray) -> None:
-        """Lengths of the vectors, and a spot for each: those of like words and lengths in one block.
+        """Lengths of the vectors, and a spot for each: those of like words and lengths in one block,
+        those of most terms in the first blocks.
 
         Spot s is in block s % blocks, so that what is known of blocks is added to rows of spots.
         """
@@ -234,7 +284,10 @@ class Index:
             self.lengths[r] = math.sqrt(float(raw @ raw)) or 1.0
             has = bits[at]
             signs[r] = sum(1 << (ORDERING - 1 - int(b)) for b in has[has >= 0])
-        order, turn = np.lexsort((self.ranks, self.lengths, signs)), np.arange(self.n)
+        self.n_long = int(LONG_SHARE * self.n) // BLOCK
+        short = np.ones(self.n, bool)
+        short[np.lexsort((self.ranks, -np.diff(self.edges)))[: self.n_long * BLOCK]] = False
+        order, turn = np.lexsort((self.ranks, self.lengths, signs, short)), np.arange(self.n)
         self.spots = np.empty(self.n, np.int32)
         self.spots[order] = turn % BLOCK * self.blocks + turn // BLOCK
         self.row_at = np.full(self.blocks * BLOCK, -1, np.int32)
@@ -251,7 +304,7 @@ class Index:
 
     def nearest_each(self, queries: list[Vector], k: int, leaves: list[int | None]) -> list[list[tuple[float, int]]]:
         """``nearest`` of several vectors, as arrays of terms and weights."""
-        made = []
+        met = []
         for at in range(0, len(queries), TEXTS):
             part = queries[at : at + TEXTS]
             ours = np.zeros((len(part), self.n_common + len(self.tops)), np.float32)
@@ -259,37 +312,38 @@ class Index:
                 where = self.dense_at[terms_]
                 ours[q, where[where >= 0]] = weights[where >= 0]
             middle = ours[:, self.n_common :]
-            each = zip(ours[:, : self.n_common] @ self.dense, middle @ self.tops, middle, part, leaves[at : at + TEXTS])
-            for scores, bounds, mine, query, leave in each:
-                made.append(self._best(scores, bounds, mine, *query, k, self.at.get(leave)))
-        return made
+            scores = ours[:, : self.n_common] @ self.dense
+            scores.reshape(len(part), BLOCK, -1)[:, :, : self.n_long] += (middle @ self.long).reshape(len(part), BLOCK, -1)
+            each = zip(scores, middle @ self.tops, middle, part, leaves[at : at + TEXTS])
+            met += [self._near(*x, *query, k, self.at.get(leave)) for *x, query, leave in each]
+        return self._best(queries, met, k)
 
-    def _best(self, scores: np.ndarray, bounds: np.ndarray, ours: np.ndarray, terms_: np.ndarray, weights: np.ndarray, k: int, leave: int | None):
-        """``scores`` by spot, of common terms; ``bounds`` by block, of the most that middle ones can add.
+    def _near(self, scores: np.ndarray, bounds: np.ndarray, ours: np.ndarray, terms_: np.ndarray, weights: np.ndarray, k: int, leave: int | None):
+        """The rows that may be among the k nearest.
 
-        ``ours`` has the weights of the middle terms.
+        ``scores`` by spot, of common terms, and of middle ones for long examples; ``bounds`` by other blocks, of
+        the most that middle terms can add. ``ours`` has the weights of the middle terms.
         """
         if not len(terms_) or not self.n:
-            return []
+            return np.zeros(0, np.int32)
         sizes = self.sizes[terms_]
-        rare = sizes > 0
+        rare = np.flatnonzero(sizes)
         # Packed weights are too high by a step at most.
         over = SLACK + float(weights.sum()) / FINE
-        if rare.any():
+        if len(rare):
             sizes, begins = sizes[rare], self.begins[terms_[rare]]
-            ends = np.cumsum(sizes, dtype=np.int64)
-            spots = np.repeat(begins - (ends - sizes), sizes)
-            spots += np.arange(len(spots))
-            found = self.rare.take(spots)
-            added = np.repeat((weights[rare] / FINE).astype(np.float32), sizes)
-            added *= found & FINE
-            np.add.at(scores, np.right_shift(found, 16, out=spots), added)
+            lists = map(slice, begins.tolist(), (begins + sizes).tolist())
+            found = np.concatenate([self.rare[x] for x in lists])
+            added = (found & FINE).astype(np.float32)
+            added *= np.repeat((weights[rare] / FINE).astype(np.float32), sizes)
+            np.add.at(scores, found >> 16, added)
         scores[self.vacant] = -np.inf
         if leave is not None:
             scores[self.spots[leave]] = -np.inf
-        upper = (scores.reshape(BLOCK, -1) + bounds).ravel()
+        upper = scores.reshape(BLOCK, -1).copy()
+        upper[:, self.n_long :] += bounds
         # The spots of the highest bounds first; then those that the k-th score so far leaves.
-        heads = upper.reshape(BLOCK, -1).max(0)
+        heads, upper = upper.max(0), upper.ravel()
         bar = float(np.partition(heads, -k)[-k]) if len(heads) > k else 0.0
         first = upper >= bar if bar > 0 else upper > 0
         spots = np.flatnonzero(first)
@@ -304,20 +358,42 @@ class Index:
             least = self._least(full, k) - over
         self.blocks_met += self.blocks
         self.blocks_opened += len(np.unique(spots % self.blocks))
-        rows = self.row_at[spots[(full >= least) & (full > 0)]]
-        self._sought[terms_], self._is_sought[terms_] = weights * self.scale[terms_], True
-        best = [(-min(1.0, round(c, 12)), int(self.ranks[r]), r) for c, r in zip(self._cosines(rows).tolist(), rows.tolist())]
-        self._sought[terms_], self._is_sought[terms_] = 0, False
-        return [(-c, r) for c, _, r in sorted(x for x in best if x[0] < 0)[:k]]
+        return self.row_at[spots[(full >= least) & (full > 0)]]
+
+    def _best(self, queries: list[Vector], met: list[np.ndarray], k: int) -> list[list[tuple[float, int]]]:
+        """The best of the rows met, by their cosines in double precision.
+
+        Texts meet the same examples again and again, so an example is opened once for all of them.
+        """
+        made: list[list[tuple[float, int, int]]] = [[] for _ in queries]
+        ours = [weights * self.scale[terms_] for terms_, weights in queries]
+        of, rows = np.repeat(np.arange(len(met)), list(map(len, met))), np.concatenate([np.zeros(0, np.int32), *met])
+        order = np.argsort(rows, kind="stable")
+        last = -1
+        for q, r in zip(of[order].tolist(), rows[order].tolist()):
+            if r != last:
+                self._open(last, False)
+                self._open(r, True)
+                last, rank, length = r, int(self.ranks[r]), self.lengths[r]
+            cosine = round(float((self._held.take(queries[q][0]) * ours[q]).sum() / length), 12)
+            if cosine > 0:
+                made[q].append((-min(1.0, cosine), rank, r))
+        self._open(last, False)
+        return [[(-c, r) for c, _, r in sorted(best)[:k]] for best in made]
+
+    def _open(self, row: int, begin: bool) -> None:
+        if row >= 0:
+            part = slice(self.edges[row], self.edges[row + 1])
+            self._held[self.places[part]] = self.often[part] if begin else 0
 
     @staticmethod
     def _least(scores: np.ndarray, k: int) -> float:
         return float(np.partition(scores, -k)[-k]) if len(scores) >= k else 0.0
 
     def _middle(self, spots: np.ndarray, ours: np.ndarray) -> np.ndarray:
-        """What the middle terms add to the scores of these spots, no less than it is."""
+        """What the middle terms add to the scores of these spots, no less than it is; nothing for long examples."""
         begins, ends = self.middle_edges[spots], self.middle_edges[spots + 1]
-        full = np.flatnonzero(ends > begins)
+        full = np.flatnonzero((ends > begins) & (spots % self.blocks >= self.n_long))
         made = np.zeros(len(spots), np.float32)
         if len(full) and len(ours):
             found = np.concatenate([self.middle[x] for x in map(slice, begins[full].tolist(), ends[full].tolist())])
@@ -327,19 +403,6 @@ class Index:
             made[full] = np.add.reduceat(added, np.cumsum(sizes) - sizes) / FINE
         return made
 
-    def _cosines(self, rows: np.ndarray) -> np.ndarray:
-        """Cosines of the rows and the text that is looked up, in double precision."""
-        if not len(rows):
-            return np.zeros(0)
-        begins, ends = self.edges[rows], self.edges[rows + 1]
-        lists = list(map(slice, begins.tolist(), ends.tolist()))
-        held = np.concatenate([self.places[x] for x in lists])
-        met = np.flatnonzero(self._is_sought.take(held))
-        past = np.cumsum(ends - begins)
-        row = np.searchsorted(past, met, "right")
-        often = self.often[met + (ends - past)[row]]
-        return np.bincount(row, self._sought.take(held[met]) * often, len(rows)) / self.lengths[rows]
-
 
 def _read(folder: str, columns: list[str]):
     """Record batches of a stored table, file after file; a few rows at a time."""
@@ -383,10 +446,13 @@ class Examples:
 
     def vector(self, text: str | None) -> Vector:
         """Unit TF-IDF vector of the terms that the examples have; other terms add to its length."""
-        return self.vector_of(lower_words(text))
+        return self.vectors([lower_words(text)])[0]
+
+    def vectors(self, texts: list[list[str]]) -> list[Vector]:
+        """``vector`` of texts that are given as their words."""
+        return [self._unit(*counts) for counts in self.hashes.of_words(texts)]
 
-    def vector_of(self, words: list[str]) -> Vector:
-        found, often = self.hashes.of_words(words)
+    def _unit(self, found: np.ndarray, often: np.ndarray) -> Vector:
         known = int(np.searchsorted(found, len(self.terms)))
         found, others = found[:known], often[known:] * self.new_weight
         raw = often[:known] * self.weights[found]
@@ -420,7 +486,7 @@ class Model:
         held = self.loaded()
         index = held.index
         made = []
-        for near in index.nearest_each([held.vector_of(t) for t in texts], NEIGHBOURS, leaves):
+        for near in index.nearest_each(held.vectors(texts), NEIGHBOURS, leaves):
             if not near:
                 made.append((-1.0, []))
                 continue
@@ -497,10 +563,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     model = Model(new_folder(spark, "toxic-model"), totals[0], totals[1] / totals[0] if totals[0] else 0.0)
 
     def vectors():
-        counts = Hashes().counts
+        hashes = Hashes()
 
         def step(rows, labels, digests, texts):
-            made = [counts(t) for t in texts]
+            made = hashes.of_words(list(map(lower_words, texts)))
             return rows, labels, digests, [at.tolist() for at, _ in made], [often.astype(int).tolist() for _, often in made]
 
         return step
