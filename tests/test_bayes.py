@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from textpulse.plans import models, training, tuning
+from textpulse.plans import bayes, models, training, tuning
 from textpulse.plans.bayes import count_texts, fit_by_counts, fits_by_counts, marked_words
 from textpulse.plans.training import fit_classifier
 
@@ -97,3 +97,19 @@ def test_fit_seconds_are_noted(spark):
     before = len(training.FIT_SECONDS)
     fit_classifier(models.nb_vocabulary(), frame(spark, ODD))
     assert len(training.FIT_SECONDS) == before + 1 and training.FIT_SECONDS[-1] > 0
+
+
+def test_counting_words_sorts_nothing_and_stores_no_counts(spark, monkeypatch):
+    """A text's words are hashed, not ordered, and the counts of a tuning are read once, so not written."""
+    rows = spark.createDataFrame(
+        [(["b", "a", "b", "", "b"], 0.0, 0), ([], 0.0, 0), (None, 0.0, 0), (["a"], 0.0, 0)], "words array<string>, label double, fold int"
+    )
+    terms = count_texts(rows, store=False).terms
+    plan = terms._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array" not in plan and "lambda" not in plan
+    assert {tuple(r) for r in terms.select("term", "tf", "df").collect()} == {("", 1, 1), ("a", 2, 2), ("b", 3, 1)}
+    written = []
+    plain = bayes.stored
+    monkeypatch.setattr(bayes, "stored", lambda df, name, *by: written.append(name) or plain(df, name, *by))
+    tuning.tune_naive_bayes(frame(spark, [(i, "xy"[i % 2], f"a {'uv'[i % 2]}") for i in range(30)]), "id")
+    assert written == ["term-sums", "vocabularies"]

@@ -61,13 +61,23 @@ def marked_words(words: Column) -> Column:
     )
 
 
+def occurrences(words: Column) -> Column:
+    """All words of the array, then each distinct one once more.
+
+    Places in the first part count occurrences and those after it texts, with nothing to sort.
+    """
+    return F.concat(words, F.array_distinct(words))
+
+
 def count_texts(rows: DataFrame, store: bool = True) -> TextCounts:
     """Counts of ``rows(words, label, fold)``: occurrences and texts from one pass.
 
     ``store=False`` leaves them a plan, for one call of ``models_of``, which reads them once.
     """
-    tokens = rows.select("fold", "label", F.inline(marked_words(F.col("words"))))
-    grouped = tokens.groupBy("fold", "label", "term").agg(F.count("*").alias("tf"), F.sum("first").alias("df"))
+    words = F.col("words")
+    tokens = rows.select("fold", "label", F.size(words).alias("n"), F.posexplode(occurrences(words)).alias("place", "term"))
+    again = (F.col("place") >= F.col("n")).cast("long")
+    grouped = tokens.groupBy("fold", "label", "term").agg(F.sum(1 - again).alias("tf"), F.sum(again).alias("df"))
     texts = rows.groupBy("fold", "label").agg(F.count("*").alias("n"))
     return TextCounts(stored(grouped, "term-counts") if store else grouped, tuple(map(tuple, texts.collect())))
 

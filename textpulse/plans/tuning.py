@@ -53,7 +53,7 @@ def tune_naive_bayes(
     label_model = labels.fit(train)
     rows = label_model.transform(tokens.transform(train.withColumn("fold", fold_of(key, folds).cast("int"))))
     rows = stored(rows.select("words", "label", "fold"), "words", ["fold"])
-    counts = count_texts(rows)
+    counts = count_texts(rows, store=False)  # read once, for all models
     *partial, full = models_of(counts, counter, weigher, [*range(folds), None])
 
     def shares_of(fold: int) -> list[float | None]:
