@@ -261,6 +261,14 @@ def test_toxicity_hashes_many_texts_at_a_time():
         assert len(set(made[0][0]) & set(made[3][0])) == len(made[3][0]) == 1
 
 
+@pytest.mark.parametrize("n", [0, 1, 7, 5000])
+def test_toxicity_places_are_found_as_by_search(n):
+    pick = np.random.default_rng(n)
+    for values in (np.unique(pick.integers(-(2**63), 2**63 - 1, n)), np.arange(n), np.array([-(2**63), 2**63 - 1])):
+        wanted = np.concatenate([values, pick.integers(-(2**63), 2**63 - 1, 500), [-(2**63), -1, 0, 1, 2**63 - 1]])
+        assert (toxicity.Places(values).of(wanted) == np.searchsorted(values, wanted)).all()
+
+
 def test_toxicity_opens_an_example_once_for_all_texts(monkeypatch):
     pick = np.random.default_rng(4)
     # Terms of every frequency, and a few examples that are much longer than the others.

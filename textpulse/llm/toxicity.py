@@ -56,9 +56,9 @@ STARTS = (4, 5, 6)
 #: Base of the hashes, an odd number of 64 bits.
 BASE = 0xD6E8FEB86659FD93
 
-#: Texts whose dense scores are worked out at a time, examples opened at a time, and what
+#: Texts whose dense scores are worked out at a time, examples opened at first, and what
 #: rounding of single-precision scores and bounds can be at most.
-TEXTS, OPENED, SLACK = 128, 64, 1e-4
+TEXTS, OPENED, SLACK = 256, 64, 1e-4
 
 #: Steps of a packed weight.
 FINE = (1 << 16) - 1
@@ -79,6 +79,25 @@ def digest(words: list[str]) -> int:
     return int.from_bytes(hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=8).digest(), signed=True)
 
 
+class Places:
+    """Finds values among others that are in order and spread evenly, such as hashes; like ``searchsorted``."""
+
+    def __init__(self, values: np.ndarray):
+        self._values = np.append(values, np.iinfo(np.int64).max)
+        self._shift = np.int64(max(0, 63 - len(values).bit_length()))
+        self._low = np.int64(np.iinfo(np.int64).min) >> self._shift
+        edges = np.arange(self._low, -self._low, dtype=np.int64) << self._shift
+        self._begins = np.searchsorted(values, edges).astype(np.int32)
+
+    def of(self, wanted: np.ndarray) -> np.ndarray:
+        at = self._begins[(wanted >> self._shift) - self._low]
+        left = np.flatnonzero(self._values.take(at) < wanted)
+        while len(left):
+            at[left] += 1
+            left = left[self._values.take(at[left]) < wanted[left]]
+        return at
+
+
 class Hashes:
     """64-bit hashes of the terms of texts, of many texts at a time. Terms of equal hash are one term.
 
@@ -351,10 +370,11 @@ class Index:
         least = self._least(full, k) - over
         left = np.flatnonzero((upper >= least) & (upper > 0) & ~first)
         left = left[np.argsort(-upper[left], kind="stable")]
-        at = 0
+        at, opened = 0, OPENED
         while at < len(left) and upper[left[at]] >= least:
-            more = left[at : at + OPENED]
-            spots, full, at = np.concatenate([spots, more]), np.concatenate([full, scores[more] + self._middle(more, ours)]), at + OPENED
+            more = left[at : at + opened]
+            spots, full = np.concatenate([spots, more]), np.concatenate([full, scores[more] + self._middle(more, ours)])
+            at, opened = at + opened, 2 * opened
             least = self._least(full, k) - over
         self.blocks_met += self.blocks
         self.blocks_opened += len(np.unique(spots % self.blocks))
@@ -427,15 +447,17 @@ class Examples:
         self.new_weight = math.log(model.n + 1) + 1
         del found, term, toxic, clean, order, held, lean
         sizes, places, often, others = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.uint16)], []
+        place_of = Places(self.terms).of
         for b in _read(f"{model.folder}/vectors", ["row", "label", "content", "terms", "often"]):
             sizes.append(b.column("terms").value_lengths().to_numpy().astype(np.int64))
-            places.append(np.searchsorted(self.terms, b.column("terms").flatten().to_numpy()).astype(np.int32))
+            places.append(place_of(b.column("terms").flatten().to_numpy()))
             counts = b.column("often").flatten().to_numpy()
             often.append(counts.astype(np.uint16 if counts.max(initial=0) < 1 << 16 else np.int32))
             others.append(np.stack([b.column(c).to_numpy().astype(np.int64) for c in ("row", "label", "content")]))
         row, label, digest = np.concatenate(others, axis=1) if others else np.zeros((3, 0), np.int64)
         edges = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64)
         places, often = np.concatenate(places), np.concatenate(often)
+        del place_of
         pa.default_memory_pool().release_unused()
         ranks = np.empty(len(row), np.int64)
         ranks[np.lexsort((row, label, digest))] = np.arange(len(row))
