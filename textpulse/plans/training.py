@@ -19,6 +19,7 @@ from textpulse.operators.metrics import classification_report
 from textpulse.operators.terms import vocabulary
 from textpulse.plans.bayes import fit_by_counts, fits_by_counts
 from textpulse.plans.fitted import in_order, vocabulary_model
+from textpulse.plans.runs import RunStages, fit_runs, run_stages
 from textpulse.plans.scoring import score
 from textpulse.session import new_folder
 
@@ -97,7 +98,8 @@ def fitted(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
     if fits_by_counts(pipeline.getStages()):
         return fit_by_counts(pipeline.getStages(), rows)
     *stages, classifier = pipeline.getStages()
-    made, prepared = fit_stages(stages, rows)
+    parts = run_stages(stages)
+    made, prepared = fit_stages(stages, rows) if parts is None else _fit_run_stages(parts, rows)
     if isinstance(classifier, NaiveBayes):
         model = classifier.fit(prepared.select("features", "label"))
         return PipelineModel([*made, model])
@@ -110,6 +112,16 @@ def fitted(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
     return PipelineModel([*made, classifier.fit(stored)])
 
 
+def _fit_run_stages(parts: RunStages, rows: DataFrame) -> tuple[list, DataFrame]:
+    """``fit_stages`` for a pipeline that counts word runs: texts are counted once, the other stages read the counts."""
+    counters, counted = fit_runs(parts, rows)
+    others, prepared = fit_stages([*(weigher for _, _, weigher in parts.runs), *parts.after], counted)
+    made = list(parts.before)
+    for (run, _, _), counter, weigher in zip(parts.runs, counters, others):
+        made += [run, counter, weigher]
+    return [*made, *others[len(parts.runs) :]], prepared
+
+
 def _pack(stored: DataFrame) -> DataFrame:
     """As many partitions as the root of the data's bytes in gradients, or more.
 

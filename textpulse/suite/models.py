@@ -16,6 +16,7 @@ from textpulse.operators.metrics import classification_report
 from textpulse.operators.partitions import spread_rows
 from textpulse.plans import models, scoring, tuning
 from textpulse.plans.certificate import certificate
+from textpulse.plans.runs import transform
 from textpulse.plans.training import bounded_share, fit_classifier
 from textpulse.schemas import SCORED_COLUMNS
 from textpulse.session import new_folder, stored
@@ -111,7 +112,7 @@ def fitted_moments(spark, sf, pipeline):
     train, _ = split_tweets(spark, sf)
     model = fit_classifier(pipeline, train)
     names = next(s.labels for s in model.stages if hasattr(s, "labels"))
-    scored = model.transform(train).select("sentiment", vector_to_array("probability").alias("p"))
+    scored = transform(model, train, ["sentiment", "probability"]).select("sentiment", vector_to_array("probability").alias("p"))
     sums = []
     for k, name in enumerate(names):
         sums.append(F.sum((F.col("sentiment") == name).cast("long")).alias(f"n{k}"))
