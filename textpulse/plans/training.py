@@ -5,11 +5,12 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
-from math import ceil, sqrt
+from functools import partial
+from math import ceil
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizer, HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,15 +18,17 @@ from pyspark.sql import functions as F
 from textpulse.functions import md5_bucket
 from textpulse.operators.metrics import classification_report
 from textpulse.operators.terms import vocabulary
+from textpulse.plans import ordered
 from textpulse.plans.bayes import fit_by_counts, fits_by_counts
 from textpulse.plans.fitted import in_order, vocabulary_model
-from textpulse.plans.runs import RunStages, fit_runs, run_stages
+from textpulse.plans.runs import RunStages, fit_runs, inputs_of, run_stages
 from textpulse.plans.scoring import score
-from textpulse.session import new_folder
+from textpulse.session import new_folder, stored
 
 BYTES_PER_ENTRY = 12  # one index and one weight of a sparse vector
 BYTES_PER_GRADIENT = 8  # one class and feature
 GRADIENTS_PER_PARTITION = 32
+TREE_POWER = 2 / 3  # of partitions whose gradients meet in two steps, each of about the root of them
 SHARE_STEPS = 1_000_000
 
 
@@ -98,18 +101,23 @@ def fitted(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
     if fits_by_counts(pipeline.getStages()):
         return fit_by_counts(pipeline.getStages(), rows)
     *stages, classifier = pipeline.getStages()
-    parts = run_stages(stages)
-    made, prepared = fit_stages(stages, rows) if parts is None else _fit_run_stages(parts, rows)
+    parts, hashed = run_stages(stages), ordered.hashes(stages, classifier)
+    if parts is not None:
+        made, prepared = _fit_run_stages(parts, rows)
+    else:
+        made, prepared = _fit_hashed_stages(stages, rows) if hashed else fit_stages(stages, rows)
+    if hashed:
+        return PipelineModel([*made, ordered.fit(classifier, made, prepared, partial(_pack, power=TREE_POWER))])
     if isinstance(classifier, NaiveBayes):
         model = classifier.fit(prepared.select("features", "label"))
         return PipelineModel([*made, model])
     spark = rows.sparkSession
     path = new_folder(spark, "features")
     prepared.select("features", "label").write.parquet(path)
-    stored = spark.read.parquet(path)
+    features = spark.read.parquet(path)
     if isinstance(classifier, LogisticRegression):
-        stored = _pack(stored)
-    return PipelineModel([*made, classifier.fit(stored)])
+        features = _pack(features)
+    return PipelineModel([*made, classifier.fit(features)])
 
 
 def _fit_run_stages(parts: RunStages, rows: DataFrame) -> tuple[list, DataFrame]:
@@ -122,20 +130,29 @@ def _fit_run_stages(parts: RunStages, rows: DataFrame) -> tuple[list, DataFrame]
     return [*made, *others[len(parts.runs) :]], prepared
 
 
-def _pack(stored: DataFrame) -> DataFrame:
+def _fit_hashed_stages(stages: Sequence, rows: DataFrame) -> tuple[list, DataFrame]:
+    """``fit_stages`` with the counts stored as soon as the texts are hashed: idf, labels and features read those."""
+    at = next(i for i, s in enumerate(stages) if isinstance(s, HashingTF)) + 1
+    made, counted = fit_stages(stages[:at], rows)
+    counts = stored(counted.select(*inputs_of(stages[at:], rows), stages[at - 1].getOutputCol()), "hashed-counts")
+    others, prepared = fit_stages(stages[at:], counts)
+    return [*made, *others], prepared
+
+
+def _pack(rows: DataFrame, power: float = 1 / 2) -> DataFrame:
     """As many partitions as the root of the data's bytes in gradients, or more.
 
     Every partition sends a gradient of classes x features in every iteration, so it should
     hold more data than that, the more the more of them there are: with the root, reading a
     partition and adding up the gradients of all grow alike. None holds more than
-    ``GRADIENTS_PER_PARTITION`` times a gradient. The number follows from the features alone, not
+    ``GRADIENTS_PER_PARTITION`` times a gradient. ``power`` is that of the root, or of another law. The number follows from the features alone, not
     from the cluster; it decides the order of sums, so the last digits of the weights.
     """
-    first = stored.select(F.size(vector_to_array("features")).alias("width")).first()
+    first = rows.select(F.size(vector_to_array("features")).alias("width")).first()
     if first is None:
-        return stored
-    sizes = stored.select(F.size(F.unwrap_udt("features")["values"]).alias("entries"), "label")
+        return rows
+    sizes = rows.select(F.size(F.unwrap_udt("features")["values"]).alias("entries"), "label")
     entries, top = sizes.agg(F.sum(F.greatest("entries", F.lit(0))), F.max("label")).first()
     gradient = first["width"] * (int(top) + 1) * BYTES_PER_GRADIENT
     held = (entries or 0) * BYTES_PER_ENTRY / gradient
-    return stored.coalesce(max(1, ceil(sqrt(held)), ceil(held / GRADIENTS_PER_PARTITION)))
+    return rows.coalesce(max(1, ceil(held**power), ceil(held / GRADIENTS_PER_PARTITION)))
