@@ -104,7 +104,8 @@ def fit(classifier: LogisticRegression, made: Sequence, rows: DataFrame, pack: C
     found = classifier.copy(names).fit(stored)
     weights = np.zeros((found.coefficientMatrix.numRows, len(places)))
     weights[:, places >= 0] = found.coefficientMatrix.toArray()[:, places[places >= 0]]
-    matrix = DenseMatrix(*weights.shape, weights.ravel(order="F"))  # a feature's weights side by side, for scoring
+    # A feature's weights side by side, for scoring; one row of weights has to be a row.
+    matrix = DenseMatrix(*weights.shape, weights.ravel(order="F"), isTransposed=len(weights) == 1)
     spark = rows.sparkSession
     schema = StructType(
         [
